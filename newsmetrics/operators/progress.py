@@ -166,5 +166,5 @@ def missing_urls(crawl: DataFrame, typed_logs: DataFrame) -> DataFrame:
 
 
 def crawl_progress_pct(done, total):
-    """round(100*done/total, 1), 0 when total is 0."""
-    return F.when(total > 0, F.round(done * 100.0 / total, 1)).otherwise(F.lit(0.0))
+    """100*done/total, 0 when total is 0 (rounded to 1 place only on export, MA2)."""
+    return F.when(total > 0, done / total * 100.0).otherwise(F.lit(0.0))

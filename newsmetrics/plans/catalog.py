@@ -171,3 +171,145 @@ def q_corrected_metrics(spark, sf_dir):
     """Log metrics corrected by the live progress snapshot."""
     t = typed_log(spark, sf_dir)
     return M.apply_progress(M.outlet_metrics(t), P.live_progress(t))
+
+
+# ---------------------------------------------------------------- crawl / links
+
+from ..config import PAGES_SITE  # noqa: E402
+from ..operators import extract as X  # noqa: E402
+from ..operators import links as K  # noqa: E402
+
+
+def _pages(spark, sf_dir):
+    return D.table(spark, sf_dir, "pages").select("page_id", "url", "html")
+
+
+def _cands(spark, sf_dir):
+    links = K.resolved_links(_pages(spark, sf_dir))
+    return K.news_candidates(links, PAGES_SITE["news_pattern"], PAGES_SITE["pagination_type"])
+
+
+_LINKS_SQL = r"""
+WITH pg AS (
+  SELECT page_id, url AS category_url,
+         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:@]*)', 1)) AS medio,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*/([^/?#]*)', 1) AS slug,
+         regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\-]*):(//[^/?#]*)', 1) AS sch,
+         regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\-]*):(//[^/?#]*)', 2) AS auth,
+         regexp_matches(url, '^([A-Za-z][A-Za-z0-9+.\-]*):(//[^/?#]*)') AS has_auth,
+         regexp_extract_all(html, '<a href="([^"]*)"', 1) AS hrefs
+  FROM pages
+), anchors AS (
+  SELECT page_id, medio, category_url, slug, sch, auth, has_auth,
+         unnest(hrefs) AS href, unnest(generate_series(0, len(hrefs) - 1)) AS pos
+  FROM pg
+), links AS (
+  SELECT *, CASE WHEN href LIKE '//%' AND has_auth THEN sch || ':' || href
+                 WHEN href LIKE '/%' AND has_auth THEN sch || ':' || auth || href
+                 ELSE href END AS link
+  FROM anchors
+), c0 AS (
+  SELECT *,
+    CASE WHEN strpos(link, '/especial/') > 0 THEN substr(link, strpos(link, '/especial/') + 10)
+         WHEN strpos(link, '/noticias/') > 0 THEN substr(link, strpos(link, '/noticias/') + 10)
+    END AS bb_path,
+    list_filter(string_split(regexp_extract(link,
+      '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)', 1), '/'), lambda x: x <> '') AS lt_segs
+  FROM links WHERE strpos(link, '/the') > 0 OR strpos(link, '/of') > 0
+), c1 AS (
+  SELECT *, list_filter(string_split(bb_path, '/'), lambda x: x <> '') AS p0 FROM c0
+), c2 AS (
+  SELECT *, COALESCE(list_position(list_transform(p0, lambda x: regexp_full_match(x, '[0-9]{4}')),
+                                   true), 0) AS yr FROM c1
+), c3 AS (
+  SELECT *, p0[1:CASE WHEN yr > 0 THEN least(yr - 1, 3) ELSE least(len(p0), 3) END] AS p1 FROM c2
+), c4 AS (
+  SELECT *, CASE WHEN lower(p1[1]) = 'biobiochile' THEN p1[2:] ELSE p1 END AS p2 FROM c3
+), c5 AS (
+  SELECT *, CASE WHEN len(p2) >= 2 AND lower(p2[2]) = 'noticias'
+                 THEN list_concat(p2[1:1], p2[3:]) ELSE p2 END AS p3 FROM c4
+), cands AS (
+  SELECT DISTINCT medio, page_id, category_url,
+    CASE WHEN strpos(link, 'biobiochile.cl') > 0 THEN
+           CASE WHEN bb_path IS NULL OR bb_path = '' OR len(p3) = 0 THEN slug
+                WHEN lower(p3[1]) = 'noticias-patrocinadas' THEN 'noticias-patrocinadas'
+                ELSE array_to_string(p3, '/') END
+         WHEN strpos(link, 'latercera.com') > 0 THEN COALESCE(lt_segs[1], 'sin-categoria')
+         ELSE slug END AS categoria,
+    link AS url
+  FROM c5
+)
+"""
+
+
+@register("X12_UD2_anchors", _LINKS_SQL + "SELECT page_id, pos, href, link FROM links")
+def q_anchors(spark, sf_dir):
+    """X12/UD2/STR3/F3/S7: anchors of every page, resolved against the page URL."""
+    l = K.resolved_links(_pages(spark, sf_dir))
+    return l.select("page_id", F.col("pos").cast("long").alias("pos"), "href", "link")
+
+
+@register("X16_F1_category_links", _LINKS_SQL + """
+SELECT DISTINCT medio, link AS category_url FROM links WHERE strpos(link, '/the') > 0""")
+def q_category_links(spark, sf_dir):
+    """Category links found on the pages."""
+    return K.category_links(K.resolved_links(_pages(spark, sf_dir)), PAGES_SITE["category_pattern"])
+
+
+@register("X17_STR1_news_candidates", _LINKS_SQL + "SELECT * FROM cands")
+def q_news_candidates(spark, sf_dir):
+    """X17/F2/J4/F15/STR1/STR2: news links per category page with their category tag."""
+    return _cands(spark, sf_dir)
+
+
+@register("X18_U1_news_links", _LINKS_SQL + "SELECT DISTINCT medio, categoria, url FROM cands")
+def q_news_links(spark, sf_dir):
+    """Distinct (categoria, url) pairs per outlet."""
+    return K.news_links(_cands(spark, sf_dir))
+
+
+@register("U3_J7_first_seen_links", _LINKS_SQL + """
+SELECT url, categoria AS tags, medio FROM (
+  SELECT *, row_number() OVER (PARTITION BY medio, url ORDER BY page_id, categoria) AS rn
+  FROM cands) t WHERE rn = 1""")
+def q_first_seen(spark, sf_dir):
+    """U3/J7/K9/P5/ST6 (batch form): URL tasks, first category wins."""
+    return K.first_seen(_cands(spark, sf_dir))
+
+
+@register("A13_crawl_metrics", _LINKS_SQL + """
+, cats AS (SELECT medio, count(DISTINCT category_url) AS total_categorias FROM pg GROUP BY medio)
+, prs AS (SELECT medio, count(*) AS total_urls_encontradas
+          FROM (SELECT DISTINCT medio, categoria, url FROM cands) GROUP BY medio)
+SELECT medio, CAST(COALESCE(total_categorias, 0) AS BIGINT) AS total_categorias,
+       CAST(COALESCE(total_urls_encontradas, 0) AS BIGINT) AS total_urls_encontradas,
+       CASE WHEN COALESCE(total_categorias, 0) > 0
+            THEN CAST(COALESCE(total_urls_encontradas, 0) AS DOUBLE) / total_categorias
+            ELSE 0.0 END AS urls_por_categoria,
+       0.0 AS duracion_segundos, 0.0 AS urls_por_minuto
+FROM cats FULL OUTER JOIN prs USING (medio)""")
+def q_crawl_metrics(spark, sf_dir):
+    """A13/MA1/D12: crawl totals per outlet (run duration is an input; 0 here)."""
+    return K.crawl_metrics(_pages(spark, sf_dir), _cands(spark, sf_dir))
+
+
+@register("W1_A17_crawl_progress", _LINKS_SQL + """
+, firsts AS (SELECT medio, categoria, url, min(page_id) AS page_id FROM cands
+             GROUP BY medio, categoria, url)
+, newp AS (SELECT medio, page_id, count(*) AS n_new FROM firsts GROUP BY medio, page_id)
+, base AS (SELECT p.medio, p.page_id, COALESCE(n.n_new, 0) AS n_new
+           FROM (SELECT DISTINCT medio, page_id FROM pg) p
+           LEFT JOIN newp n ON n.medio = p.medio AND n.page_id = p.page_id)
+, run AS (SELECT *, count(*) OVER w AS done, sum(n_new) OVER w AS found,
+                 count(*) OVER (PARTITION BY medio) AS total
+          FROM base WINDOW w AS (PARTITION BY medio ORDER BY page_id
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT medio AS sitio, page_id,
+       CASE WHEN done = total THEN 'completed' ELSE 'running' END AS status,
+       CAST(total AS BIGINT) AS total_categorias, CAST(done AS BIGINT) AS categorias_procesadas,
+       CASE WHEN total > 0 THEN CAST(done AS DOUBLE) / total * 100.0 ELSE 0.0 END AS porcentaje,
+       CAST(found AS BIGINT) AS urls_encontradas
+FROM run""")
+def q_crawl_progress(spark, sf_dir):
+    """Crawl progress after each category page."""
+    return K.crawl_progress(_pages(spark, sf_dir), _cands(spark, sf_dir))

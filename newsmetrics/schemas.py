@@ -94,12 +94,11 @@ SCRAPE_METRICS_VALUE = _struct(
 SCRAPE_PROGRESS = T.StructType([T.StructField("medio", S)] + SCRAPE_PROGRESS_VALUE.fields)
 CRAWL_METRICS = T.StructType([T.StructField("medio", S)] + CRAWL_METRICS_VALUE.fields)
 
-# Output of page extraction (one row per page)
+# Output of page extraction (one row per page), before validation
 EXTRACTED = _struct(
     ("page_id", L), ("url", S), ("medio", S), ("profile", S),
     ("categoria", S), ("titulo", S), ("fecha", S), ("autor", S), ("desc_autor", S),
-    ("abstract", S), ("cuerpo_parts", T.ArrayType(S)), ("cuerpo_filtered", T.ArrayType(S)),
-    ("cuerpo_video", S), ("cuerpo_en_vivo", T.ArrayType(LIVE_ENTRY)),
+    ("abstract", S), ("cuerpo", S), ("cuerpo_en_vivo", T.ArrayType(LIVE_ENTRY)),
     ("multimedia", T.ArrayType(S)), ("imagenes", T.ArrayType(IMAGE)),
     ("videos", T.ArrayType(S)), ("error", S),
 )
