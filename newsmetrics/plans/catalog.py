@@ -313,3 +313,41 @@ FROM run""")
 def q_crawl_progress(spark, sf_dir):
     """Crawl progress after each category page."""
     return K.crawl_progress(_pages(spark, sf_dir), _cands(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- article extraction
+
+def _page_articles(spark, sf_dir):
+    pages = D.table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    cp = K.category_pages(pages).select("page_id", F.col("category_url").alias("url"),
+                                         "medio", "html")
+    return X.extract_articles(cp.withColumn("profile", F.lit(PAGES_SITE["profile"])))
+
+
+_ARTICLE_SQL = r"""
+WITH a AS (
+  SELECT page_id, url,
+         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:@]*)', 1)) AS medio,
+         replace(replace(replace(replace(
+           regexp_extract(html, '<article>.*?<h1>(.*?)</h1>', 1),
+           '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS h1,
+         regexp_replace(regexp_replace(regexp_extract(html, '<article>(.*)</article>', 1),
+           '<h1>.*?</h1>', ''), '<[^>]*>', '', 'g') AS body_text
+  FROM pages
+)
+SELECT page_id, url, medio, NULLIF(trim(h1), '') AS titulo,
+       CASE WHEN trim(h1) <> '' AND regexp_matches(body_text, '[^\s]') THEN 'success'
+            ELSE 'error' END AS status
+FROM a"""
+
+
+@register("X13_X15_page_articles", _ARTICLE_SQL)
+def q_page_articles(spark, sf_dir):
+    """X1/X11/X13-X15/F7/UD1/J6/S7: article outcome per page (profile G)."""
+    return _page_articles(spark, sf_dir).select("page_id", "url", "medio", "titulo", "status")
+
+
+@register("X9_X11_page_bodies")
+def q_page_bodies(spark, sf_dir):
+    """X2/X9/X11/STR9: full article bodies (rows-only check; nested <p> semantics)."""
+    return _page_articles(spark, sf_dir).select("page_id", "cuerpo", "missing", "error")
