@@ -19,7 +19,7 @@ METRIC_COLUMNS = ["medio", "total_urls_procesadas", "scrape_exitosos", "scrape_f
                   "tiempo_promedio_scrape"]
 
 
-def url_status(typed_logs: DataFrame, keep: str = "oldest") -> DataFrame:
+def url_status(typed_logs: DataFrame, keep: str = "oldest", by: tuple = ()) -> DataFrame:
     """A2: one status per (medio, url).
 
     ``oldest`` is what the reference actually does (its read order is newest
@@ -29,7 +29,7 @@ def url_status(typed_logs: DataFrame, keep: str = "oldest") -> DataFrame:
     if keep not in ("oldest", "latest"):
         raise ValueError("keep must be 'oldest' or 'latest'")
     pick = F.min_by if keep == "oldest" else F.max_by
-    return typed_logs.groupBy("medio", "url").agg(
+    return typed_logs.groupBy(*by, "medio", "url").agg(
         pick("status", "arrival_seq").alias("status"),
         F.min("start_ts").alias("min_start"),
         F.max("finish_ts").alias("max_finish"),
@@ -38,11 +38,11 @@ def url_status(typed_logs: DataFrame, keep: str = "oldest") -> DataFrame:
     )
 
 
-def outlet_metrics(typed_logs: DataFrame, keep: str = "oldest") -> DataFrame:
-    """Metrics per outlet, unrounded."""
-    per_url = url_status(typed_logs, keep)
+def outlet_metrics(typed_logs: DataFrame, keep: str = "oldest", by: tuple = ()) -> DataFrame:
+    """Metrics per outlet (and per ``by`` keys, e.g. the batch id), unrounded."""
+    per_url = url_status(typed_logs, keep, by)
     has_url = non_empty(F.col("url"))
-    agg = per_url.groupBy("medio").agg(
+    agg = per_url.groupBy(*by, "medio").agg(
         F.count_if(has_url).alias("total"),
         F.count_if(has_url & (F.col("status") == "success")).alias("exitos"),
         F.min("min_start").alias("min_start"),
@@ -55,7 +55,7 @@ def outlet_metrics(typed_logs: DataFrame, keep: str = "oldest") -> DataFrame:
            .when(F.col("n_dur") > 0, F.col("sum_dur_ms") / 1000.0)
            .otherwise(F.lit(0.0)))
     return (agg.withColumn("dur", dur).select(
-        "medio",
+        *by, "medio",
         F.col("total").cast("long").alias("total_urls_procesadas"),
         F.col("exitos").cast("long").alias("scrape_exitosos"),
         (F.col("total") - F.col("exitos")).cast("long").alias("scrape_fallidos"),
@@ -133,6 +133,14 @@ def apply_progress(metrics: DataFrame, progress: DataFrame) -> DataFrame:
     return j.select(*out)
 
 
+def latest_per_medio(per_batch: DataFrame, batch_col: str = "id_logging_process") -> DataFrame:
+    """K6 applied over a sequence of runs: each outlet keeps its latest run's row."""
+    cols = [c for c in per_batch.columns if c not in ("medio", batch_col)]
+    g = per_batch.groupBy("medio").agg(
+        F.max_by(F.struct(*cols), F.col(batch_col)).alias("__r"))
+    return g.select("medio", *[F.col("__r")[c].alias(c) for c in cols])
+
+
 def upsert_by_medio(old: DataFrame, new: DataFrame) -> DataFrame:
     """Replace the outlets present in ``new``, keep the others.
 

@@ -88,8 +88,9 @@ def change_points(series: DataFrame, keys: list[str], order: str,
     The value before the first snapshot is all zeros (the chart's seed), so a
     first snapshot of zeros is dropped, and the first non-zero one replaces it.
     """
-    prev = windows.lag(series, keys=keys, order=order, cols=cols, block_size=block_size,
-                       prefix="__prev_")
+    blk = windows.time_block(F.col(order)) if block_size == 0 else None
+    prev = windows.lag(series, keys=keys, order=order, cols=cols, block=blk,
+                       block_size=block_size or 1, prefix="__prev_")
     same = F.lit(True)
     for c in cols:
         same = same & F.coalesce(F.col(f"__prev_{c}"), F.lit(0)).eqNullSafe(F.col(c))
@@ -125,12 +126,13 @@ def stalls(series: DataFrame, keys: list[str], order: str, value: str,
     previous reading; island ids are a running sum of start flags. Output: one
     row per stalled island with its first/last order value and length.
     """
-    prev = windows.lag(series, keys=keys, order=order, cols=[value], block_size=block_size,
-                       prefix="__prev_")
+    blk = (lambda: windows.time_block(F.col(order))) if block_size == 0 else (lambda: None)
+    prev = windows.lag(series, keys=keys, order=order, cols=[value], block=blk(),
+                       block_size=block_size or 1, prefix="__prev_")
     flagged = prev.withColumn(
         "__start", (~F.col(f"__prev_{value}").eqNullSafe(F.col(value))).cast("long"))
-    isl = windows.running_sums(flagged, keys=keys, order=order,
-                               sums={"island": "__start"}, block_size=block_size)
+    isl = windows.running_sums(flagged, keys=keys, order=order, sums={"island": "__start"},
+                               block=blk(), block_size=block_size or 1)
     return (isl.groupBy(*keys, "island").agg(
                 F.min(order).alias("first"), F.max(order).alias("last"),
                 F.first(value).alias(value), F.count(F.lit(1)).alias("polls"))
@@ -168,3 +170,66 @@ def missing_urls(crawl: DataFrame, typed_logs: DataFrame) -> DataFrame:
 def crawl_progress_pct(done, total):
     """100*done/total, 0 when total is 0 (rounded to 1 place only on export, MA2)."""
     return F.when(total > 0, done / total * 100.0).otherwise(F.lit(0.0))
+
+
+def poll_series(changes: DataFrame, sums: dict[str, str], block_seconds: int = 3600) -> DataFrame:
+    """ST9 / W3 input: per-minute polls of running totals, per outlet.
+
+    ``changes`` has (medio, t, seq, <delta columns>). A poll is taken at every
+    whole minute between the outlet's first and last change (the grid is
+    generated from the data's own time span). A change at exactly a poll's
+    minute is seen by that poll. Polls and changes are merged in time order and
+    summed with the blocked running sum; only the poll rows are returned.
+    """
+    span = changes.groupBy("medio").agg(F.min("t").alias("__t0"), F.max("t").alias("__t1"))
+    minute = lambda c: F.date_trunc("minute", c).cast("timestamp_ntz")
+    polls = span.select("medio", F.explode(F.sequence(
+        minute(F.col("__t0")), minute(F.col("__t1")), F.expr("INTERVAL 1 MINUTE"))).alias("t"))
+    zeros = {src: F.lit(0).cast("long") for src in sums.values()}
+    ev = changes.select("medio", "t", F.col("seq").cast("long").alias("seq"),
+                        F.lit(0).alias("kind"), *[F.col(s).cast("long").alias(s) for s in zeros])
+    pl = polls.select("medio", "t", F.lit(None).cast("long").alias("seq"), F.lit(1).alias("kind"),
+                      *[v.alias(s) for s, v in zeros.items()])
+    u = ev.unionByName(pl).withColumn("__o", F.struct("t", "kind", "seq"))
+    run = windows.running_sums(u, keys=["medio"], order="__o", sums=sums,
+                               block=windows.time_block(F.col("t"), block_seconds))
+    return run.filter(F.col("kind") == 1).select("medio", "t", *sums.keys())
+
+
+def counter_changes(typed_logs: DataFrame) -> DataFrame:
+    """Success / failure increments at each log's time (start, else finish)."""
+    t = F.coalesce("start_ts", "finish_ts")
+    return typed_logs.filter(t.isNotNull()).select(
+        "medio", t.alias("t"), F.col("arrival_seq").alias("seq"),
+        (F.col("status") == "success").cast("long").alias("d_ok"),
+        F.coalesce((F.col("status") != "success"), F.lit(True)).cast("long").alias("d_ko"))
+
+
+def dashboard_series(typed_logs: DataFrame) -> DataFrame:
+    """W3 / ST9: the chart's points: polls whose (success, errors) changed."""
+    polls = poll_series(counter_changes(typed_logs), {"exitosos": "d_ok", "fallidos": "d_ko"})
+    pts = change_points(polls, keys=["medio"], order="t", cols=["exitosos", "fallidos"],
+                        block_size=0)
+    return pts.select("medio", format_log_time("t").alias("t"),
+                      F.col("exitosos").cast("long").alias("exitosos"),
+                      F.col("fallidos").cast("long").alias("fallidos"))
+
+
+def backlog_deltas(typed_logs: DataFrame) -> DataFrame:
+    starts = typed_logs.filter(F.col("start_ts").isNotNull()).select(
+        "medio", F.col("start_ts").alias("t"), F.col("arrival_seq").alias("seq"),
+        F.lit(1).cast("long").alias("delta"))
+    ends = typed_logs.filter(F.col("finish_ts").isNotNull() & F.col("start_ts").isNotNull()) \
+        .select("medio", F.col("finish_ts").alias("t"), (-F.col("arrival_seq") - 1).alias("seq"),
+                F.lit(-1).cast("long").alias("delta"))
+    return starts.unionByName(ends)
+
+
+def backlog_stalls(typed_logs: DataFrame, polls: int = 10) -> DataFrame:
+    """Backlog unchanged for at least ``polls`` consecutive minute polls."""
+    series = poll_series(backlog_deltas(typed_logs), {"backlog": "delta"})
+    st = stalls(series, keys=["medio"], order="t", value="backlog", polls=polls, block_size=0)
+    return st.select("medio", F.col("island").cast("long").alias("island"),
+                     format_log_time("first").alias("first"), format_log_time("last").alias("last"),
+                     F.col("backlog").cast("long").alias("backlog"),
+                     F.col("polls").cast("long").alias("polls"))

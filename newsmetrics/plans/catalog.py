@@ -351,3 +351,161 @@ def q_page_articles(spark, sf_dir):
 def q_page_bodies(spark, sf_dir):
     """X2/X9/X11/STR9: full article bodies (rows-only check; nested <p> semantics)."""
     return _page_articles(spark, sf_dir).select("page_id", "cuerpo", "missing", "error")
+
+
+# ---------------------------------------------------------------- control, errors, batches
+
+from ..operators import control as C  # noqa: E402
+from ..operators import document as DOC  # noqa: E402
+
+_LOG_CTES = [D.SCRAPE_LOG_SQL, D.TYPED_LOG_SQL]
+
+
+@register("P3_F5_control_log", D.with_ctes(D.CONTROL_LOG_SQL, body="SELECT * FROM control_log"))
+def q_control_log(spark, sf_dir):
+    """P3/F5/K11/DT7/DT6: control records of the runs (one run per day)."""
+    return D.control_log(spark, sf_dir)
+
+
+@register("ST4_batch_lifecycle", D.with_ctes(D.CONTROL_LOG_SQL, body="""
+, lc AS (
+  SELECT id_logging_process,
+         min(CASE WHEN action = 'start_batch' THEN strptime(timestamp, '%Y-%m-%d %H:%M:%S') END) AS s,
+         max(CASE WHEN action = 'end_batch_received' THEN strptime(timestamp, '%Y-%m-%d %H:%M:%S') END) AS r,
+         max(CASE WHEN action = 'end_batch_completed' THEN strptime(timestamp, '%Y-%m-%d %H:%M:%S') END) AS c
+  FROM control_log GROUP BY id_logging_process)
+SELECT id_logging_process, strftime(s, '%Y-%m-%d %H:%M:%S') AS started,
+       strftime(r, '%Y-%m-%d %H:%M:%S') AS end_received,
+       strftime(c, '%Y-%m-%d %H:%M:%S') AS end_completed,
+       CAST(epoch_us(c) - epoch_us(s) AS DOUBLE) / 1e6 AS duracion_segundos,
+       CASE WHEN c IS NOT NULL THEN 'completed' ELSE 'open' END AS status
+FROM lc"""))
+def q_batch_lifecycle(spark, sf_dir):
+    """ST4/ST10: batch lifecycle from the control log."""
+    return C.batch_lifecycle(D.control_log(spark, sf_dir))
+
+
+@register("ST3_current_batch_metrics", D.with_ctes(*_LOG_CTES, D.CONTROL_LOG_SQL, body=(
+    _METRICS_SQL.format(pick="arg_min").replace(
+        "FROM typed_log GROUP BY medio, url",
+        "FROM typed_log WHERE id_logging_process = (SELECT arg_max(id_logging_process, "
+        "(strptime(timestamp, '%Y-%m-%d %H:%M:%S'), id_logging_process)) FROM control_log "
+        "WHERE action = 'start_batch') GROUP BY medio, url")
+    + "\nSELECT * FROM metrics")))
+def q_current_batch_metrics(spark, sf_dir):
+    """ST3/K5: metrics of the current batch only (logs after the last start_batch)."""
+    logs = L.current_batch(typed_log(spark, sf_dir), D.control_log(spark, sf_dir))
+    return M.outlet_metrics(logs)
+
+
+@register("ST5_idle_sessions", """
+WITH e AS (SELECT ts, event_id, lag(ts) OVER (ORDER BY ts, event_id) AS pts FROM events),
+f AS (SELECT *, CASE WHEN pts IS NULL OR epoch_us(ts) - epoch_us(pts) > 120000000 THEN 1 ELSE 0 END
+             AS nw FROM e),
+s AS (SELECT *, sum(nw) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session FROM f)
+SELECT CAST(session AS BIGINT) AS session,
+       strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_start,
+       strftime(max(ts) + INTERVAL 120 SECOND, '%Y-%m-%d %H:%M:%S') AS session_end,
+       CAST(count(*) AS BIGINT) AS n_events
+FROM s GROUP BY session""")
+def q_idle_sessions(spark, sf_dir):
+    """ST5: logger batches closed by 120 s of inactivity (gaps and islands)."""
+    return C.idle_sessions(D.table(spark, sf_dir, "events"))
+
+
+@register("P2_F6_error_log", D.with_ctes(D.ERROR_LOG_SQL, body="SELECT * FROM error_log"))
+def q_error_log(spark, sf_dir):
+    """Error records, accepted or quarantined by origin."""
+    return D.error_log(spark, sf_dir)
+
+
+# ---------------------------------------------------------------- running progress and series
+
+@register("W2_A15_running_progress", D.with_log_sql("""
+, b AS (
+  SELECT medio, arrival_seq, status, finish_ts,
+         CASE WHEN status = 'success' THEN 1 ELSE 0 END AS ok,
+         CASE WHEN status IS NULL OR status <> 'success' THEN 1 ELSE 0 END AS ko,
+         CASE WHEN dur_ms > 0 THEN dur_ms ELSE 0.0 END AS d,
+         CASE WHEN dur_ms > 0 THEN 1 ELSE 0 END AS dn,
+         min(start_ts) OVER (PARTITION BY medio) AS t0
+  FROM typed_log
+), r AS (
+  SELECT *, sum(ok) OVER w AS oks, sum(ko) OVER w AS kos, sum(d) OVER w AS ds, sum(dn) OVER w AS dns
+  FROM b WINDOW w AS (PARTITION BY medio ORDER BY arrival_seq
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+)
+SELECT medio, arrival_seq, status, CAST(oks AS BIGINT) AS ok_so_far, CAST(kos AS BIGINT) AS fail_so_far,
+       CASE WHEN dns > 0 THEN ds / dns ELSE 0.0 END AS mean_ms_so_far,
+       CASE WHEN (CAST(epoch_us(finish_ts) - epoch_us(t0) AS DOUBLE) / 1e6) / 60.0 > 0
+            THEN (oks + kos) / ((CAST(epoch_us(finish_ts) - epoch_us(t0) AS DOUBLE) / 1e6) / 60.0)
+            ELSE 0.0 END AS rate_per_min_so_far
+FROM r"""))
+def q_running_progress(spark, sf_dir):
+    """W2/A14/A15/A16/ST7 (batch form): progress after every log."""
+    return P.running_progress(typed_log(spark, sf_dir))
+
+
+@register("W6_backlog", D.with_log_sql("""
+, ev AS (
+  SELECT medio, start_ts AS t, 0 AS kind, arrival_seq, 1 AS delta FROM typed_log
+  WHERE start_ts IS NOT NULL
+  UNION ALL
+  SELECT medio, finish_ts, 1, arrival_seq, -1 FROM typed_log
+  WHERE finish_ts IS NOT NULL AND start_ts IS NOT NULL
+)
+SELECT medio, strftime(t, '%Y-%m-%d %H:%M:%S') AS t, kind, arrival_seq,
+       CAST(sum(delta) OVER (PARTITION BY medio ORDER BY t, kind, arrival_seq
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS backlog
+FROM ev"""))
+def q_backlog(spark, sf_dir):
+    """Tasks in flight (started minus finished) after every change."""
+    return P.backlog(typed_log(spark, sf_dir))
+
+
+_POLLS_SQL = """
+, span AS (SELECT medio, min(t) AS t0, max(t) AS t1 FROM ch GROUP BY medio)
+, polls AS (SELECT medio, unnest(generate_series(date_trunc('minute', t0), date_trunc('minute', t1),
+                                                 INTERVAL 1 MINUTE)) AS t FROM span)
+, u AS (SELECT medio, t, seq, 0 AS kind, {deltas} FROM ch
+        UNION ALL SELECT medio, t, NULL, 1, {zeros} FROM polls)
+, r AS (SELECT medio, t, kind, {sums} FROM u
+        WINDOW w AS (PARTITION BY medio ORDER BY t, kind, seq NULLS FIRST
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+, p AS (SELECT * FROM r WHERE kind = 1)"""
+
+
+@register("W3_ST9_dashboard_series", D.with_log_sql("""
+, ch AS (SELECT medio, COALESCE(start_ts, finish_ts) AS t, arrival_seq AS seq,
+                CASE WHEN status = 'success' THEN 1 ELSE 0 END AS d_ok,
+                CASE WHEN status IS NULL OR status <> 'success' THEN 1 ELSE 0 END AS d_ko
+         FROM typed_log WHERE COALESCE(start_ts, finish_ts) IS NOT NULL)""" + _POLLS_SQL.format(
+    deltas="d_ok, d_ko", zeros="0, 0",
+    sums="sum(d_ok) OVER w AS exitosos, sum(d_ko) OVER w AS fallidos") + """
+, c AS (SELECT *, lag(exitosos) OVER (PARTITION BY medio ORDER BY t) AS pe,
+               lag(fallidos) OVER (PARTITION BY medio ORDER BY t) AS pf FROM p)
+SELECT medio, strftime(t, '%Y-%m-%d %H:%M:%S') AS t, CAST(exitosos AS BIGINT) AS exitosos,
+       CAST(fallidos AS BIGINT) AS fallidos
+FROM c WHERE NOT (COALESCE(pe, 0) = exitosos AND COALESCE(pf, 0) = fallidos)"""))
+def q_dashboard_series(spark, sf_dir):
+    """W3/ST9/A18: chart points from minute polls, emitted only on change."""
+    return P.dashboard_series(typed_log(spark, sf_dir))
+
+
+@register("W5_backlog_stalls", D.with_log_sql("""
+, ch AS (SELECT medio, start_ts AS t, arrival_seq AS seq, 1 AS delta FROM typed_log
+         WHERE start_ts IS NOT NULL
+         UNION ALL
+         SELECT medio, finish_ts, -arrival_seq - 1, -1 FROM typed_log
+         WHERE finish_ts IS NOT NULL AND start_ts IS NOT NULL)""" + _POLLS_SQL.format(
+    deltas="delta", zeros="0", sums="sum(delta) OVER w AS backlog") + """
+, f AS (SELECT *, CASE WHEN lag(backlog) OVER (PARTITION BY medio ORDER BY t) IS NOT DISTINCT FROM backlog
+                       THEN 0 ELSE 1 END AS st FROM p)
+, i AS (SELECT *, sum(st) OVER (PARTITION BY medio ORDER BY t ROWS UNBOUNDED PRECEDING) AS island FROM f)
+SELECT medio, CAST(island AS BIGINT) AS island, strftime(min(t), '%Y-%m-%d %H:%M:%S') AS first,
+       strftime(max(t), '%Y-%m-%d %H:%M:%S') AS last, CAST(min(backlog) AS BIGINT) AS backlog,
+       CAST(count(*) AS BIGINT) AS polls
+FROM i GROUP BY medio, island HAVING count(*) >= 10"""))
+def q_backlog_stalls(spark, sf_dir):
+    """Stalls, backlog unchanged for 10 consecutive minute polls."""
+    return P.backlog_stalls(typed_log(spark, sf_dir), polls=10)

@@ -138,3 +138,77 @@ typed_log AS (
 def with_log_sql(body: str, typed: bool = True) -> str:
     ctes = [SCRAPE_LOG_SQL] + ([TYPED_LOG_SQL] if typed else [])
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n" + body
+
+
+def control_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D10 derived: one run per day; start at its first event, end received at its
+    last event, end completed after the 120 s idle timeout."""
+    from ..operators.control import IDLE_TIMEOUT_S, control_record
+    e = table(spark, sf_dir, "events").select("ts")
+    day = F.date_trunc("day", F.col("ts")).cast("timestamp_ntz")
+    g = e.groupBy(batch_id(day).alias("id")).agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    rows = F.explode(F.array(
+        F.struct(F.lit("start_batch").alias("action"), F.col("a").alias("t")),
+        F.struct(F.lit("end_batch_received").alias("action"), F.col("b").alias("t")),
+        F.struct(F.lit("end_batch_completed").alias("action"),
+                 F.timestamp_add("SECOND", F.lit(IDLE_TIMEOUT_S), F.col("b")).alias("t"))))
+    x = g.select("id", rows.alias("r")).select("id", "r.action", "r.t")
+    return control_record(x, "id", "action", "t")
+
+
+CONTROL_LOG_SQL = """
+control_g AS (
+  SELECT CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS id, min(ts) AS a, max(ts) AS b
+  FROM events GROUP BY 1
+), control_log AS (
+  SELECT id AS id_logging_process, 'start_batch' AS action,
+         strftime(a, '%Y-%m-%d %H:%M:%S') AS timestamp FROM control_g
+  UNION ALL
+  SELECT id, 'end_batch_received', strftime(b, '%Y-%m-%d %H:%M:%S') FROM control_g
+  UNION ALL
+  SELECT id, 'end_batch_completed', strftime(b + INTERVAL 120 SECOND, '%Y-%m-%d %H:%M:%S')
+  FROM control_g
+)"""
+
+
+def error_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D9 derived: error events; origin by ``user_id % 3`` (the third origin is not
+    accepted, F6); the crawler reports a URL as ``arg_medio`` (drift of D9)."""
+    from ..operators.control import error_record
+    e = table(spark, sf_dir, "events").filter(F.col("event_type") == "error") \
+        .select("event_id", "ts", "user_id", "props")
+    medio = F.when(F.col("user_id") % 2 == 0, F.lit("biobiochile")).otherwise(F.lit("latercera"))
+    origen = (F.when(F.col("user_id") % 3 == 0, F.lit("scheduler"))
+              .when(F.col("user_id") % 3 == 1, F.lit("crawler")).otherwise(F.lit("notifier")))
+    x = e.select(
+        origen.alias("origen"), F.col("ts").alias("error_ts"),
+        F.col("props").alias("error_detail"),
+        F.when(origen == "crawler", F.concat(F.lit("https://"), medio, F.lit(".example/")))
+         .otherwise(medio).alias("arg_medio"),
+        F.when(origen == "scheduler", F.lit("scheduler_start"))
+         .when(origen == "crawler", F.lit("crawl_categories")).alias("etapa"),
+        batch_id(F.date_trunc("day", F.col("ts")).cast("timestamp_ntz")).alias("id_logging_process"))
+    return error_record(x)
+
+
+ERROR_LOG_SQL = """
+err_e AS (
+  SELECT *, CASE WHEN user_id % 2 = 0 THEN 'biobiochile' ELSE 'latercera' END AS m,
+         CASE WHEN user_id % 3 = 0 THEN 'scheduler' WHEN user_id % 3 = 1 THEN 'crawler'
+              ELSE 'notifier' END AS origen
+  FROM events WHERE event_type = 'error'
+), error_log AS (
+  SELECT origen AS "from",
+         CASE WHEN origen = 'crawler' THEN 'https://' || m || '.example/' ELSE m END AS arg_medio,
+         strftime(ts, '%Y-%m-%d %H:%M:%S') AS error_timestamp,
+         CASE WHEN origen = 'scheduler' THEN 'scheduler_start'
+              WHEN origen = 'crawler' THEN 'crawl_categories' ELSE '' END AS stage,
+         props AS error_detail,
+         CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS id_logging_process,
+         CASE WHEN origen IN ('scheduler', 'crawler') THEN 'accepted' ELSE 'rejected' END AS accepted
+  FROM err_e
+)"""
+
+
+def with_ctes(*ctes: str, body: str) -> str:
+    return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n" + body
