@@ -80,5 +80,6 @@ def dashboard_row(progress: DataFrame, active: DataFrame) -> DataFrame:
         "medio", display_name("medio").alias("medio_nombre"),
         F.coalesce("total_articulos_exitosos", F.lit(0)).cast("long").alias("exitosos"),
         F.coalesce("total_articulos_fallidos", F.lit(0)).cast("long").alias("fallidos"),
-        F.format_number(F.coalesce("articulos_por_minuto", F.lit(0.0)), 1).alias("tasa"),
+        F.format_string("%.1f", F.coalesce("articulos_por_minuto", F.lit(0.0))).alias("tasa_txt"),
+        "articulos_por_minuto",
         F.current_timestamp().alias("timestamp"))

@@ -509,3 +509,116 @@ FROM i GROUP BY medio, island HAVING count(*) >= 10"""))
 def q_backlog_stalls(spark, sf_dir):
     """Stalls, backlog unchanged for 10 consecutive minute polls."""
     return P.backlog_stalls(typed_log(spark, sf_dir), polls=10)
+
+
+# ---------------------------------------------------------------- reconciliation, upsert, document
+
+def _crawl_rows(spark, sf_dir):
+    """Crawled URL tasks (medio, url) from the pages (U3 output)."""
+    return K.first_seen(_cands(spark, sf_dir)).select("medio", "url")
+
+
+_LINKS_CTES = _LINKS_SQL.strip()[len("WITH"):]
+_FIRST_SEEN_SQL = """
+, crawl AS (SELECT medio, url FROM (
+    SELECT *, row_number() OVER (PARTITION BY medio, url ORDER BY page_id, categoria) AS rn
+    FROM cands) t WHERE rn = 1)"""
+_OK_URLS_SQL = """
+, ok_urls AS (SELECT medio, url FROM typed_log WHERE url IS NOT NULL AND url <> ''
+              GROUP BY medio, url HAVING arg_min(status, arrival_seq) = 'success')"""
+
+
+@register("J3_A20_coverage", D.with_ctes(*_LOG_CTES, _LINKS_CTES, body=_FIRST_SEEN_SQL + _OK_URLS_SQL + """
+, u AS (SELECT medio, 1 AS c, 0 AS s FROM crawl UNION ALL SELECT medio, 0, 1 FROM ok_urls)
+SELECT medio, CAST(sum(c) AS BIGINT) AS crawled, CAST(sum(s) AS BIGINT) AS scraped_ok,
+       CAST(sum(c) - sum(s) AS BIGINT) AS pending,
+       CASE WHEN sum(c) = 0 THEN NULL ELSE CAST(sum(s) AS DOUBLE) / CAST(sum(c) AS DOUBLE) END AS ok_ratio
+FROM u GROUP BY medio"""))
+def q_coverage(spark, sf_dir):
+    """Crawled vs scraped per outlet (union + one aggregate, no join)."""
+    return P.coverage(_crawl_rows(spark, sf_dir), typed_log(spark, sf_dir))
+
+
+@register("J3_missing_urls", D.with_ctes(*_LOG_CTES, _LINKS_CTES, body=_FIRST_SEEN_SQL + _OK_URLS_SQL + """
+SELECT c.medio, c.url FROM crawl c
+WHERE NOT EXISTS (SELECT 1 FROM ok_urls o WHERE o.medio = c.medio AND o.url = c.url)"""))
+def q_missing_urls(spark, sf_dir):
+    """J3 (row form): crawled URLs without a successful scrape (anti join)."""
+    return P.missing_urls(_crawl_rows(spark, sf_dir), typed_log(spark, sf_dir))
+
+
+_BATCH_METRICS_SQL = _METRICS_SQL.format(pick="arg_min") \
+    .replace("SELECT medio, url,", "SELECT id_logging_process, medio, url,") \
+    .replace("FROM typed_log GROUP BY medio, url", "FROM typed_log GROUP BY id_logging_process, medio, url") \
+    .replace("  SELECT medio,\n         count(*)", "  SELECT id_logging_process, medio,\n         count(*)") \
+    .replace("FROM per_url GROUP BY medio", "FROM per_url GROUP BY id_logging_process, medio") \
+    .replace("), metrics AS (\nSELECT medio,", "), metrics AS (\nSELECT id_logging_process, medio,")
+
+
+@register("K6_J2_U5_upsert_metrics", D.with_log_sql(_BATCH_METRICS_SQL + """
+SELECT medio, total_urls_procesadas, scrape_exitosos, scrape_fallidos, porcentaje_exito,
+       duracion_segundos, noticias_por_minuto, tiempo_promedio_scrape
+FROM (SELECT *, row_number() OVER (PARTITION BY medio ORDER BY id_logging_process DESC) AS rn
+      FROM metrics) t WHERE rn = 1"""))
+def q_upsert_metrics(spark, sf_dir):
+    """The metrics store after all runs, built with the upsert of the last run."""
+    per_batch = M.outlet_metrics(typed_log(spark, sf_dir), by=("id_logging_process",))
+    last = per_batch.agg(F.max("id_logging_process")).scalar()
+    store = M.latest_per_medio(per_batch.filter(F.col("id_logging_process") < last))
+    new = per_batch.filter(F.col("id_logging_process") == last).drop("id_logging_process")
+    return M.upsert_by_medio(store, new)
+
+
+_CRAWL_METRICS_SQL = """
+, cats AS (SELECT medio, count(DISTINCT category_url) AS total_categorias FROM pg GROUP BY medio)
+, prs AS (SELECT medio, count(*) AS total_urls_encontradas
+          FROM (SELECT DISTINCT medio, categoria, url FROM cands) GROUP BY medio)
+, crawl_metrics AS (
+  SELECT medio, CAST(COALESCE(total_categorias, 0) AS BIGINT) AS total_categorias,
+         CAST(COALESCE(total_urls_encontradas, 0) AS BIGINT) AS total_urls_encontradas,
+         CASE WHEN COALESCE(total_categorias, 0) > 0
+              THEN CAST(COALESCE(total_urls_encontradas, 0) AS DOUBLE) / total_categorias
+              ELSE 0.0 END AS urls_por_categoria,
+         0.0 AS duracion_segundos, 0.0 AS urls_por_minuto
+  FROM cats FULL OUTER JOIN prs USING (medio))"""
+
+
+@register("J5_P9_metrics_document", D.with_ctes(*_LOG_CTES, _LINKS_CTES, body=(
+    _METRICS_SQL.format(pick="arg_min") + _PROGRESS_SQL + _CRAWL_METRICS_SQL + """
+SELECT COALESCE(m.medio, p.medio, c.medio) AS medio,
+       m.total_urls_procesadas AS m_total_urls_procesadas, m.scrape_exitosos AS m_scrape_exitosos,
+       m.scrape_fallidos AS m_scrape_fallidos, m.porcentaje_exito AS m_porcentaje_exito,
+       m.duracion_segundos AS m_duracion_segundos, m.noticias_por_minuto AS m_noticias_por_minuto,
+       m.tiempo_promedio_scrape AS m_tiempo_promedio_scrape,
+       p.total_articulos_exitosos AS p_total_articulos_exitosos,
+       p.total_articulos_fallidos AS p_total_articulos_fallidos,
+       p.duracion_promedio_ms AS p_duracion_promedio_ms, p.articulos_por_minuto AS p_articulos_por_minuto,
+       p.ultima_actualizacion AS p_ultima_actualizacion, p.start_time AS p_start_time,
+       c.total_categorias AS c_total_categorias, c.total_urls_encontradas AS c_total_urls_encontradas,
+       c.urls_por_categoria AS c_urls_por_categoria, c.duracion_segundos AS c_duracion_segundos,
+       c.urls_por_minuto AS c_urls_por_minuto
+FROM metrics m FULL OUTER JOIN progress p ON p.medio = m.medio
+     FULL OUTER JOIN crawl_metrics c ON c.medio = COALESCE(m.medio, p.medio)""")))
+def q_metrics_document(spark, sf_dir):
+    """J5/P9/S1/MP1: per-outlet metric document (scraper metrics, progress, crawler metrics)."""
+    t = typed_log(spark, sf_dir)
+    return DOC.metrics_document(M.outlet_metrics(t), P.live_progress(t),
+                                K.crawl_metrics(_pages(spark, sf_dir), _cands(spark, sf_dir)))
+
+
+@register("P10_P12_dashboard_row", D.with_log_sql(_PROGRESS_SQL + """
+, act AS (SELECT min(medio) AS medio FROM progress)
+SELECT p.medio, CASE p.medio WHEN 'biobiochile' THEN 'BioBio Chile'
+                             WHEN 'latercera' THEN 'La Tercera' ELSE p.medio END AS medio_nombre,
+       CAST(COALESCE(p.total_articulos_exitosos, 0) AS BIGINT) AS exitosos,
+       CAST(COALESCE(p.total_articulos_fallidos, 0) AS BIGINT) AS fallidos,
+       COALESCE(p.articulos_por_minuto, 0.0) AS tasa
+FROM progress p JOIN act USING (medio)"""))
+def q_dashboard_row(spark, sf_dir):
+    """Dashboard numbers of the active outlet (no crawl in progress here)."""
+    prog = P.live_progress(typed_log(spark, sf_dir))
+    empty_crawl = prog.limit(0).select(F.lit(None).cast("string").alias("sitio"))
+    active = DOC.active_outlet(empty_crawl, prog.select("medio"))
+    return DOC.dashboard_row(prog, active).drop("timestamp") \
+        .withColumn("tasa", F.coalesce("articulos_por_minuto", F.lit(0.0))) \
+        .select("medio", "medio_nombre", "exitosos", "fallidos", "tasa")
