@@ -88,7 +88,16 @@ def normalize_pub_date(c) -> Column:
     tried in order; unparsed text passes through.
     """
     raw = col(c)
-    p = before_pipe(raw)
+    return normalize_pub_date_part(before_pipe(raw), is_blank(raw))
+
+
+def normalize_pub_date_part(p, blank) -> Column:
+    """DT3 on the already split and stripped text ``p`` (``blank``: raw was blank).
+
+    Lets callers compute the split once in an earlier projection, which keeps
+    the generated code small.
+    """
+    p, blank = col(p), col(blank)
     looks_iso = (p.contains("T") & (p.contains("Z") | p.contains("+")
                                     | F.right(p, F.lit(6)).contains("-")))
     cut = F.when(p.contains("."), F.substring_index(p, ".", 1)).otherwise(
@@ -101,7 +110,7 @@ def normalize_pub_date(c) -> Column:
                    _date_from(p, _DMY_SLASH, "d/M/y"),
                    _date_from(p, _YMD_SLASH, "y/M/d"))
     out = F.when(d.isNotNull(), spanish_date(d)).otherwise(p)
-    return F.when(~is_blank(raw), out)
+    return F.when(~blank, out)
 
 
 def iso_to_spanish(c) -> Column:

@@ -94,3 +94,44 @@ def matches_any(u, patterns) -> Column:
     """The link contains any of the patterns (array<string> column)."""
     u = col(u)
     return F.exists(col(patterns), lambda p: F.instr(u, p) > 0)
+
+
+def add_category(df, link: str, slug: str, out: str = "categoria"):
+    """STR1 as staged projections (same rules as ``category``).
+
+    Each step refers to the previous step's columns, so the path split is
+    evaluated once per row instead of being re-embedded in every branch.
+    """
+    u = F.col(link)
+    d = df.select("*",
+                  F.when(u.contains(BIOBIO_MARKERS[0]), _after_first(u, BIOBIO_MARKERS[0]))
+                   .when(u.contains(BIOBIO_MARKERS[1]), _after_first(u, BIOBIO_MARKERS[1]))
+                   .alias("__cp"),
+                  url_path(u).alias("__lp"))
+    d = d.select("*", F.filter(F.split("__cp", "/"), lambda p: p != F.lit("")).alias("__pa"),
+                 F.try_element_at(F.filter(F.split("__lp", "/"), lambda p: p != F.lit("")),
+                                  F.lit(1)).alias("__l1"))
+    ypos = F.array_position(F.transform("__pa", lambda p: p.rlike("^[0-9]{4}$")), True)
+    d = d.select("*", F.least(F.when(ypos > 0, ypos - 1).otherwise(F.size("__pa")),
+                              F.lit(MAX_CATEGORY_LEVELS)).alias("__L"))
+    first = F.lower(F.try_element_at("__pa", F.lit(1)))
+    d = d.select("*", F.when((F.col("__L") >= 1) & (first == BIOBIO_SELF), 2)
+                 .otherwise(1).alias("__s"))
+    d = d.select("*", (F.col("__L") - F.col("__s") + 1).alias("__m"))
+    second = F.lower(F.try_element_at("__pa", F.col("__s") + 1))
+    d = d.select("*", ((F.col("__m") >= 2) & (second == NOTICIAS)).alias("__rm"))
+    kept = F.when(F.col("__rm"),
+                  F.concat(F.slice("__pa", F.col("__s"), F.lit(1)),
+                           F.slice("__pa", F.col("__s") + 2, F.greatest(F.col("__m") - 2, F.lit(0)))))\
+        .otherwise(F.slice("__pa", F.col("__s"), F.greatest(F.col("__m"), F.lit(0))))
+    n_kept = F.col("__m") - F.col("__rm").cast("int")
+    head = F.lower(F.try_element_at("__pa", F.col("__s")))
+    biobio = (F.when(F.col("__cp").isNull() | (F.col("__cp") == ""), F.col(slug))
+              .when(n_kept <= 0, F.col(slug))
+              .when(head == SPONSORED, F.lit(SPONSORED))
+              .otherwise(F.array_join(kept, "/")))
+    res = (F.when(u.contains(BIOBIO_HOST), biobio)
+           .when(u.contains(LATERCERA_HOST), F.coalesce(F.col("__l1"), F.lit(NO_CATEGORY)))
+           .otherwise(F.col(slug)))
+    return d.select("*", res.alias(out)).drop("__cp", "__lp", "__pa", "__l1", "__L", "__s",
+                                              "__m", "__rm")

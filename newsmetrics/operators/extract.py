@@ -244,19 +244,22 @@ def _extract_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _anchor_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"],
-                            "hrefs": [anchors(H.parse(h)) for h in pdf["html"]]})
-
-
-ANCHORS_SCHEMA = T.StructType([T.StructField("page_id", T.LongType()),
-                               T.StructField("url", T.StringType()),
-                               T.StructField("hrefs", T.ArrayType(T.StringType()))])
+        out = pdf.drop(columns=["html"])
+        out["hrefs"] = [anchors(H.parse(h)) for h in pdf["html"]]
+        yield out
 
 
 def page_anchors(pages: DataFrame) -> DataFrame:
-    """X12 / UD2: one row per anchor (page_id, url, pos, href), document order kept."""
-    a = pages.select("page_id", "url", "html").mapInPandas(_anchor_batches, ANCHORS_SCHEMA)
-    return a.select("page_id", "url", F.posexplode("hrefs").alias("pos", "href"))
+    """X12 / UD2: one row per anchor (page columns, pos, href), document order kept.
+
+    Every input column except ``html`` passes through the HTML step, so no
+    join back to the page table is needed.
+    """
+    schema = T.StructType([f for f in pages.schema.fields if f.name != "html"]
+                          + [T.StructField("hrefs", T.ArrayType(T.StringType()))])
+    a = pages.mapInPandas(_anchor_batches, schema)
+    keep = [f.name for f in schema.fields if f.name != "hrefs"]
+    return a.select(*keep, F.posexplode("hrefs").alias("pos", "href"))
 
 
 def raw_articles(pages: DataFrame) -> DataFrame:

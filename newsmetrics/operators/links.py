@@ -32,12 +32,10 @@ def category_pages(pages: DataFrame) -> DataFrame:
 def resolved_links(pages: DataFrame) -> DataFrame:
     """X12 + F3 + STR3: (page_id, medio, category_url, slug, pos, href, link)."""
     cp = category_pages(pages)
-    a = extract.page_anchors(cp.select("page_id", F.col("category_url").alias("url"), "html"))
-    meta = cp.select("page_id", "medio", "category_url", "slug")
-    # join back the page columns by page_id (both sides are per-page; no fan-out)
-    return (a.join(meta, "page_id")
-            .select("page_id", "medio", "category_url", "slug", "pos", "href",
-                    urls.resolve_href(F.col("category_url"), F.col("href")).alias("link")))
+    a = extract.page_anchors(cp.select("page_id", F.col("category_url").alias("url"), "html",
+                                       "medio", "slug"))
+    return a.select("page_id", "medio", F.col("url").alias("category_url"), "slug", "pos",
+                    "href", urls.resolve_href(F.col("url"), F.col("href")).alias("link"))
 
 
 def category_links(links: DataFrame, category_pattern: str) -> DataFrame:
@@ -58,10 +56,9 @@ def news_candidates(links: DataFrame, news_pattern: list[str],
         return links.limit(0).select("medio", "page_id", "category_url",
                                      F.lit(None).cast("string").alias("categoria"),
                                      F.col("link").alias("url"))
-    return (links.filter(urls.matches_any("link", pats))
-            .select("medio", "page_id", "category_url",
-                    urls.category("link", "slug").alias("categoria"),
-                    F.col("link").alias("url"))
+    hits = links.filter(urls.matches_any("link", pats))
+    return (urls.add_category(hits, "link", "slug", "categoria")
+            .select("medio", "page_id", "category_url", "categoria", F.col("link").alias("url"))
             .distinct())
 
 

@@ -72,7 +72,7 @@ def outlet_metrics(typed_logs: DataFrame, keep: str = "oldest", by: tuple = ())
 
 def publications_by_date(typed_logs: DataFrame) -> DataFrame:
     """Number of logs per (medio, normalised publication date)."""
-    return (typed_logs.filter(F.col("fecha").isNotNull())
+    return (typed_logs.filter(F.col("has_fecha"))
             .groupBy("medio", "fecha").agg(F.count(F.lit(1)).alias("n")))
 
 

@@ -7,10 +7,12 @@ is non-decreasing in the order), work inside ``(key, block)`` window
 partitions, and repair block boundaries from a per-block summary table that
 is ``block_size`` times smaller than the input:
 
-* ``running_sums``: inclusive prefix sums. Block offsets are themselves a
-  prefix sum over the block table, computed by the same method one level up
-  (blocks of blocks), so the single-partition step only ever sees the top-level
-  table.
+* ``running_sums``: inclusive prefix sums. Block totals come from a partial
+  aggregate of the input (map-side combined, one small row per block); block
+  offsets are a prefix sum over that table, either one window per key
+  (``depth=0``: N / block_size rows per key, e.g. 15M rows for 10^12 input
+  rows) or, for larger inputs, the same method one level up (``depth=1``,
+  blocks of blocks).
 * ``lag``: previous row's values. The first row of each block takes the last
   row of the previous non-empty block of the same key.
 
@@ -41,21 +43,22 @@ def _key_join(left: DataFrame, right: DataFrame, keys: list[str], blk: str,
 
 def running_sums(df: DataFrame, keys: list[str], order: str, sums: dict[str, str],
                  block: Column | None = None, block_size: int = DEFAULT_BLOCK,
-                 depth: int = 1, _lvl: int = 0) -> DataFrame:
+                 depth: int = 0, _lvl: int = 0) -> DataFrame:
     """Add inclusive running sums ``out = sum(src) over (keys order by order)``.
 
     ``block`` must be non-decreasing in ``order`` within a key (default:
     ``floor(order / block_size)`` for a numeric order). Ties in ``order`` are
-    not allowed (rows frame).
+    not allowed (rows frame). The input is read twice: once through the
+    (key, block) window shuffle and once through a map-side combined block
+    total aggregate; callers materialize expensive inputs first.
     """
     blk = f"__blk{_lvl}"
     b = block if block is not None else F.floor(F.col(order) / F.lit(block_size))
     d = df.withColumn(blk, b.cast("long"))
     w_in = (Window.partitionBy(*keys, blk).orderBy(order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    for out, src in sums.items():
-        d = d.withColumn(f"__in_{out}", F.sum(F.col(src)).over(w_in))
-
+    dw = d.select("*", *[F.sum(F.col(src)).over(w_in).alias(f"__in_{out}")
+                         for out, src in sums.items()])
     bt = d.groupBy(*keys, blk).agg(*[F.sum(F.col(src)).alias(f"__tot_{out}")
                                      for out, src in sums.items()])
     if depth > 0:
@@ -65,14 +68,13 @@ def running_sums(df: DataFrame, keys: list[str], order: str, sums: dict[str, str
     else:
         w_b = (Window.partitionBy(*keys).orderBy(blk)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        inc = bt
-        for out in sums:
-            inc = inc.withColumn(f"__inc_{out}", F.sum(F.col(f"__tot_{out}")).over(w_b))
+        inc = bt.select("*", *[F.sum(F.col(f"__tot_{out}")).over(w_b).alias(f"__inc_{out}")
+                               for out in sums])
     off = inc.select(*keys, blk, *[(F.col(f"__inc_{out}") - F.col(f"__tot_{out}"))
                                    .alias(f"__off_{out}") for out in sums])
-    j = _key_join(d, off, keys, blk)
-    for out in sums:
-        j = j.withColumn(out, F.col(f"__in_{out}") + F.coalesce(F.col(f"__off_{out}"), F.lit(0)))
+    j = _key_join(dw, off, keys, blk)
+    j = j.select("*", *[(F.col(f"__in_{out}") + F.coalesce(F.col(f"__off_{out}"), F.lit(0)))
+                        .alias(out) for out in sums])
     return j.drop(blk, *[f"__in_{o}" for o in sums], *[f"__off_{o}" for o in sums])
 
 
@@ -84,18 +86,17 @@ def lag(df: DataFrame, keys: list[str], order: str, cols: list[str],
     b = block if block is not None else F.floor(F.col(order) / F.lit(block_size))
     d = df.withColumn(blk, b.cast("long"))
     w = Window.partitionBy(*keys, blk).orderBy(order)
-    d = d.withColumn("__rn", F.row_number().over(w))
-    for c in cols:
-        d = d.withColumn(f"__in_{c}", F.lag(F.col(c)).over(w))
+    dw = d.select("*", F.row_number().over(w).alias("__rn"),
+                  *[F.lag(F.col(c)).over(w).alias(f"__in_{c}") for c in cols])
+    # last row of each block: a map-side combined max_by over the input
     last = d.groupBy(*keys, blk).agg(
         F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(order)).alias("__last"))
     # previous non-empty block of the same key: a window over the block table
     wb = Window.partitionBy(*keys).orderBy(blk)
     prevb = last.select(*keys, blk, F.lag("__last").over(wb).alias("__pb"))
-    j = _key_join(d, prevb, keys, blk)
-    for c in cols:
-        j = j.withColumn(prefix + c, F.when(F.col("__rn") == 1, F.col("__pb")[c])
-                         .otherwise(F.col(f"__in_{c}")))
+    j = _key_join(dw, prevb, keys, blk)
+    j = j.select("*", *[F.when(F.col("__rn") == 1, F.col("__pb")[c])
+                        .otherwise(F.col(f"__in_{c}")).alias(prefix + c) for c in cols])
     return j.drop(blk, "__rn", "__pb", *[f"__in_{c}" for c in cols])
 
 

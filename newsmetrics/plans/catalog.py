@@ -185,8 +185,12 @@ def _pages(spark, sf_dir):
 
 
 def _cands(spark, sf_dir):
+    """News-link candidates of the pages, written once to the shared checkpoint
+    folder: the HTML step runs once even when the plan uses them twice."""
+    from ..session import materialize
     links = K.resolved_links(_pages(spark, sf_dir))
-    return K.news_candidates(links, PAGES_SITE["news_pattern"], PAGES_SITE["pagination_type"])
+    c = K.news_candidates(links, PAGES_SITE["news_pattern"], PAGES_SITE["pagination_type"])
+    return materialize(c, "news_candidates")
 
 
 _LINKS_SQL = r"""

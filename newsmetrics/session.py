@@ -54,3 +54,17 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder (for written tables / streams)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def materialize(df, name: str):
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Cuts lineage (a lost executor re-reads the table instead of re-running the
+    work) and lets a plan use an expensive intermediate result, such as the
+    output of the HTML step, in several branches without recomputing it.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = checkpoint_path(spark, f"tables/{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

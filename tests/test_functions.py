@@ -86,6 +86,9 @@ def test_category_rules(spark):
     df = spark.createDataFrame(LINKS, "link string, slug string")
     got = [r.o for r in df.select(urls.category("link", "slug").alias("o")).collect()]
     assert got == [pyref.category(link, slug) for link, slug in LINKS]
+    staged = [r.o for r in urls.add_category(df.withColumn("i", F.monotonically_increasing_id()),
+                                             "link", "slug", "o").orderBy("i").collect()]
+    assert staged == got
     # the four examples of the rule text
     assert got[0] == "nacional/chile" and got[1] == "bio-bio-tuercas"
     assert got[2] == "bbcl-investiga/entrevistas" and got[11] == "politica"
@@ -101,6 +104,9 @@ def test_category_property(spark, paths, host):
     df = spark.createDataFrame(links, "link string, slug string")
     got = [r.o for r in df.select(urls.category("link", "slug").alias("o")).collect()]
     assert got == [pyref.category(link, slug) for link, slug in links]
+    staged = [r.o for r in urls.add_category(df.withColumn("i", F.monotonically_increasing_id()),
+                                             "link", "slug", "o").orderBy("i").collect()]
+    assert staged == got
 
 
 def test_resolve_and_slug(spark):
