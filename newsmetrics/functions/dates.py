@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col, is_blank, non_empty, before_pipe
+from .text import before_pipe, cached_expr, col, is_blank, non_empty
 
 # ---- fixed values: Spanish day names (Monday first) and month names --------
 DIAS_ES = ["Lunes", "Martes", "Miércoles", "Jueves", "Viernes", "Sábado", "Domingo"]
@@ -55,6 +55,7 @@ def _date_from(c: Column, pattern: str, spark_fmt: str) -> Column:
                   F.try_to_date(F.regexp_replace(c, " ", ""), spark_fmt))
 
 
+@cached_expr
 def parse_log_time(c) -> Column:
     """DT1: parse ``%Y-%m-%d %H:%M:%S`` (unpadded fields allowed); null when it fails."""
     c = col(c)
@@ -63,6 +64,7 @@ def parse_log_time(c) -> Column:
     return F.when(c.rlike(_LOG_TIME_RE), ts.cast("timestamp_ntz"))
 
 
+@cached_expr
 def spanish_date(d) -> Column:
     """DT4: date -> 'Día DD mes de YYYY'."""
     d = col(d)
@@ -74,12 +76,14 @@ def spanish_date(d) -> Column:
         F.element_at(meses, F.month(d)), F.lit(" de "), F.year(d).cast("string"))
 
 
+@cached_expr
 def iso_written_date(c) -> Column:
     """Written (local) date of an ISO date-time string, null if not ISO."""
     c = col(c)
     return F.when(c.rlike(_ISO_RE), F.try_to_date(F.substring(c, 1, 10), "yyyy-MM-dd"))
 
 
+@cached_expr
 def normalize_pub_date(c) -> Column:
     """DT3: publication date -> histogram key; null for blank input.
 
@@ -91,6 +95,7 @@ def normalize_pub_date(c) -> Column:
     return normalize_pub_date_part(before_pipe(raw), is_blank(raw))
 
 
+@cached_expr
 def normalize_pub_date_part(p, blank) -> Column:
     """DT3 on the already split and stripped text ``p`` (``blank``: raw was blank).
 
@@ -113,6 +118,7 @@ def normalize_pub_date_part(p, blank) -> Column:
     return F.when(~blank, out)
 
 
+@cached_expr
 def iso_to_spanish(c) -> Column:
     """DT2: article date (ISO, or ``%Y-%m-%d``) -> Spanish text; failure keeps the input."""
     c = col(c)
@@ -122,16 +128,19 @@ def iso_to_spanish(c) -> Column:
     return F.when(non_empty(c) & d.isNotNull(), spanish_date(d)).otherwise(c)
 
 
+@cached_expr
 def format_log_time(ts) -> Column:
     """DT6: timestamp -> ``yyyy-MM-dd HH:mm:ss``."""
     return F.date_format(col(ts), LOG_TIME_FORMAT)
 
 
+@cached_expr
 def elapsed_ms(start, end) -> Column:
     """DT5: milliseconds between two timestamps (double)."""
     return F.timestamp_diff("MICROSECOND", col(start), col(end)).cast("double") / 1000.0
 
 
+@cached_expr
 def elapsed_seconds(start, end) -> Column:
     return F.timestamp_diff("MICROSECOND", col(start), col(end)).cast("double") / 1e6
 
@@ -140,6 +149,7 @@ def epoch_ntz() -> Column:
     return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
+@cached_expr
 def batch_id(ts) -> Column:
     """DT7: batch id = whole epoch seconds of a (zone-less) timestamp."""
     return F.timestamp_diff("SECOND", epoch_ntz(), col(ts))
@@ -147,3 +157,40 @@ def batch_id(ts) -> Column:
 
 def truncate_to_second(ts) -> Column:
     return F.date_trunc("second", col(ts)).cast("timestamp_ntz")
+
+
+@cached_expr
+def pub_date_value(p) -> Column:
+    """DT3 steps 2-3 on the split text ``p``: the parsed date, or null."""
+    p = col(p)
+    looks_iso = (p.contains("T") & (p.contains("Z") | p.contains("+")
+                                    | F.right(p, F.lit(6)).contains("-")))
+    cut = F.when(p.contains("."), F.substring_index(p, ".", 1)).otherwise(p)
+    iso = F.when(looks_iso, iso_written_date(F.regexp_replace(cut, "Z+$", "")))
+    return F.coalesce(iso,
+                      _date_from(p, _YMD_DASH, "y-M-d"),
+                      _date_from(p, _DMY_DASH, "d-M-y"),
+                      _date_from(p, _DMY_SLASH, "d/M/y"),
+                      _date_from(p, _YMD_SLASH, "y/M/d"))
+
+
+def add_pub_date(df, src: str, out: str = "fecha"):
+    """DT3 as staged projections (same result as ``normalize_pub_date``).
+
+    split text -> parsed date -> Spanish text; each step refers to the previous
+    step's column, so the split and the parse are evaluated once per row.
+    """
+    d = df.select("*", before_pipe(src).alias("__fp"), is_blank(src).alias("__fb"))
+    d = d.select("*", pub_date_value("__fp").alias("__fd"))
+    text = F.when(F.col("__fd").isNotNull(), spanish_date("__fd")).otherwise(F.col("__fp"))
+    return d.select("*", F.when(~F.col("__fb"), text).alias(out)).drop("__fp", "__fd")
+
+
+def add_iso_to_spanish(df, src: str, out: str):
+    """DT2 as staged projections (same result as ``iso_to_spanish``)."""
+    c = F.col(src)
+    cleaned = F.when(c.endswith("Z"), F.replace(c, F.lit("Z"), F.lit("+00:00"))).otherwise(c)
+    d = df.select("*", F.when(non_empty(c) & cleaned.contains("T"), iso_written_date(cleaned))
+                  .when(non_empty(c), _date_from(c, _YMD_DASH, "y-M-d")).alias("__d2"))
+    res = F.when(F.col("__d2").isNotNull(), spanish_date("__d2")).otherwise(c)
+    return d.select("*", res.alias(out)).drop("__d2")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col, non_empty
+from .text import cached_expr, col, non_empty
 
 
 def safe_div(num, den) -> Column:
@@ -22,6 +22,7 @@ def round_to(c, places: int) -> Column:
 # Python's float() accepts surrounding white space, '_' between digits, 'inf'
 # and 'nan'; Spark's cast accepts the plain decimal / exponent forms used in
 # logs. Both reject '' and words.
+@cached_expr
 def to_double(c) -> Column:
     """MA3: string -> double; '' and unparseable text give null (skipped)."""
     c = col(c)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col
+from .text import cached_expr, col
 
 # ---- fixed values: outlet host markers and category markers -----------------
 BIOBIO_HOST = "biobiochile.cl"
@@ -22,11 +22,13 @@ _AUTHORITY_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*):(//[^/?#]*)"
 _PATH_RE = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
 
 
+@cached_expr
 def url_path(u) -> Column:
     """STR4: path component (``urlsplit(u).path``)."""
     return F.regexp_extract(col(u), _PATH_RE, 1)
 
 
+@cached_expr
 def resolve_href(base, href) -> Column:
     """STR3: resolve an href against the page URL, only when it starts with '/'.
 
@@ -42,6 +44,7 @@ def resolve_href(base, href) -> Column:
             .otherwise(href))
 
 
+@cached_expr
 def category_slug(cat_url) -> Column:
     """STR2: last path segment of a biobiochile category URL, '' for other outlets."""
     u = col(cat_url)
@@ -54,6 +57,7 @@ def _after_first(u: Column, marker: str) -> Column:
     return F.substring(u, F.instr(u, marker) + len(marker), 1 << 30)
 
 
+@cached_expr
 def category(link, slug) -> Column:
     """STR1: category tags of a news link (get_category rules)."""
     u, slug = col(link), col(slug)
@@ -85,6 +89,7 @@ def category(link, slug) -> Column:
             .otherwise(slug))
 
 
+@cached_expr
 def contains_pattern(u, pattern) -> Column:
     """category link test (substring)."""
     return F.instr(col(u), col(pattern) if not isinstance(pattern, str) else F.lit(pattern)) > 0

@@ -286,8 +286,9 @@ def _falsy(c):
 def validate(raw: DataFrame, profiles: DataFrame) -> DataFrame:
     """F7-F9, X15, P8, DT2, U4 on extraction output (Spark SQL only)."""
     j = raw.join(F.broadcast(profiles), "profile", "left")
-    fecha = F.when(F.col("date_to_spanish"), dates.iso_to_spanish("fecha")).otherwise(F.col("fecha"))
-    j = j.withColumn("fecha", fecha)
+    j = dates.add_iso_to_spanish(j, "fecha", "__fecha_es")
+    j = j.withColumn("fecha", F.when(F.col("date_to_spanish"), F.col("__fecha_es"))
+                     .otherwise(F.col("fecha"))).drop("__fecha_es")
     req = F.coalesce(F.col("required"), F.array().cast("array<string>"))
     cat_lt = text.lower_trim("categoria")
     need_fecha = (F.array_contains(req, "fecha") & _falsy(F.col("fecha"))

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import (elapsed_ms, format_log_time, normalize_pub_date_part,
-                               parse_log_time)
+from ..functions.dates import add_pub_date, elapsed_ms, format_log_time, parse_log_time
 from ..functions.numeric import to_double
-from ..functions.text import before_pipe, col, is_blank
+from ..functions.text import before_pipe, cached_expr, col, is_blank
 
 RAW_COLUMNS = ["arrival_seq", "url", "medio", "starting_time", "status",
                "fecha_publicacion", "finishing_time", "duration_ms", "error",
@@ -53,12 +52,16 @@ def stamp_batch(logs: DataFrame, batch_id) -> DataFrame:
 def typed(raw: DataFrame) -> DataFrame:
     """Typed view of D8: A1 key, DT1 times, MA3 duration, DT3 date; bad values -> null.
 
-    The publication-date split (text before '|') is its own projection so the
-    normaliser refers to a column instead of repeating the split expression.
+    The publication date is normalised by staged projections (``add_pub_date``)
+    so each step is evaluated once per row.
     """
-    staged = raw.select("*", before_pipe("fecha_publicacion").alias("__fp"),
-                        is_blank("fecha_publicacion").alias("__fb"))
-    return staged.select(
+    staged = add_pub_date(raw, "fecha_publicacion", "__fecha")
+    return staged.select(*_typed_columns())
+
+
+@cached_expr
+def _typed_columns() -> tuple:
+    return (
         F.col("arrival_seq"),
         F.coalesce(F.col("medio"), F.lit("unknown")).alias("medio"),
         F.col("url"),
@@ -66,7 +69,7 @@ def typed(raw: DataFrame) -> DataFrame:
         parse_log_time("starting_time").alias("start_ts"),
         parse_log_time("finishing_time").alias("finish_ts"),
         to_double("duration_ms").alias("dur_ms"),
-        normalize_pub_date_part("__fp", "__fb").alias("fecha"),
+        F.col("__fecha").alias("fecha"),
         # cheap pre-check (F11) so filters never inline the date normaliser
         (~F.col("__fb")).alias("has_fecha"),
         F.col("id_logging_process"),

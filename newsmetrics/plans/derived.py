@@ -25,16 +25,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import batch_id
+from ..functions.text import cached_expr
 
 TABLES = ["events", "pages"]
 
 
+_SCHEMAS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is inferred once per path and reused."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark.sparkContext), path)
+    if key not in _SCHEMAS:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def scrape_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return e.select(*_scrape_log_columns())
+
+
+@cached_expr
+def _scrape_log_columns() -> tuple:
     medio = F.when(F.col("user_id") % 2 == 0, F.lit("biobiochile")).otherwise(F.lit("latercera"))
     dms = F.round(F.col("value") * 1000).cast("long")
     status = F.when(F.col("event_type") == "error", F.lit("error")).otherwise(F.lit("success"))
@@ -48,7 +64,7 @@ def scrape_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     F.date_format(ts, "HH:mm")))
              .when(k == 4, F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-03:00")))
              .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")))
-    return e.select(
+    return (
         F.col("event_id").alias("arrival_seq"),
         F.when(F.col("event_id") % 53 == 0, F.lit("")).otherwise(
             F.concat(F.lit("https://"), medio, F.lit(".example/noticias/"),

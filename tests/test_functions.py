@@ -23,10 +23,16 @@ def _run(spark, values, fn, typ="string"):
     return [r.o for r in rows]
 
 
+def _run_staged(spark, values, add):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    return [r.o for r in add(df, "v", "o").orderBy("i").collect()]
+
+
 def test_normalize_pub_date_edges(spark):
     got = _run(spark, DATE_EDGES, dates.normalize_pub_date)
     want = [pyref.normalize_pub_date(v) for v in DATE_EDGES]
     assert got == want
+    assert _run_staged(spark, DATE_EDGES, dates.add_pub_date) == want
 
 
 def test_iso_to_spanish_edges(spark):
@@ -35,6 +41,7 @@ def test_iso_to_spanish_edges(spark):
     got = _run(spark, vals, dates.iso_to_spanish)
     want = [pyref.iso_to_spanish(v) for v in vals]
     assert got == want
+    assert _run_staged(spark, vals, dates.add_iso_to_spanish) == want
 
 
 def test_parse_log_time(spark):
@@ -58,7 +65,7 @@ def test_spanish_date_weekdays(spark):
 def test_normalize_pub_date_property(spark, isodates, fmt):
     from datetime import date
     vals = [date.fromisoformat(d).strftime(fmt) for d in isodates]
-    got = _run(spark, vals, dates.normalize_pub_date)
+    got = _run_staged(spark, vals, dates.add_pub_date)
     assert got == [pyref.normalize_pub_date(v) for v in vals]
 
 
