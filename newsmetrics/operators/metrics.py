@@ -19,23 +19,43 @@ METRIC_COLUMNS = ["medio", "total_urls_procesadas", "scrape_exitosos", "scrape_f
                   "tiempo_promedio_scrape"]
 
 
-def url_status(typed_logs: DataFrame, keep: str = "oldest", by: tuple = ()) -> DataFrame:
+# Fixed-width status code so the (medio, url) aggregation is a hash aggregate
+# (a string-valued min_by buffer forces a sort-based aggregate).
+_SUCCESS, _NULL, _OTHER = 1, 0, 2
+
+
+def _status_code():
+    return (F.when(F.col("status") == "success", F.lit(_SUCCESS))
+            .when(F.col("status").isNull(), F.lit(_NULL)).otherwise(F.lit(_OTHER)))
+
+
+def url_status(typed_logs: DataFrame, keep: str = "oldest", by: tuple = (),
+               status_text: bool = False) -> DataFrame:
     """A2: one status per (medio, url).
 
     ``oldest`` is what the reference actually does (its read order is newest
     first and the last write wins); ``latest`` is what its comment intends.
     Rows with a null or '' url are kept here (their times count for A7/A9).
+    ``status`` is 'success' / other / null; ``status_text=True`` keeps the
+    exact winning text (string buffer, sort-based aggregate).
     """
     if keep not in ("oldest", "latest"):
         raise ValueError("keep must be 'oldest' or 'latest'")
     pick = F.min_by if keep == "oldest" else F.max_by
-    return typed_logs.groupBy(*by, "medio", "url").agg(
-        pick("status", "arrival_seq").alias("status"),
+    win = (pick("status", "arrival_seq") if status_text
+           else pick(_status_code(), "arrival_seq"))
+    g = typed_logs.groupBy(*by, "medio", "url").agg(
+        win.alias("__st"),
         F.min("start_ts").alias("min_start"),
         F.max("finish_ts").alias("max_finish"),
         F.sum("dur_ms").alias("sum_dur_ms"),
         F.count("dur_ms").alias("n_dur"),
     )
+    status = F.col("__st") if status_text else (
+        F.when(F.col("__st") == _SUCCESS, F.lit("success"))
+         .when(F.col("__st") == _OTHER, F.lit("error")))
+    return g.select(*by, "medio", "url", status.alias("status"), "min_start", "max_finish",
+                    "sum_dur_ms", "n_dur")
 
 
 def outlet_metrics(typed_logs: DataFrame, keep: str = "oldest", by: tuple = ()) -> DataFrame:

@@ -87,7 +87,7 @@ FROM typed_log WHERE url IS NOT NULL AND url <> '' GROUP BY medio, url"""))
 def q_url_status(spark, sf_dir):
     """Final status of every processed URL."""
     t = typed_log(spark, sf_dir).filter(F.col("url").isNotNull() & (F.col("url") != ""))
-    return M.url_status(t).select("medio", "url", "status")
+    return M.url_status(t, status_text=True).select("medio", "url", "status")
 
 
 @register("A10_publications_by_date", D.with_log_sql("""
