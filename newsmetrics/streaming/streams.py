@@ -206,3 +206,14 @@ def scrape_outcome_sink(out: str):
         finally:
             batch.unpersist()
     return fn
+
+
+def batch_lifecycle_stream(control: DataFrame) -> DataFrame:
+    """ST4 (stream): the lifecycle per batch id as a stateful aggregation.
+
+    The same aggregation as ``control.batch_lifecycle``; Spark keeps one state
+    row per batch id (update mode), so a batch shows ``completed`` as soon as
+    its end_batch_completed record arrives.
+    """
+    from ..operators.control import batch_lifecycle
+    return batch_lifecycle(control)
