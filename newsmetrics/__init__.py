@@ -12,3 +12,11 @@ driver. Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Functions of this package travel to the Python workers by value: a cluster
+# needs neither --py-files nor an installed copy.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
