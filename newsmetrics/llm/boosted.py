@@ -47,19 +47,22 @@ def constant(p: float) -> Forest:
 
 
 def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, bins: int = 64,
-        rate: float = 0.15, least_hessian: float = 2.0, ridge: float = 1.0) -> Forest:
+        rate: float = 0.15, least_hessian: float = 2.0, ridge: float = 1.0,
+        weight: np.ndarray | None = None) -> Forest:
     """Boost logistic loss with depth-wise trees over quantile histograms.
 
-    No rows, or one class only, gives the constant forest of the smoothed share.
+    ``weight`` is the number of rows that a row stands for (default 1). No rows, or
+    one class only, gives the constant forest of the smoothed share.
     """
     if len(y) == 0:
         return constant(0.5)
     if y.min() == y.max():
         return constant((y.sum() + 0.5) / (len(y) + 1))
+    weight = np.ones(len(y)) if weight is None else weight
     n, m = x.shape
     edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(m)]
     code = np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges)], 1)
-    share = y.mean()
+    share = np.average(y, weights=weight)
     bias = float(np.log(share / (1 - share)))
     margin = np.full(n, bias)
     feature, cut, left, right, value, roots = [], [], [], [], [], []
@@ -71,7 +74,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, bins: int
 
     for _ in range(trees):
         p = 1 / (1 + np.exp(-margin))
-        grad, hess = y - p, np.maximum(p * (1 - p), 1e-9)
+        grad, hess = weight * (y - p), weight * np.maximum(p * (1 - p), 1e-9)
         roots.append(node())
         level = [(roots[-1], np.arange(n))]
         for step in range(depth + 1):

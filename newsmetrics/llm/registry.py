@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+from newsmetrics.llm.decontaminate import op6_template_decontamination
+from newsmetrics.llm.jaccard_join import op7_ngram_jaccard_join
+from newsmetrics.llm.pii import op10_pii_boosted_candidates
 from newsmetrics.llm.quality import op9_quality_boosted_trees
 
-QUERIES = {f.__name__: f for f in (op9_quality_boosted_trees,)}
+QUERIES = {f.__name__: f for f in (
+    op6_template_decontamination, op7_ngram_jaccard_join, op9_quality_boosted_trees,
+    op10_pii_boosted_candidates)}
 ORACLE: dict[str, str] = {}
