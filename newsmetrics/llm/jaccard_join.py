@@ -205,5 +205,21 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
                     .otherwise(F.col("doc_id")).alias("component_id")))
 
 
+def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` but those linked to a smaller id, all columns as they are.
+
+    Rows that repeat id and text are kept once, rows without id all.
+    """
+    found = materialize(jaccard_components(docs, size, percent), "jaccard-result")
+    gone = found.where("component_id < doc_id").select("doc_id").distinct()
+    kept = docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
+    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if not repeated.take(1):
+        return kept
+    again = docs["doc_id"] == repeated["doc_id"]
+    return (kept.join(repeated, again, "left_anti")
+            .unionAll(kept.join(repeated, again, "left_semi").dropDuplicates(["doc_id", "text"])))
+
+
 def op7_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))

@@ -41,17 +41,25 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 WIDE = {
-    "email": LOCAL + r" ?(?:@|\(at\)|\[at\]| at ) ?[A-Za-z0-9-]++(?:(?:\.| ?\(dot\) ?| ?\[dot\] ?| dot )[A-Za-z0-9-]++)++",
+    "email": LOCAL + (r"(?: ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]++(?:(?:\.| ?\(dot\) ?| ?\[dot\] ?| dot )[A-Za-z0-9-]++)++"
+                      r"| at [A-Za-z0-9-]++(?: dot [A-Za-z0-9-]++)++)"),
     "ip": r"(?:\G|(?<![0-9]))[0-9]{1,3}+(?:(?:\.|\[\.\]|\(\.\)| ?\. )[0-9]{1,3}+){3}(?![0-9])",
     "card": r"(?<![0-9])[0-9](?:[\x20.-]?[0-9]){12,18}(?![0-9])",
     "phone": r"(?<![0-9A-Za-z])(?:\+|00)?[0-9]{0,3}[\x20.-]?\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9A-Za-z])",
 }
-#: Cheap tests without which neither expression can match.
+#: Cheap tests without which an expression can't match; the first to fail saves the rest.
 HINT = {
-    "email": lambda t: F.contains(t, F.lit("@")) | t.rlike(r"\(dot\)|\[dot\]| dot |[(\[]at[)\]]|[A-Za-z0-9] at [A-Za-z0-9-]+\."),
-    "ip": lambda t: t.rlike(r"[0-9][\])]?[\x20]?\.[\])]?[\x20]?[0-9]|[0-9][\[(]\."),
-    "card": lambda t: t.rlike(r"[0-9](?:[\x20.-]?[0-9]){11}"),
-    "phone": lambda t: F.contains(t, F.lit("+")) | t.rlike(r"[0-9]{2,4}\)?[\x20.-][0-9]{3}"),
+    "email": lambda t: F.contains(t, F.lit("@")),
+    "ip": lambda t: t.rlike("[0-9]") & t.rlike(r"[0-9]\.[0-9]"),
+    "card": lambda t: t.rlike("[0-9]") & t.rlike(r"[0-9](?:[\x20-]?[0-9]){13}"),
+    "phone": lambda t: F.contains(t, F.lit("+")) & t.rlike(r"\+[0-9]"),
+}
+WIDE_HINT = {
+    "email": lambda t: (F.contains(t, F.lit("@")) | F.contains(t, F.lit("(at)")) | F.contains(t, F.lit("[at]"))
+                        | F.contains(t, F.lit(" dot "))),
+    "ip": lambda t: t.rlike("[0-9]") & t.rlike(r"[0-9](?:\.|\[\.\]|\(\.\)| ?\. )[0-9]"),
+    "card": lambda t: t.rlike("[0-9]") & t.rlike(r"[0-9](?:[\x20.-]?[0-9]){12}"),
+    "phone": lambda t: t.rlike("[0-9]") & t.rlike(r"[0-9]{2,4}\)?[\x20.-][0-9]{3}"),
 }
 KEYWORDS = {"email": "mail|contact|write", "ip": r"\bip\b|host|addr|server", "card": "card|visa|master|amex|credit",
             "phone": "tel|phone|call|mobile|fax"}
@@ -170,7 +178,7 @@ def candidates(kind: str, text: Column) -> Column:
         m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), m["end"].alias("end"),
         cell(kind, m).alias("cell"), meets_base(kind, m["value"]).cast("int").alias("label")))
     nothing = F.array().cast("array<struct<start:int,kind:int,end:int,cell:int,label:int>>")
-    return F.when(HINT[kind](text), spans).otherwise(nothing)
+    return F.when(WIDE_HINT[kind](text), spans).otherwise(nothing)
 
 
 def cell_features(codes: np.ndarray) -> np.ndarray:
@@ -238,7 +246,7 @@ def redact(docs: DataFrame, accepted: list[int]) -> DataFrame:
     candidates after the base spans; a null text stays null. All other columns
     are kept.
     """
-    def cover(text: Column, kind: str, pattern: str, test: Callable[[Column], Column]) -> Column:
+    def cover(text: Column, hint: Column, kind: str, pattern: str, test: Callable[[Column], Column]) -> Column:
         def join(cut: Column) -> Column:
             def piece(v: Column, i: Column) -> Column:
                 m = F.struct(v.alias("value"), F.right(F.get(cut["gaps"], i), F.lit(24)).alias("before"),
@@ -246,13 +254,15 @@ def redact(docs: DataFrame, accepted: list[int]) -> DataFrame:
                 return F.concat(F.get(cut["gaps"], i), F.when(test(m), f"[{kind.upper()}]").otherwise(v))
             return F.concat(F.array_join(F.transform(cut["found"], piece), ""),
                             F.element_at(cut["gaps"], -1))
-        return F.when(HINT[kind](text), let(_cut(text, pattern), join)).otherwise(text)
+        return F.when(hint, let(_cut(text, pattern), join)).otherwise(text)
 
     def base_rule(kind: str) -> Column:
-        return let(F.col("text"), lambda t: cover(t, kind, BASE[kind], lambda m: valid(kind, m["value"])))
+        return let(F.col("text"), lambda t: cover(
+            t, HINT[kind](t), kind, BASE[kind], lambda m: valid(kind, m["value"])))
 
     def wide_rule(kind: str) -> Column:
-        return let(F.col("text"), lambda t: cover(t, kind, WIDE[kind], lambda m: cell(kind, m).isin(accepted)))
+        return let(F.col("text"), lambda t: cover(
+            t, WIDE_HINT[kind](t), kind, WIDE[kind], lambda m: cell(kind, m).isin(accepted)))
 
     out = docs
     for kind in KINDS:

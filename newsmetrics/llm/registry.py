@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
+from newsmetrics.llm.bpe import op5_bpe_automaton
 from newsmetrics.llm.decontaminate import op6_template_decontamination
 from newsmetrics.llm.jaccard_join import op7_ngram_jaccard_join
 from newsmetrics.llm.pii import op10_pii_boosted_candidates
 from newsmetrics.llm.quality import op9_quality_boosted_trees
 
 QUERIES = {f.__name__: f for f in (
-    op6_template_decontamination, op7_ngram_jaccard_join, op9_quality_boosted_trees,
+    op5_bpe_automaton, op6_template_decontamination, op7_ngram_jaccard_join, op9_quality_boosted_trees,
     op10_pii_boosted_candidates)}
+QUERIES["pipeline"] = corpus_pipeline.run
 ORACLE: dict[str, str] = {}
