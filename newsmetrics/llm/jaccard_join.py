@@ -4,12 +4,13 @@ The global order of the n-grams (their hash order) is cut into fragments; a
 document's set becomes one segment per fragment.
 
 * Candidates. Documents in the same size class use the same cut into F fragments,
-  F above twice the number of n-grams in which two linked sets may differ. At
-  least half of their segments are then equal, so documents meet that share one
-  non-empty segment out of the first POSTED fragments. With F <= POSTED this
-  finds every link (sets whose n-grams crowd into too few fragments post prefix
-  n-grams besides); beyond, a link is missed with probability under 1e-11,
-  as each fragment is untouched with probability over 1/2.
+  F above the number of n-grams in which two linked sets may differ. So at least
+  one of their segments is equal, and about a third if the differences fall at
+  random. Documents meet that share a non-empty segment out of the first POSTED
+  fragments. With F <= POSTED this finds every link (sets whose n-grams crowd
+  into too few fragments post prefix n-grams besides); beyond, three shared
+  segments are asked for, and a link at the very threshold has fewer with a
+  probability of about 1e-10.
 * Overlaps. Candidate pairs are joined with the segments of a coarse cut, the
   overlap of each fragment is counted separately and summed per pair.
 
@@ -38,10 +39,12 @@ from newsmetrics.llm.graph import components
 from newsmetrics.llm.shingles import window_hashes, word_hashes
 from newsmetrics.session import materialize
 
-POSTED = 32  # segments that a set posts per size class
+POSTED = 64  # segments that a set posts per size class
+SHARED = 3  # of which linked sets share at least so many, if there are more fragments
 CLASS_STEP = 1.4  # ratio of neighbouring size classes
 COARSE = 8  # fragments in which overlaps are counted
-SETS = "doc_id long, n long, hi long, lo long, posts array<long>"
+BROADCAST_NODES = 300_000  # 40 bytes each
+SETS = "doc_id long, n long, hi long, lo long, posts array<long>, needs array<int>"
 SEGMENTS = "node long, n long, fragment int, segment array<long>"
 
 
@@ -73,28 +76,34 @@ class Cuts:
     def fragments(self, c: int) -> np.ndarray:
         """Lower edges of the class's fragments in hash order."""
         if c not in self.edges:
-            f = 2 * self.budget(c) + 2
+            f = self.budget(c) + 2 + self.budget(c) // 16
             self.edges[c] = np.array([(g << 64) // f for g in range(f)], np.uint64)
         return self.edges[c]
 
-    def posts(self, grams: np.ndarray) -> np.ndarray:
-        """Signatures under which a set meets others."""
+    def posts(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Signatures under which a set meets others, the size class in the low byte, and
+        how many of a class linked sets share at least."""
         n = len(grams)
         if not n:
-            return grams
+            return grams, np.zeros(0, np.int32)
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(grams))))
-        found = []
+        found, needs = [], []
+
+        def add(signatures: np.ndarray, tag: int, need: int) -> None:
+            found.append(signatures & np.uint64(2 ** 64 - 256) | np.uint64(tag))
+            needs.append(np.full(len(signatures), need, np.int32))
+
         for c in self.classes(n):
             edges = self.fragments(c)
             k = min(len(edges), POSTED)
             at = np.append(np.searchsorted(grams, edges[:k + 1]), n)[:k + 1]
             tags = mix(np.arange(k, dtype=np.uint64) + np.uint64((c + 1) << 32))
             full = at[1:] > at[:-1]
-            found.append(mix((total[at[1:]] - total[at[:-1]]) ^ tags)[full])
-            if k == len(edges) and full.sum() <= self.budget(c):
-                prefix = n - -(-n * self.percent // 100) + 1
-                found.append(mix(grams[:prefix] ^ np.uint64(0x5DEECE66D)))
-        return np.concatenate(found)
+            sure = int(full.sum()) - self.budget(c) if k == len(edges) else min(SHARED, int(full.sum()))
+            add(mix((total[at[1:]] - total[at[:-1]]) ^ tags)[full], c, max(sure, 1))
+            if k == len(edges) and sure < 1:
+                add(mix(grams[:n - -(-n * self.percent // 100) + 1] ^ np.uint64(0x5DEECE66D)), c + 128, 1)
+        return np.concatenate(found), np.concatenate(needs)
 
 
 def _longs(values: np.ndarray) -> np.ndarray:
@@ -110,11 +119,13 @@ def shingle_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
             sets = [ngram_set(t, size) for t in texts(b)]
             signature = np.array([[mix(s).sum(dtype=np.uint64), mix(~s).sum(dtype=np.uint64)]
                                   for s in sets], np.uint64).reshape(-1, 2)
+            posts = [cuts.posts(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array(_longs(signature[:, 0].copy())), pa.array(_longs(signature[:, 1].copy())),
-                 pa.array([_longs(cuts.posts(s)) for s in sets], pa.list_(pa.int64()))],
-                ["doc_id", "n", "hi", "lo", "posts"])
+                 pa.array([_longs(p) for p, _ in posts], pa.list_(pa.int64())),
+                 pa.array([k for _, k in posts], pa.list_(pa.int32()))],
+                ["doc_id", "n", "hi", "lo", "posts", "needs"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SETS)
 
@@ -140,9 +151,11 @@ def segments(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
                 [pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(fragment, pa.int32()),
                  pa.array(part, pa.list_(pa.int64()))], ["node", "n", "fragment", "segment"])
 
-    wanted = (docs.select(F.col("doc_id").cast("long"), "text").join(nodes, "doc_id")
-              .select("node", "hi", "lo", "text"))
-    return wanted.mapInArrow(run, SEGMENTS).dropDuplicates(["node", "fragment"])
+    # the ids of a few documents travel to the texts; of many, the texts to the ids
+    few = nodes.count() <= BROADCAST_NODES
+    wanted = (docs.select(F.col("doc_id").cast("long"), "text")
+              .join(F.broadcast(nodes) if few else nodes, "doc_id").select("node", "hi", "lo", "text"))
+    return wanted.mapInArrow(run, SEGMENTS)
 
 
 def linked(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
@@ -151,13 +164,22 @@ def linked(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
                         F.col("segment").alias("sa"))
     right = parts.select(F.col("node").alias("b"), F.col("n").alias("nb"), "fragment",
                          F.col("segment").alias("sb"))
+    # a repeated row repeats its segments, hence the maximum
     partial = (pairs.join(left, "a").join(right, ["b", "fragment"])
-               .select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("common")))
-    return (partial.groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common"))
+               .select("a", "b", "na", "nb", "fragment", F.size(F.array_intersect("sa", "sb")).alias("common")))
+    return (partial.groupBy("a", "b", "na", "nb", "fragment").agg(F.max("common").alias("common"))
+            .groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common"))
             .where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common")))
             .select("a", "b"))
 
 
+def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
+    """``linked`` over segments made for the sets of ``pairs`` alone."""
+    ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
+    parts = segments(docs, materialize(nodes.join(ends, "node"), "jaccard-ends"), size)
+    return linked(pairs, materialize(parts, "jaccard-segments"), percent)
+
+
 def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``."""
     sets = materialize(shingle_sets(docs, size, percent), "jaccard-sets")
@@ -167,31 +189,36 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
         "jaccard-nodes")
     posts = materialize(
         sets.join(nodes, ["hi", "lo", "doc_id"])
-        .select("node", "n", F.explode(F.array_distinct("posts")).alias("post")), "jaccard-posts")
+        .select("node", "n", F.explode(F.arrays_zip("posts", "needs")).alias("p"))
+        .select("node", "n", F.col("p.posts").alias("post"), F.col("p.needs").alias("need")), "jaccard-posts")
     shared = (posts.groupBy("post").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
               .where("hub <> last").select("post", "hub"))
     met = materialize(posts.join(shared, "post"), "jaccard-met")
 
-    star = (met.where("node <> hub").groupBy("hub", "node").agg(F.count("*").alias("times"))
-            .groupBy("node").agg(F.max_by("hub", F.struct("times", -F.col("hub"))).alias("hub"))
+    # 1: every set against the hub it meets most often
+    star = (met.where("node <> hub").groupBy("hub", "node", "need").agg(F.count("*").alias("times"))
+            .where("2 * times >= need").groupBy("node")
+            .agg(F.max_by("hub", F.struct("times", -F.col("hub"))).alias("hub"))
             .select(F.col("hub").alias("a"), F.col("node").alias("b")))
     star = materialize(star, "jaccard-star")
-    wanted = nodes.join(met.select("node").distinct(), "node", "left_semi")
-    parts = materialize(segments(docs, wanted, size), "jaccard-segments")
-    links = materialize(linked(star, parts, percent), "jaccard-links")
+    links = materialize(verified(star, docs, nodes, size, percent), "jaccard-links")
 
+    # 2: what still meets across components
     label = components(links)
     named = met.join(label, "node", "left").select(
-        "post", "node", "n", F.coalesce("label", "node").alias("label"))
+        "post", "need", "node", "n", F.coalesce("label", "node").alias("label"))
     open_posts = (named.groupBy("post").agg(F.min("label").alias("low"), F.max("label").alias("high"))
                   .where("low <> high").select("post"))
-    named = materialize(named.join(open_posts, "post", "left_semi"), "jaccard-open")
-    other = named.select("post", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "label")))
+    named = materialize(named.join(open_posts, "post", "left_semi").distinct(), "jaccard-open")
+    other = named.select("post", *(F.col(c).alias(f"{c}_b") for c in ("need", "node", "n", "label")))
     rest = (named.join(other, "post")
             .where((F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b"))
                    & (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")))
-            .select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct())
-    more = linked(rest.join(star, ["a", "b"], "left_anti"), parts, percent)
+            .groupBy(F.col("node").alias("a"), F.col("node_b").alias("b"), F.col("post").bitwiseAND(255).alias("tag"))
+            .agg(F.count("*").alias("times"), F.max(F.greatest("need", "need_b")).alias("need"))
+            .where("times >= need").select("a", "b").distinct())
+    rest = materialize(rest.join(star, ["a", "b"], "left_anti"), "jaccard-rest")
+    more = verified(rest, docs, nodes, size, percent)
     label = components(materialize(links.unionAll(more), "jaccard-all-links"))
 
     named = nodes.join(label, "node", "left").select(
