@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
-ASCII_LOWER = str.maketrans(UPPER, LOWER)
+ASCII_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,13 +24,13 @@ def fold(col_name: str, folds: int, held: int) -> Column:
     return F.crc32(text.cast("binary")) % folds == held
 
 
-def words(text: str) -> list[str]:
+def words(text: str) -> list[bytes]:
     """Words after lower-casing A-Z: runs without blank, tab, LF, VT, FF and CR.
 
     ``bytes.split()`` cuts at exactly these six bytes, which in UTF-8 never
     occur inside another character.
     """
-    return text.translate(ASCII_LOWER).encode("utf-8", "surrogatepass").split()
+    return text.encode("utf-8", "surrogatepass").translate(ASCII_LOWER).split()
 
 
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:

@@ -12,11 +12,10 @@ import re
 
 import numpy as np
 
-from newsmetrics.llm.common import LOWER, UPPER, mix
+from newsmetrics.llm.common import ASCII_LOWER, mix
 
 BLOCK = 1 << 20
 SPACE = re.compile(rb"[\x20\x09-\x0d]")
-_FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _TABLES: dict[str, np.ndarray] = {}
 
 
@@ -45,9 +44,8 @@ def _block_hashes(raw: bytes) -> np.ndarray:
     return mix(np.add.reduceat(value * power[:len(raw)], starts) * inverse[starts])
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """One uint64 per word ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z lower-cased."""
-    raw = text.encode("utf-8", "surrogatepass").translate(_FOLD)
+def hashes(raw: bytes) -> np.ndarray:
+    """One uint64 per run of bytes other than blank, tab, LF, VT, FF and CR."""
     if len(raw) <= BLOCK:
         return _block_hashes(raw)
     parts, at = [], 0
@@ -59,6 +57,11 @@ def word_hashes(text: str) -> np.ndarray:
     return np.concatenate(parts)
 
 
+def word_hashes(text: str) -> np.ndarray:
+    """One uint64 per word of the text with A-Z lower-cased."""
+    return hashes(text.encode("utf-8", "surrogatepass").translate(ASCII_LOWER))
+
+
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hashes of all windows of ``size`` words; of a shorter sequence its only one."""
     if not len(words):
