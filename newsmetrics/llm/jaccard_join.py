@@ -14,10 +14,15 @@ document's set becomes one segment per fragment.
 * Overlaps. Candidate pairs are joined with the segments of a coarse cut, the
   overlap of each fragment is counted separately and summed per pair.
 
-Equal sets are collapsed first. In a group that shares a segment, each set is
-first verified against the hub with which it shares most segments; only pairs
-that are still in different components are verified after that, so a large
-group of near copies costs a number of pairs in proportion to its size.
+Equal sets are collapsed first. Every set is verified against the hub with which it
+shares most segments. What a hub brings together is a group, of which the linked
+ones are settled. For the others the overlap with every member is known from the
+differences to the group's consensus (the n-grams that half of it hold): two sets
+overlap in the consensus less what either lacks, plus what both lack or both have
+beyond it. If the sizes alone suffice, both are linked to the member nearest the
+consensus; else they must share a difference, and are joined on it. So a group of
+near copies costs its differences, not its pairs. Only sets of different groups
+that still meet are paired one by one.
 
 Defined results: null text counts as empty; rows without words have no n-grams
 and are linked with nothing; a null id takes no part in links and keeps a null
@@ -173,11 +178,63 @@ def linked(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
             .select("a", "b"))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
-    """``linked`` over segments made for the sets of ``pairs`` alone."""
+def parts_of(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """The coarse segments of the sets in ``pairs``."""
     ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    parts = segments(docs, materialize(nodes.join(ends, "node"), "jaccard-ends"), size)
-    return linked(pairs, materialize(parts, "jaccard-segments"), percent)
+    return materialize(segments(docs, materialize(nodes.join(ends, "node"), "jaccard-ends"), size), "jaccard-segments")
+
+
+def with_label(rows: DataFrame, label: DataFrame, node: str, name: str) -> DataFrame:
+    """``rows`` with the component of the column ``node``, which is the node itself if it has no links."""
+    own = label.select(F.col("node").alias("__node"), F.col("label").alias("__label"))
+    return (rows.join(own, rows[node] == own["__node"], "left")
+            .withColumn(name, F.coalesce("__label", node)).drop("__node", "__label"))
+
+
+def links_in_groups(members: DataFrame, parts: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """All links between different components inside the groups of ``members`` (group, node, label)."""
+    size = members.groupBy("group").agg(F.count("*").alias("size"), F.count_if(F.col("label") != F.col("group"))
+                                        .alias("apart")).where("size > 2 AND apart > 0")
+    rows = materialize(members.join(size, "group").join(parts.dropDuplicates(["node", "fragment"]), "node"),
+                       "jaccard-members")
+    counted = (rows.select("group", "size", "fragment", F.explode("segment").alias("gram"))
+               .groupBy("group", "fragment", "gram", "size").count().where("2 * count >= size"))
+    consensus = counted.groupBy("group", "fragment").agg(F.collect_list("gram").alias("common"))
+    whole = counted.groupBy("group").agg(F.count("*").alias("whole"))
+    none = F.array().cast("array<bigint>")
+    common = F.coalesce("common", none)
+    apart = materialize(
+        rows.join(consensus, ["group", "fragment"], "left")
+        .select("group", "node", "n", F.array_except(common, F.col("segment")).alias("gone"),
+                F.array_except(F.col("segment"), common).alias("extra")), "jaccard-apart")
+    # two sets are linked if (100 + percent) * shared differences >= cost + cost - (100 + percent) * whole
+    both = 100 + percent
+    cost = (apart.groupBy("group", "node", "n").agg(F.sum(F.size("gone")).alias("gone"))
+            .join(whole, "group", "left")
+            .select("group", "node", (both * F.col("gone") + percent * F.col("n")).alias("cost"),
+                    (both * F.coalesce("whole", F.lit(0))).alias("whole")))
+    cost = materialize(cost, "jaccard-cost")
+    best = cost.groupBy("group").agg(F.min_by("node", F.struct("cost", "node")).alias("best"),
+                                     F.min("cost").alias("least"))
+    sure = (cost.join(best, "group").where("node <> best AND cost + least <= whole")
+            .select(F.col("best").alias("a"), F.col("node").alias("b")))
+    sure = materialize(sure, "jaccard-sure")
+
+    label = components(links.unionAll(sure))
+    kinds = F.concat(F.transform("gone", lambda g: F.struct(g.alias("gram"), F.lit(0).alias("kind"))),
+                     F.transform("extra", lambda g: F.struct(g.alias("gram"), F.lit(1).alias("kind"))))
+    grams = apart.select("group", "node", F.explode(kinds).alias("g")).select("group", "node", "g.gram", "g.kind")
+    named = with_label(grams.join(cost, ["group", "node"]), label, "node", "label")
+    key = ["group", "gram", "kind"]
+    open_grams = (named.groupBy(key).agg(F.min("label").alias("low"), F.max("label").alias("high"))
+                  .where("low <> high").select(key))
+    named = materialize(named.join(open_grams, key, "left_semi"), "jaccard-differences")
+    other = named.select(*key, *(F.col(c).alias(f"{c}_b") for c in ("node", "label", "cost")))
+    shared = (named.join(other, key).where((F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b")))
+              .groupBy(F.col("node").alias("a"), F.col("node_b").alias("b"), "cost", "cost_b", "whole")
+              .agg(F.count("*").alias("shared"))
+              .where(both * F.col("shared") >= F.col("cost") + F.col("cost_b") - F.col("whole")))
+    return sure.unionAll(shared.select("a", "b"))
 
 
 def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
@@ -201,24 +258,34 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
             .agg(F.max_by("hub", F.struct("times", -F.col("hub"))).alias("hub"))
             .select(F.col("hub").alias("a"), F.col("node").alias("b")))
     star = materialize(star, "jaccard-star")
-    links = materialize(verified(star, docs, nodes, size, percent), "jaccard-links")
+    parts = parts_of(star, docs, nodes, size)
+    links = materialize(linked(star, parts, percent), "jaccard-links")
 
-    # 2: what still meets across components
+    # 2: inside the groups that hubs bring together
     label = components(links)
-    named = met.join(label, "node", "left").select(
-        "post", "need", "node", "n", F.coalesce("label", "node").alias("label"))
+    hubs = star.select(F.col("b").alias("node"), F.col("a").alias("hub"))
+    member = met.select("node").distinct().join(hubs, "node", "left").withColumn("hub", F.coalesce("hub", "node"))
+    member = materialize(with_label(with_label(member, label, "node", "label"), label, "hub", "group")
+                         .select("node", "group", "label"), "jaccard-groups")
+    links = materialize(links.unionAll(links_in_groups(member, parts, links, percent)), "jaccard-group-links")
+
+    # 3: what still meets across groups and components
+    label = components(links)
+    named = with_label(met.join(member.select("node", "group"), "node"), label, "node", "label").select(
+        "post", "need", "node", "n", "group", "label")
     open_posts = (named.groupBy("post").agg(F.min("label").alias("low"), F.max("label").alias("high"))
                   .where("low <> high").select("post"))
     named = materialize(named.join(open_posts, "post", "left_semi").distinct(), "jaccard-open")
-    other = named.select("post", *(F.col(c).alias(f"{c}_b") for c in ("need", "node", "n", "label")))
+    other = named.select("post", *(F.col(c).alias(f"{c}_b") for c in ("need", "node", "n", "group", "label")))
     rest = (named.join(other, "post")
             .where((F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b"))
+                   & (F.col("group") != F.col("group_b"))
                    & (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")))
             .groupBy(F.col("node").alias("a"), F.col("node_b").alias("b"), F.col("post").bitwiseAND(255).alias("tag"))
             .agg(F.count("*").alias("times"), F.max(F.greatest("need", "need_b")).alias("need"))
             .where("times >= need").select("a", "b").distinct())
     rest = materialize(rest.join(star, ["a", "b"], "left_anti"), "jaccard-rest")
-    more = verified(rest, docs, nodes, size, percent)
+    more = linked(rest, parts_of(rest, docs, nodes, size), percent)
     label = components(materialize(links.unionAll(more), "jaccard-all-links"))
 
     named = nodes.join(label, "node", "left").select(
