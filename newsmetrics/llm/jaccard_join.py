@@ -15,8 +15,9 @@ document's set becomes one segment per fragment.
   overlap of each fragment is counted separately and summed per pair.
 
 Equal sets are collapsed first. Every set is verified against the hub with which it
-shares most segments. What a hub brings together is a group, of which the linked
-ones are settled. For the others the overlap with every member is known from the
+shares most segments. Then every set joins the group of the component that it meets
+most often (of those that prevail under its signatures). In a group, sets of other
+components are compared with all members by the
 differences to the group's consensus (the n-grams that half of it hold): two sets
 overlap in the consensus less what either lacks, plus what both lack or both have
 beyond it. If the sizes alone suffice, both are linked to the member nearest the
@@ -33,6 +34,7 @@ table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +49,7 @@ from newsmetrics.session import materialize
 POSTED = 64  # segments that a set posts per size class
 SHARED = 3  # of which linked sets share at least so many, if there are more fragments
 CLASS_STEP = 1.4  # ratio of neighbouring size classes
+GROUPINGS = 2  # rounds of grouping around components
 COARSE = 8  # fragments in which overlaps are counted
 BROADCAST_NODES = 300_000  # 40 bytes each
 SETS = "doc_id long, n long, hi long, lo long, posts array<long>, needs array<int>"
@@ -191,10 +194,21 @@ def with_label(rows: DataFrame, label: DataFrame, node: str, name: str) -> DataF
             .withColumn(name, F.coalesce("__label", node)).drop("__node", "__label"))
 
 
+def grouped(met: DataFrame, ends: DataFrame, label: DataFrame) -> DataFrame:
+    """node, label and group of the nodes in ``ends``: the component, among those that
+    prevail under the node's signatures, which prevails under most."""
+    named = with_label(met.select("post", "node"), label, "node", "label")
+    prevails = (named.groupBy("post", "label").count().groupBy("post")
+                .agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("group")))
+    times = named.join(prevails, "post").groupBy("node", "label", "group").count()
+    return (times.groupBy("node", "label")
+            .agg(F.max_by("group", F.struct("count", -F.col("group"))).alias("group")).join(ends, "node"))
+
+
 def links_in_groups(members: DataFrame, parts: DataFrame, links: DataFrame, percent: int) -> DataFrame:
     """All links between different components inside the groups of ``members`` (group, node, label)."""
     size = members.groupBy("group").agg(F.count("*").alias("size"), F.count_if(F.col("label") != F.col("group"))
-                                        .alias("apart")).where("size > 2 AND apart > 0")
+                                        .alias("apart")).where("apart > 0")
     rows = materialize(members.join(size, "group").join(parts.dropDuplicates(["node", "fragment"]), "node"),
                        "jaccard-members")
     counted = (rows.select("group", "size", "fragment", F.explode("segment").alias("gram"))
@@ -261,25 +275,29 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
     parts = parts_of(star, docs, nodes, size)
     links = materialize(linked(star, parts, percent), "jaccard-links")
 
-    # 2: inside the groups that hubs bring together
-    label = components(links)
-    hubs = star.select(F.col("b").alias("node"), F.col("a").alias("hub"))
-    member = met.select("node").distinct().join(hubs, "node", "left").withColumn("hub", F.coalesce("hub", "node"))
-    member = materialize(with_label(with_label(member, label, "node", "label"), label, "hub", "group")
-                         .select("node", "group", "label"), "jaccard-groups")
-    links = materialize(links.unionAll(links_in_groups(member, parts, links, percent)), "jaccard-group-links")
+    # 2: inside the groups around prevailing components
+    ends = parts.select("node").distinct()
+    groups = []
+    for number in range(GROUPINGS):
+        label = components(links)
+        member = materialize(grouped(met, ends, label), "jaccard-groups")
+        links = materialize(links.unionAll(links_in_groups(member, parts, links, percent)), "jaccard-group-links")
+        groups.append(member.select("node", F.col("group").alias(f"group{number}")))
 
     # 3: what still meets across groups and components
     label = components(links)
-    named = with_label(met.join(member.select("node", "group"), "node"), label, "node", "label").select(
-        "post", "need", "node", "n", "group", "label")
+    named = with_label(met, label, "node", "label").select("post", "need", "node", "n", "label")
     open_posts = (named.groupBy("post").agg(F.min("label").alias("low"), F.max("label").alias("high"))
                   .where("low <> high").select("post"))
+    settled = [f"group{k}" for k in range(GROUPINGS)]
+    for g, name in zip(groups, settled):
+        named = named.join(g, "node", "left").withColumn(name, F.coalesce(name, -1 - F.col("node")))
     named = materialize(named.join(open_posts, "post", "left_semi").distinct(), "jaccard-open")
-    other = named.select("post", *(F.col(c).alias(f"{c}_b") for c in ("need", "node", "n", "group", "label")))
+    other = named.select("post", *(F.col(c).alias(f"{c}_b") for c in ("need", "node", "n", "label", *settled)))
+    apart = reduce(lambda x, y: x & y, (F.col(g) != F.col(f"{g}_b") for g in settled))
     rest = (named.join(other, "post")
             .where((F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b"))
-                   & (F.col("group") != F.col("group_b"))
+                   & apart
                    & (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")))
             .groupBy(F.col("node").alias("a"), F.col("node_b").alias("b"), F.col("post").bitwiseAND(255).alias("tag"))
             .agg(F.count("*").alias("times"), F.max(F.greatest("need", "need_b")).alias("need"))
