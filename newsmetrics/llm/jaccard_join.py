@@ -198,8 +198,9 @@ def grouped(met: DataFrame, ends: DataFrame, label: DataFrame) -> DataFrame:
     """node, label and group of the nodes in ``ends``: the component, among those that
     prevail under the node's signatures, which prevails under most."""
     named = with_label(met.select("post", "node"), label, "node", "label")
-    prevails = (named.groupBy("post", "label").count().groupBy("post")
-                .agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("group")))
+    named = materialize(named, "jaccard-named")
+    prevails = materialize(named.groupBy("post", "label").count().groupBy("post")
+                           .agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("group")), "jaccard-prevails")
     times = named.join(prevails, "post").groupBy("node", "label", "group").count()
     return (times.groupBy("node", "label")
             .agg(F.max_by("group", F.struct("count", -F.col("group"))).alias("group")).join(ends, "node"))
@@ -213,6 +214,7 @@ def links_in_groups(members: DataFrame, parts: DataFrame, links: DataFrame, perc
                        "jaccard-members")
     counted = (rows.select("group", "size", "fragment", F.explode("segment").alias("gram"))
                .groupBy("group", "fragment", "gram", "size").count().where("2 * count >= size"))
+    counted = materialize(counted, "jaccard-consensus")
     consensus = counted.groupBy("group", "fragment").agg(F.collect_list("gram").alias("common"))
     whole = counted.groupBy("group").agg(F.count("*").alias("whole"))
     none = F.array().cast("array<bigint>")
@@ -262,8 +264,10 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
         sets.join(nodes, ["hi", "lo", "doc_id"])
         .select("node", "n", F.explode(F.arrays_zip("posts", "needs")).alias("p"))
         .select("node", "n", F.col("p.posts").alias("post"), F.col("p.needs").alias("need")), "jaccard-posts")
-    shared = (posts.groupBy("post").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-              .where("hub <> last").select("post", "hub"))
+    # aggregates are written before they are joined, so that AQE can split the partitions of a
+    # frequent key: it does so for joins of plain shuffles only
+    shared = materialize(posts.groupBy("post").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
+                         .where("hub <> last").select("post", "hub"), "jaccard-shared")
     met = materialize(posts.join(shared, "post"), "jaccard-met")
 
     # 1: every set against the hub it meets most often

@@ -300,10 +300,13 @@ def counted_repeats(contents: DataFrame) -> DataFrame:
 def repeats(keyed: DataFrame) -> DataFrame:
     """key, key2, start, end of removed stretches, which may overlap."""
     runs = materialize(find_runs(keyed), "suffix-runs")
-    common = runs.groupBy("anchor").agg(F.count("*").alias("seen"), F.min("bytes_hash").alias("low"),
-                                        F.max("bytes_hash").alias("high")).where("seen > 1")
-    again = materialize(runs.join(common.select("anchor", (F.col("low") != F.col("high")).alias("mixed")), "anchor"),
-                        "suffix-again")
+    # written before it is joined, so that a join's two sides are plain shuffles, of which
+    # AQE splits the partitions of a frequent anchor
+    common = materialize(
+        runs.groupBy("anchor").agg(F.count("*").alias("seen"), F.min("bytes_hash").alias("low"),
+                                   F.max("bytes_hash").alias("high")).where("seen > 1")
+        .select("anchor", (F.col("low") != F.col("high")).alias("mixed")), "suffix-common")
+    again = materialize(runs.join(common, "anchor"), "suffix-again")
     kinds = materialize(again.groupBy("anchor", "bytes_hash", "mixed").agg(F.count("*").alias("copies")), "suffix-kinds")
     place = ["key", "key2"]
     whole = (again.join(kinds.where("copies > 1").select("anchor", "bytes_hash"), ["anchor", "bytes_hash"])
