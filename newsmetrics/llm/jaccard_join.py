@@ -21,8 +21,8 @@ components are compared with all members by the
 differences to the group's consensus (the n-grams that half of it hold): two sets
 overlap in the consensus less what either lacks, plus what both lack or both have
 beyond it. If the sizes alone suffice, both are linked to the member nearest the
-consensus; else they must share a difference, and are joined on it. So a group of
-near copies costs its differences, not its pairs. Only sets of different groups
+consensus; else they must share differences, and are joined on their rarest ones. So a
+group of near copies costs its differences, not its pairs. Only sets of different groups
 that still meet are paired one by one.
 
 Defined results: null text counts as empty; rows without words have no n-grams
@@ -38,7 +38,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsmetrics.llm.common import mix, table, texts
@@ -223,34 +223,47 @@ def links_in_groups(members: DataFrame, parts: DataFrame, links: DataFrame, perc
         rows.join(consensus, ["group", "fragment"], "left")
         .select("group", "node", "n", F.array_except(common, F.col("segment")).alias("gone"),
                 F.array_except(F.col("segment"), common).alias("extra")), "jaccard-apart")
-    # two sets are linked if (100 + percent) * shared differences >= cost + cost - (100 + percent) * whole
-    both = 100 + percent
-    cost = (apart.groupBy("group", "node", "n").agg(F.sum(F.size("gone")).alias("gone"))
-            .join(whole, "group", "left")
-            .select("group", "node", (both * F.col("gone") + percent * F.col("n")).alias("cost"),
-                    (both * F.coalesce("whole", F.lit(0))).alias("whole")))
-    cost = materialize(cost, "jaccard-cost")
-    best = cost.groupBy("group").agg(F.min_by("node", F.struct("cost", "node")).alias("best"),
-                                     F.min("cost").alias("least"))
-    sure = (cost.join(best, "group").where("node <> best AND cost + least <= whole")
-            .select(F.col("best").alias("a"), F.col("node").alias("b")))
-    sure = materialize(sure, "jaccard-sure")
-
+    # with e = 100 * gone + percent * extra, x and y are linked if
+    # e(x) + e(y) <= (100 - percent) * whole + (100 + percent) * shared differences
+    total = (apart.groupBy("group", "node").agg(F.sum(F.size("gone")).alias("gone"), F.sum(F.size("extra")).alias("extra"))
+             .join(whole, "group", "left")
+             .select("group", "node", (F.col("gone") + F.col("extra")).alias("differences"),
+                     (100 * F.col("gone") + percent * F.col("extra")).alias("e"),
+                     ((100 - percent) * F.coalesce("whole", F.lit(0))).alias("free")))
+    total = materialize(total, "jaccard-totals")
+    best = total.groupBy("group").agg(F.min_by("node", F.struct("e", "node")).alias("best"), F.min("e").alias("least"))
+    sure = materialize(total.join(best, "group").where("node <> best AND e + least <= free")
+                       .select(F.col("best").alias("a"), F.col("node").alias("b")), "jaccard-sure")
+
+    # e(y) >= percent * shared, so x is linked beyond that only with sets that share at least
+    # (e(x) - free) / 100 of its differences; hence its rarest ones suffice to meet them
     label = components(links.unionAll(sure))
     kinds = F.concat(F.transform("gone", lambda g: F.struct(g.alias("gram"), F.lit(0).alias("kind"))),
                      F.transform("extra", lambda g: F.struct(g.alias("gram"), F.lit(1).alias("kind"))))
-    grams = apart.select("group", "node", F.explode(kinds).alias("g")).select("group", "node", "g.gram", "g.kind")
-    named = with_label(grams.join(cost, ["group", "node"]), label, "node", "label")
     key = ["group", "gram", "kind"]
-    open_grams = (named.groupBy(key).agg(F.min("label").alias("low"), F.max("label").alias("high"))
-                  .where("low <> high").select(key))
-    named = materialize(named.join(open_grams, key, "left_semi"), "jaccard-differences")
-    other = named.select(*key, *(F.col(c).alias(f"{c}_b") for c in ("node", "label", "cost")))
-    shared = (named.join(other, key).where((F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b")))
-              .groupBy(F.col("node").alias("a"), F.col("node_b").alias("b"), "cost", "cost_b", "whole")
-              .agg(F.count("*").alias("shared"))
-              .where(both * F.col("shared") >= F.col("cost") + F.col("cost_b") - F.col("whole")))
-    return sure.unionAll(shared.select("a", "b"))
+    grams = materialize(with_label(
+        apart.select("group", "node", F.explode(kinds).alias("g")).select("group", "node", "g.gram", "g.kind"),
+        label, "node", "label"), "jaccard-differences")
+    seen = materialize(grams.groupBy(key).agg(F.count("*").alias("seen"), F.min("label").alias("low"),
+                                              F.max("label").alias("high")), "jaccard-seen")
+    order = Window.partitionBy("group", "node").orderBy("seen", "gram", "kind")
+    least = F.greatest(F.ceil((F.col("e") - F.col("free")) / 100), F.lit(1))
+    rare = (grams.join(seen, key).withColumn("place", F.row_number().over(order)).join(total, ["group", "node"])
+            .where((F.col("place") <= F.col("differences") - least + 1) & (F.col("low") != F.col("high")))
+            .select(*key, "node", "label", "place", "e", "differences", "free"))
+    rare = materialize(rare, "jaccard-rare")
+    own = ("node", "label", "place", "e", "differences")
+    other = rare.select(*key, *(F.col(c).alias(f"{c}_b") for c in own))
+    asked = F.col("e") + F.col("e_b") - F.col("free")
+    met = (rare.join(other, key)
+           .where((F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b"))
+                  & ((100 + percent) * F.least("differences", "differences_b") >= asked)))
+    # beyond the last rare difference that they share, neither can share more than it has left
+    left = F.least(F.col("differences") - F.col("at"), F.col("differences_b") - F.col("at_b"))
+    pairs = (met.groupBy(F.col("node").alias("a"), F.col("node_b").alias("b"), "e", "e_b", "differences", "differences_b",
+                         "free").agg(F.count("*").alias("shared"), F.max("place").alias("at"), F.max("place_b").alias("at_b"))
+             .where((100 + percent) * (F.col("shared") + left) >= asked).select("a", "b").distinct())
+    return sure.unionAll(linked(materialize(pairs, "jaccard-group-pairs"), parts, percent))
 
 
 def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
