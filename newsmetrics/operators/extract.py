@@ -1,18 +1,20 @@
 """Article and anchor extraction over the page table (X1-X15, UD1, UD2, J6).
 
-The only Python step of the engine: one ``mapInPandas`` per page batch that
-parses each page once and evaluates the profile's rules. Everything before it
-(joins, dedup, pattern filters) and after it (validation F7-F9, outcome X15,
-error text P8, date conversion DT2, image dedup U4) is Spark SQL.
+The only Python step is one ``mapInPandas`` in which a single pass over each page
+records, per selector of the page's profile, the matching elements: place, text
+and attributes. A page that the parser can't read becomes a row with its error.
+What a rule makes of the matches - first non-empty text, captions inside a
+figure, bodies outside a block - is Spark SQL over that array, as are validation
+F7-F9, outcome X15, error text P8, date conversion DT2 and image dedup U4.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,233 +22,80 @@ from .. import config, schemas
 from ..functions import dates, text
 from . import html as H
 
-# ------------------------------------------------------------------ rule kinds
-_BG = re.compile(r"background-image\s*:\s*url\((.*?)\)")
-
-
-class RuleError(Exception):
-    """Raised where the reference's extractor raises; the text is the outcome."""
-
-
-def text_first(root, sels):
-    """First match per selector; empty text moves on to the next selector."""
-    for s in sels:
-        el = root.select_one(s)
-        if el is not None:
-            t = el.get_text(" ", strip=True)
-            if t:
-                return t
-    return None
-
-
-def own_text_first(root, sels):
-    """Direct text children only."""
-    for s in sels:
-        el = root.select_one(s)
-        if el is not None:
-            t = " ".join(ch for ch in el.children if not isinstance(ch, H.Element)).strip()
-            if t:
-                return t
-    return None
-
-
-def attr_datetime(root, sels):
-    """``datetime`` attribute of the first match; absent attribute is an error."""
-    for s in sels:
-        el = root.select_one(s)
-        if el is not None:
-            if "datetime" not in el.attrs:
-                raise RuleError("'datetime'")
-            if el.attrs["datetime"]:
-                return el.attrs["datetime"]
-    return None
-
-
-def _src(el, names):
-    for n in names:
-        v = el.attrs.get(n)
-        if v:
-            return v
-    return None
-
-
-def images(root, sels):
-    """Image URLs (src, data-src, data-lazy-src, CSS background), distinct."""
-    found = set()
-    for s in sels:
-        for el in root.select(s):
-            src = _src(el, ("src", "data-src", "data-lazy-src"))
-            if not src and "style" in el.attrs:
-                m = _BG.search(el.attrs["style"])
-                if m:
-                    src = m.group(1).strip(" \"'")
-            if src:
-                found.add(src.strip())
-    return sorted(found) if found else None
-
-
-def images_captioned(root, fig_sels, img_sels, desc_sels):
-    """Per figure, first matching image with a source, and its caption."""
-    out = []
-    for fs in fig_sels:
-        for fig in root.select(fs):
-            img = None
-            for s in img_sels:
-                img = fig.select_one(s)
-                if img is not None:
-                    break
-            if img is None:
-                continue
-            src = _src(img, ("src", "data-src", "data-lazy-src"))
-            if not src:
-                continue
-            desc = None
-            for s in desc_sels:
-                desc = fig.select_one(s)
-                if desc is not None:
-                    break
-            out.append({"url": src, "descripcion": desc.get_text(strip=True) if desc else None})
-    return out or None
-
-
-def _https(u):
-    return "https:" + u if u.startswith("//") else u
-
-
-def videos(root, sels):
-    """Video sources, protocol-relative fixed, duplicates kept."""
-    out = []
-    for s in sels:
-        for el in root.select(s):
-            u = _src(el, ("src", "data-src"))
-            if u:
-                out.append(_https(u))
-    return out or None
-
-
-def video_body(root, sels):
-    """Source of the first match; absent ``src`` is an error."""
-    for s in sels:
-        el = root.select_one(s)
-        if el is not None:
-            if "src" not in el.attrs:
-                raise RuleError("'src'")
-            if el.attrs["src"]:
-                return _https(el.attrs["src"])
-    return None
-
-
-def text_all(root, sels):
-    """Texts of all matches of all selectors, '' for an empty match."""
+ATTRIBUTES = ("datetime", "src", "data-src", "data-lazy-src", "style")
+HITS = T.ArrayType(T.StructType(
+    [T.StructField(n, T.IntegerType()) for n in ("pick", "number", "last")]
+    + [T.StructField(n, T.StringType()) for n in ("text", "tight", "own")]
+    + [T.StructField("attrs", T.MapType(T.StringType(), T.StringType()))]))
+IMAGE_SOURCES, VIDEO_SOURCES = ("src", "data-src", "data-lazy-src"), ("src", "data-src")
+NO_CATEGORY = "'NoneType' object has no attribute 'lower'"
+FIELDS = ["categoria", "titulo", "fecha", "autor", "desc_autor", "abstract", "cuerpo",
+          "cuerpo_en_vivo", "multimedia", "imagenes", "videos"]
+
+
+# ------------------------------------------------------------------ the HTML step
+def rules_of(profile: dict) -> list[tuple]:
+    """All (kind, selector lists...) rules of a profile."""
     out = []
-    for s in sels:
-        for el in root.select(s):
-            out.append(el.get_text(" ", strip=True) or "")
+    for field, rule in profile.items():
+        if not field.startswith("_"):
+            out += list(rule.values()) if isinstance(rule, dict) else rule
     return out
 
 
-def body(root, sels):
-    """X2 joined with newlines; no match at all -> null."""
-    parts = text_all(root, sels)
-    return "\n".join(parts) if parts else None
+def selectors_of(profile: dict) -> list[str]:
+    """The profile's selectors, each once; a match's ``pick`` is its place here."""
+    return list(dict.fromkeys(s for _, *groups in rules_of(profile) for g in groups for s in g))
 
 
-def body_excluding(root, sels, excluded):
-    """X11: non-empty texts outside any excluded ``tag.class`` ancestor."""
-    ex = [e.split(".", 1) for e in excluded]
-    out = []
-    for s in sels:
-        for el in root.select(s):
-            if any(el.find_parent(t, c) is not None for t, c in ex):
-                continue
-            t = el.get_text(" ", strip=True)
-            if t:
-                out.append(t)
-    return "\n".join(out) if out else None
-
-
-def live_entries(root, fig_sels, date_sels, body_sels):
-    """Per entry, its datetime (or null) and its non-empty texts."""
-    out = []
-    for fs in fig_sels:
-        for fig in root.select(fs):
-            fecha = None
-            for s in date_sels:
-                d = fig.select_one(s)
-                if d is not None and "datetime" in d.attrs:
-                    fecha = d.attrs["datetime"]
-                    break
-            parts = []
-            for s in body_sels:
-                for el in fig.select(s):
-                    t = el.get_text(" ", strip=True)
-                    if t:
-                        parts.append(t)
-            out.append({"fecha": fecha, "cuerpo": "\n".join(parts) if parts else None})
-    return out or None
-
-
-def anchors(root):
-    """Href of every ``a`` element that has one, in document order."""
-    return [el.attrs["href"] for el in root.descendants() if el.tag == "a" and "href" in el.attrs]
-
+def page_hits(html: str | None, selectors: list[str]) -> list[dict]:
+    return [{"pick": k, "number": m.number, "last": m.last, "text": m.text(" "), "tight": m.text(""),
+             "own": m.own_text(), "attrs": {a: m.attrs[a] for a in ATTRIBUTES if a in m.attrs}}
+            for k, found in enumerate(H.scan(html, selectors)) for m in found]
 
-RULES = {"text_first": text_first, "own_text_first": own_text_first,
-         "attr_datetime": attr_datetime, "images": images,
-         "images_captioned": images_captioned, "videos": videos, "video_body": video_body,
-         "body": body, "body_excluding": body_excluding, "live_entries": live_entries,
-         "text_all": text_all}
 
-FIELDS = ["categoria", "titulo", "fecha", "autor", "desc_autor", "abstract", "cuerpo",
-          "cuerpo_en_vivo", "multimedia", "imagenes", "videos"]
+def anchors(html: str | None) -> list[str]:
+    """Href of every ``a`` element that has one, in document order."""
+    return [m.attrs["href"] for m in H.scan(html, ["a[href]"])[0]]
 
 
-def extract_fields(html: str | None, profile: dict) -> dict:
-    """Evaluate a profile on one page. Returns field values plus ``error``."""
-    root = H.parse(html)
-    out = {f: None for f in FIELDS}
-    out["error"] = None
-    try:
-        for field, rule in profile.items():
-            if field.startswith("_"):
-                continue
-            if isinstance(rule, dict):        # switch on the category
-                cat = out.get("categoria")
-                if cat is None:
-                    raise RuleError("'NoneType' object has no attribute 'lower'")
-                r = rule.get(cat.lower().strip(), rule.get("*"))
-                out[field] = RULES[r[0]](root, *r[1:]) if r else None
-            else:
-                val = None
-                for kind, *args in rule:     # first truthy result of the chain
-                    val = RULES[kind](root, *args)
-                    if val:
-                        break
-                out[field] = val
-        if profile.get("_categoria_required") and out.get("categoria") is None:
-            raise RuleError("'NoneType' object has no attribute 'lower'")
-    except RuleError as e:
-        out["error"] = str(e)
-    return out
+def _failure(e: Exception) -> str:
+    return f"{type(e).__name__}: {e}"
 
 
-def _extract_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cols = [f.name for f in schemas.EXTRACTED.fields]
+def _hit_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    wanted = {name: selectors_of(p) for name, p in config.PROFILES.items()}
     for pdf in batches:
-        rows = []
-        for page_id, url, medio, prof, html in zip(pdf["page_id"], pdf["url"], pdf["medio"],
-                                                   pdf["profile"], pdf["html"]):
-            r = extract_fields(html, config.PROFILES.get(prof, {}))
-            r.update(page_id=page_id, url=url, medio=medio, profile=prof)
-            rows.append(r)
-        yield pd.DataFrame(rows, columns=cols)
+        hits, errors = [], []
+        for profile, html in zip(pdf["profile"], pdf["html"]):
+            try:
+                hits.append(page_hits(html, wanted.get(profile, [])))
+                errors.append(None)
+            except Exception as e:  # one page's markup must not end the job
+                hits.append([])
+                errors.append(_failure(e))
+        yield pdf.drop(columns=["html"]).assign(hits=hits, failure=errors)
 
 
 def _anchor_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        out = pdf.drop(columns=["html"])
-        out["hrefs"] = [anchors(H.parse(h)) for h in pdf["html"]]
-        yield out
+        hrefs, errors = [], []
+        for html in pdf["html"]:
+            try:
+                hrefs.append(anchors(html))
+                errors.append(None)
+            except Exception as e:  # as above
+                hrefs.append([])
+                errors.append(_failure(e))
+        yield pdf.drop(columns=["html"]).assign(hrefs=hrefs, error=errors)
+
+
+def scanned_anchors(pages: DataFrame) -> DataFrame:
+    """One row per page: its columns but ``html``, its hrefs and the parser's error or null."""
+    schema = T.StructType([f for f in pages.schema.fields if f.name != "html"]
+                          + [T.StructField("hrefs", T.ArrayType(T.StringType())),
+                             T.StructField("error", T.StringType())])
+    return pages.mapInPandas(_anchor_batches, schema)
 
 
 def page_anchors(pages: DataFrame) -> DataFrame:
@@ -255,17 +104,159 @@ def page_anchors(pages: DataFrame) -> DataFrame:
     Every input column except ``html`` passes through the HTML step, so no
     join back to the page table is needed.
     """
-    schema = T.StructType([f for f in pages.schema.fields if f.name != "html"]
-                          + [T.StructField("hrefs", T.ArrayType(T.StringType()))])
-    a = pages.mapInPandas(_anchor_batches, schema)
-    keep = [f.name for f in schema.fields if f.name != "hrefs"]
-    return a.select(*keep, F.posexplode("hrefs").alias("pos", "href"))
+    keep = [c for c in pages.columns if c != "html"]
+    return scanned_anchors(pages).select(*keep, F.posexplode("hrefs").alias("pos", "href"))
+
+
+def failed_pages(pages: DataFrame) -> DataFrame:
+    """The pages that the parser can't read, with its error."""
+    return scanned_anchors(pages).drop("hrefs").where(F.col("error").isNotNull())
+
+
+# ------------------------------------------------------------------ rules over matches
+class Rules:
+    """Columns that evaluate rules over ``hits`` for one profile's list of selectors."""
+
+    def __init__(self, selectors: list[str]):
+        self.place = {s: k for k, s in enumerate(selectors)}
+
+    def all_of(self, selector: str, inside: Column | None = None) -> Column:
+        def wanted(h: Column) -> Column:
+            own = h["pick"] == self.place[selector]
+            return own if inside is None else own & (h["number"] > inside["number"]) & (h["number"] <= inside["last"])
+        return F.filter("hits", wanted)
+
+    def firsts(self, selectors: list[str], inside: Column | None = None) -> Column:
+        """The first match of each selector that has one."""
+        return F.array_compact(F.array(*(F.get(self.all_of(s, inside), F.lit(0)) for s in selectors)))
+
+    def every(self, selectors: list[str], inside: Column | None = None) -> Column:
+        return F.concat(*(self.all_of(s, inside) for s in selectors))
+
+    @staticmethod
+    def _source(h: Column, names: tuple[str, ...]) -> Column:
+        return F.coalesce(*(text.nullif_empty(h["attrs"][n]) for n in names))
+
+    @staticmethod
+    def _some(items: Column) -> Column:
+        return F.when(F.size(items) > 0, items)
+
+    def _first_text(self, selectors: list[str], part: str) -> Column:
+        return F.get(F.filter(F.transform(self.firsts(selectors), lambda h: h[part]), lambda t: t != ""), F.lit(0))
+
+    def text_first(self, selectors):  # X1
+        return self._first_text(selectors, "text"), None
+
+    def own_text_first(self, selectors):  # X3
+        return self._first_text(selectors, "own"), None
+
+    def _attribute(self, selectors: list[str], name: str) -> tuple[Column, Column]:
+        """First non-empty attribute of the selectors' first matches; a match without it is an error."""
+        decides = F.get(F.filter(self.firsts(selectors), lambda h: h["attrs"][name].isNull() | (h["attrs"][name] != "")),
+                        F.lit(0))
+        value = decides["attrs"][name]
+        return value, F.when(decides.isNotNull() & value.isNull(), F.lit(f"'{name}'"))
+
+    def attr_datetime(self, selectors):  # X4
+        return self._attribute(selectors, "datetime")
+
+    def video_body(self, selectors):  # X8
+        value, error = self._attribute(selectors, "src")
+        return text.https_prefix(value), error
+
+    def images(self, selectors):  # X5
+        def source(h: Column) -> Column:
+            return F.coalesce(self._source(h, IMAGE_SOURCES),
+                              text.nullif_empty(text.css_background_url(h["attrs"]["style"])))
+        found = F.transform(self.every(selectors), lambda h: text.py_strip(source(h)))
+        return self._some(F.array_sort(F.array_distinct(F.array_compact(found)))), None
+
+    def videos(self, selectors):  # X7
+        found = F.transform(self.every(selectors), lambda h: text.https_prefix(self._source(h, VIDEO_SOURCES)))
+        return self._some(F.array_compact(found)), None
+
+    def images_captioned(self, figures, images, captions):  # X6
+        def figure(f: Column) -> Column:
+            image = F.get(self.firsts(images, f), F.lit(0))
+            caption = F.get(self.firsts(captions, f), F.lit(0))
+            return F.struct(self._source(image, IMAGE_SOURCES).alias("url"), caption["tight"].alias("descripcion"))
+        return self._some(F.filter(F.transform(self.every(figures), figure), lambda i: i["url"].isNotNull())), None
+
+    def text_all(self, selectors):  # X2
+        return F.transform(self.every(selectors), lambda h: h["text"])
+
+    def body(self, selectors):  # X9
+        return text.join_lines(self._some(self.text_all(selectors))), None
+
+    def body_excluding(self, selectors, excluded):  # X11
+        blocks = self.every(excluded)
+        free = F.filter(self.every(selectors), lambda h: (h["text"] != "") & ~F.exists(
+            blocks, lambda b: (h["number"] > b["number"]) & (h["number"] <= b["last"])))
+        return text.join_lines(self._some(F.transform(free, lambda h: h["text"]))), None
+
+    def live_entries(self, entries, stamps, bodies):  # X10
+        def entry(e: Column) -> Column:
+            stamp = F.get(F.filter(self.firsts(stamps, e), lambda h: h["attrs"]["datetime"].isNotNull()), F.lit(0))
+            parts = F.filter(F.transform(self.every(bodies, e), lambda h: h["text"]), lambda t: t != "")
+            return F.struct(stamp["attrs"]["datetime"].alias("fecha"),
+                            text.join_lines(self._some(parts)).alias("cuerpo"))
+        return self._some(F.transform(self.every(entries), entry)), None
+
+    def chain(self, rules: list[tuple], kind: T.DataType) -> tuple[Column, Column | None]:
+        """The first rule with a result; if none has one, the last rule's."""
+        *firsts, last = [getattr(self, k)(*args) for k, *args in rules]
+        error = [e for _, e in (*firsts, last) if e is not None]
+        value = last[0]
+        for v, _ in reversed(firsts):
+            value = F.when(text.non_empty(v) if isinstance(kind, T.StringType) else v.isNotNull(), v).otherwise(value)
+        return value, reduce(lambda a, b: F.coalesce(a, b), error) if error else None
+
+
+def _profile_columns(profile: dict) -> tuple[dict[str, Column], Column]:
+    """Every field's value and the first error of a profile."""
+    rules = Rules(selectors_of(profile))
+    types = {f.name: f.dataType for f in schemas.EXTRACTED.fields}
+    category = (rules.chain(profile["categoria"], types["categoria"])[0]
+                if "categoria" in profile else F.lit(None).cast("string"))
+    values, errors = {}, [F.col("failure")]
+    for field in FIELDS:
+        rule, kind = profile.get(field), types[field]
+        value, error = F.lit(None).cast(kind), None
+        if isinstance(rule, dict):
+            errors.append(F.when(category.isNull(), F.lit(NO_CATEGORY)))
+            now = text.lower_trim(category)
+            cases = [(now == n, *rules.chain([r], kind)) for n, r in rule.items() if n != "*"]
+            value, error = rules.chain([rule["*"]], kind) if "*" in rule else (value, None)
+            error = F.lit(None).cast("string") if error is None else error
+            for holds, v, e in cases:
+                value = F.when(holds, v).otherwise(value)
+                error = F.when(holds, F.lit(None).cast("string") if e is None else e).otherwise(error)
+        elif rule:
+            value, error = rules.chain(rule, kind)
+        values[field] = value.cast(kind)
+        if error is not None:
+            errors.append(error)
+    if profile.get("_categoria_required"):
+        errors.append(F.when(category.isNull(), F.lit(NO_CATEGORY)))
+    return values, F.coalesce(*errors)
 
 
 def raw_articles(pages: DataFrame) -> DataFrame:
-    """Run the profile rules on (page_id, url, medio, profile, html) rows."""
-    return (pages.select("page_id", "url", "medio", "profile", "html")
-            .mapInPandas(_extract_batches, schemas.EXTRACTED))
+    """Run the profile rules on (page_id, url, medio, profile, html) rows; an error leaves the fields null."""
+    base = pages.select("page_id", "url", "medio", "profile", "html")
+    schema = T.StructType([f for f in base.schema.fields if f.name != "html"]).add(
+        "hits", HITS).add("failure", T.StringType())
+    scanned = base.mapInPandas(_hit_batches, schema)
+    made = {name: _profile_columns(p) for name, p in config.PROFILES.items()}
+
+    def by_profile(pick) -> Column:
+        return F.coalesce(*(F.when(F.col("profile") == n, pick(c)) for n, c in made.items()))
+
+    error = F.coalesce(F.col("failure"), by_profile(lambda c: c[1]))
+    staged = scanned.withColumn("error", error)
+    return staged.select("page_id", "url", "medio", "profile",
+                         *(F.when(F.col("error").isNull(), by_profile(lambda c, f=f: c[0][f])).alias(f) for f in FIELDS),
+                         "error")
 
 
 def profiles_df(spark) -> DataFrame:

@@ -1,20 +1,22 @@
-"""Per-page HTML helper used inside the single ``mapInPandas`` extraction step.
-
-A small element tree over the standard-library ``html.parser`` with the tree
-rules of a non-validating builder: no implicit closing of ``<p>`` (an unclosed
-``<p>`` nests what follows), an end tag closes the nearest open element of the
-same name and is ignored when none is open, void elements never take
-children, and script/style/comment text is not page text.
-
-Selectors (the subset the extraction profiles use): ``tag``, ``.class``,
-``tag.class`` (several classes allowed), ``[attr]``, ``[attr='v']``,
-``[attr^='v']``, the descendant combinator (space) and comma groups. Matches
-are returned in document order without duplicates.
+"""One streaming pass over a page's HTML that records what selectors match.
+
+No tree is built and nothing recurses: the parser keeps a stack of open
+elements, each with how far every selector has been matched by its ancestors.
+Tree rules of a non-validating builder: an unclosed ``<p>`` holds what follows,
+an end tag closes the nearest open element of its name and is ignored when none
+is open, void elements hold nothing, and script, style and comment text is not
+page text. An element's text is a slice of the page's list of text pieces, so
+nested matches share their memory.
+
+Selectors: ``tag``, ``.class``, ``tag.class`` (several classes allowed),
+``[attr]``, ``[attr='v']``, ``[attr^='v']``, the descendant combinator (space)
+and comma groups. Matches come in document order without duplicates.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 VOID = frozenset(["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
@@ -23,113 +25,96 @@ VOID = frozenset(["area", "base", "br", "col", "embed", "hr", "img", "input", "l
 NON_TEXT = frozenset(["script", "style", "template"])
 
 
-class Text(str):
-    """A text node; ``kind`` is 'text', 'script' (script/style/template) or 'comment'."""
-    __slots__ = ("kind",)
+class Match:
+    """An element: its number, the number of the last element in it, its attributes and texts."""
 
+    __slots__ = ("number", "last", "attrs", "begin", "end", "own", "page")
 
-class Element:
-    __slots__ = ("tag", "attrs", "children", "parent", "order")
+    def __init__(self, page: Scan, number: int, attrs: dict[str, str]):
+        self.page, self.number, self.last, self.attrs = page, number, number, attrs
+        self.begin = self.end = len(page.pieces)
+        self.own: list[str] = []
 
-    def __init__(self, tag: str, attrs: dict, parent: Element | None, order: int):
-        self.tag, self.attrs, self.children, self.parent, self.order = tag, attrs, [], parent, order
+    def text(self, separator: str) -> str:
+        """Stripped pieces of text inside the element, the empty ones left out."""
+        return separator.join(self.page.pieces[self.begin:self.end])
 
-    # --- text -------------------------------------------------------------
-    def strings(self):
-        for ch in self.children:
-            if isinstance(ch, Element):
-                yield from ch.strings()
-            elif ch.kind == "text":
-                yield ch
+    def own_text(self) -> str:
+        """Text directly in the element, joined by blanks."""
+        return " ".join(self.own).strip()
 
-    def get_text(self, separator: str = "", strip: bool = False) -> str:
-        parts = (s.strip() for s in self.strings()) if strip else self.strings()
-        return separator.join(p for p in parts if p) if strip else separator.join(parts)
 
-    def own_text(self) -> str:
-        """Direct text children joined by ' ', then stripped."""
-        return " ".join(ch for ch in self.children
-                        if not isinstance(ch, Element) and ch.kind == "text").strip()
-
-    # --- tree -------------------------------------------------------------
-    def descendants(self):
-        for ch in self.children:
-            if isinstance(ch, Element):
-                yield ch
-                yield from ch.descendants()
-
-    def classes(self) -> list[str]:
-        return (self.attrs.get("class") or "").split()
-
-    def find_parent(self, tag: str, cls: str) -> Element | None:
-        p = self.parent
-        while p is not None:
-            if p.tag == tag and cls in p.classes():
-                return p
-            p = p.parent
-        return None
-
-    def select(self, selector: str) -> list[Element]:
-        groups = compile_selector(selector)
-        return [el for el in self.descendants() if any(_match(el, g) for g in groups)]
-
-    def select_one(self, selector: str) -> Element | None:
-        groups = compile_selector(selector)
-        for el in self.descendants():
-            if any(_match(el, g) for g in groups):
-                return el
-        return None
-
-
-class _Builder(HTMLParser):
-    def __init__(self):
+class Scan(HTMLParser):
+    """``found[k]`` holds the matches of ``selectors[k]``."""
+
+    def __init__(self, selectors: list[str]):
         super().__init__(convert_charrefs=True)
-        self.root = Element("[document]", {}, None, 0)
-        self.cur = self.root
-        self.n = 0
+        self.chains = [(k, chain) for k, s in enumerate(selectors) for chain in compile_selector(s)]
+        self.found: list[list[Match]] = [[] for _ in selectors]
+        self.pieces: list[str] = []
+        self.number = 0
+        # open elements: tag, progress per chain, match or None
+        self.stack: list[tuple[str, tuple[int, ...], Match | None]] = [("", (0,) * len(self.chains), None)]
+        self.open: Counter[str] = Counter()
 
     def handle_starttag(self, tag, attrs):
-        self.n += 1
-        d = {}
-        for k, v in attrs:
-            if k not in d:          # first occurrence of a repeated attribute wins
-                d[k] = "" if v is None else v
-        el = Element(tag, d, self.cur, self.n)
-        self.cur.children.append(el)
+        self.number += 1
+        kept: dict[str, str] = {}
+        for name, value in attrs:
+            kept.setdefault(name, value or "")  # the first of a repeated attribute counts
+        classes = kept.get("class", "").split()
+        before = self.stack[-1][1]
+        after, hits = [], set()
+        for (k, chain), done in zip(self.chains, before):
+            if done == len(chain) - 1 and _compound(tag, kept, classes, chain[done]):
+                hits.add(k)
+            elif done < len(chain) - 1 and _compound(tag, kept, classes, chain[done]):
+                done += 1
+            after.append(done)
+        match = Match(self, self.number, kept) if hits else None
+        for k in hits:
+            self.found[k].append(match)
         if tag not in VOID:
-            self.cur = el
+            self.stack.append((tag, tuple(after), match))
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
             self.handle_endtag(tag)
 
+    def _pop(self) -> str:
+        tag, _, match = self.stack.pop()
+        self.open[tag] -= 1
+        if match:
+            match.last, match.end = self.number, len(self.pieces)
+        return tag
+
     def handle_endtag(self, tag):
-        node = self.cur
-        while node is not None and node is not self.root:
-            if node.tag == tag:
-                self.cur = node.parent
-                return
-            node = node.parent
-
-    def _text(self, data, kind):
-        t = Text(data)
-        t.kind = kind
-        self.cur.children.append(t)
+        if self.open[tag]:
+            while self._pop() != tag:
+                pass
 
     def handle_data(self, data):
-        self._text(data, "script" if self.cur.tag in NON_TEXT else "text")
+        tag, _, match = self.stack[-1]
+        if match:
+            match.own.append(data)
+        if tag not in NON_TEXT and (piece := data.strip()):
+            self.pieces.append(piece)
 
     def handle_comment(self, data):
-        self._text(data, "comment")
+        if match := self.stack[-1][2]:
+            match.own.append(data)
 
 
-def parse(html: str | None) -> Element:
-    b = _Builder()
-    if html:
-        b.feed(html)
-        b.close()
-    return b.root
+def scan(html: str | None, selectors: list[str]) -> list[list[Match]]:
+    """The matches of every selector; raises what the parser raises."""
+    page = Scan(selectors)
+    page.feed(html or "")
+    page.close()
+    while len(page.stack) > 1:
+        page._pop()
+    return page.found
 
 
 # --------------------------------------------------------------------- selectors
@@ -165,45 +150,16 @@ def compile_selector(selector: str) -> list[list[tuple]]:
     return groups
 
 
-def _compound(el: Element, comp: tuple) -> bool:
-    tag, classes, attrs = comp
-    if tag is not None and el.tag != tag:
+def _compound(tag: str, attrs: dict[str, str], classes: list[str], comp: tuple) -> bool:
+    name, wanted, tests = comp
+    if name is not None and tag != name or any(c not in classes for c in wanted):
         return False
-    if classes:
-        have = el.classes()
-        if any(c not in have for c in classes):
-            return False
-    for name, op, val in attrs:
-        if name not in el.attrs:
-            return False
-        v = el.attrs[name]
-        if name == "class":
-            v = " ".join(el.classes())
-        if op is None:
-            continue
-        if op == "=" and v != val:
-            return False
-        if op == "^=" and not (val and v.startswith(val)):
+    for key, op, value in tests:
+        if key not in attrs:
             return False
-        if op == "$=" and not (val and v.endswith(val)):
-            return False
-        if op == "*=" and not (val and val in v):
-            return False
-        if op == "~=" and val not in v.split():
-            return False
-    return True
-
-
-def _match(el: Element, chain: list[tuple]) -> bool:
-    if not _compound(el, chain[-1]):
-        return False
-    i = len(chain) - 2
-    node = el.parent
-    while i >= 0:
-        while node is not None and node.tag != "[document]" and not _compound(node, chain[i]):
-            node = node.parent
-        if node is None or node.tag == "[document]":
+        have = " ".join(classes) if key == "class" else attrs[key]
+        if not {None: lambda: True, "=": lambda: have == value, "~=": lambda: value in have.split(),
+                "^=": lambda: bool(value) and have.startswith(value), "$=": lambda: bool(value) and have.endswith(value),
+                "*=": lambda: bool(value) and value in have}[op]():
             return False
-        i -= 1
-        node = node.parent
     return True

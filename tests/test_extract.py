@@ -137,26 +137,37 @@ def test_profile_b_errors(spark):
 
 
 def test_tree_keeps_unclosed_p_nesting():
-    root = H.parse("<article><h1>T &amp; U</h1><p><b>A<br><p>B</p><p>C</p></article>"
-                   "<script>var t='</p>';</script><div class='ad'><p>ad</p></div>")
-    texts = [p.get_text(" ", strip=True) for p in root.select("article p")]
-    assert texts == ["A B C", "B", "C"]
-    assert root.select_one("article h1").get_text(" ", strip=True) == "T & U"
-    assert X.body_excluding(root, ["p"], ["div.ad"]) == "A B C\nB\nC"
+    page = ("<article><h1>T &amp; U</h1><p><b>A<br><p>B</p><p>C</p></article>"
+            "<script>var t='</p>';</script><div class='ad'><p>ad</p></div>")
+    paragraphs, title, ad = H.scan(page, ["article p", "article h1", "div.ad"])
+    assert [p.text(" ") for p in paragraphs] == ["A B C", "B", "C"]
+    assert [t.text(" ") for t in title] == ["T & U"] and ad[0].text("") == "ad"
+    assert paragraphs[0].number < paragraphs[2].number <= paragraphs[0].last
 
 
 def test_selector_grammar():
-    root = H.parse("<div class='a b'><span class='c'>1</span></div><div class='b'><span>2</span>"
-                   "</div><p class='pre-x'>3</p>")
-    assert [e.get_text() for e in root.select("div.a.b span, p[class^='pre-']")] == ["1", "3"]
-    assert [e.get_text() for e in root.select("span, .c")] == ["1", "2"]
+    page = ("<div class='a b'><span class='c'>1</span></div><div class='b'><span>2</span>"
+            "</div><p class='pre-x'>3</p>")
+    found = H.scan(page, ["div.a.b span, p[class^='pre-']", "span, .c"])
+    assert [[m.text("") for m in f] for f in found] == [["1", "3"], ["1", "2"]]
     with pytest.raises(ValueError):
         H.compile_selector("div > p")
 
 
 def test_anchor_rule():
-    root = H.parse("<a href='/x'>x</a><a>no</a><!-- <a href='/c'> --><a href='y&amp;z'>y</a>")
-    assert X.anchors(root) == ["/x", "y&z"]
+    page = "<a href='/x'>x</a><a>no</a><!-- <a href='/c'> --><a href='y&amp;z'>y</a>"
+    assert X.anchors(page) == ["/x", "y&z"]
+
+
+def test_odd_pages_become_rows(spark):
+    good = "<article><h1>T</h1><p>text</p></article><a href='/x'>x</a>"
+    docs = [good, "<article><h1>D</h1>" + "<p>" * 5000 + "deep", "<![foo bar]><h1>x</h1>", None, ""]
+    got = _articles(spark, docs, "G")
+    assert [got[i].status for i in range(5)] == ["success", "success", "error", "error", "error"]
+    assert got[1].titulo == "D" and "AssertionError" in got[2].error and got[2].titulo is None
+    pages = spark.createDataFrame([(i, h) for i, h in enumerate(docs)], "page_id long, html string")
+    assert [(r.page_id, r.href) for r in X.page_anchors(pages).collect()] == [(0, "/x")]
+    assert [r.page_id for r in X.failed_pages(pages).collect()] == [2]
 
 
 def test_article_records(spark):
