@@ -41,6 +41,8 @@ UNITS = ("km m cm mm mi mile miles ft feet foot inch inches yard yards kg g mg l
          "day days week weeks month months year years usd eur gbp dollar dollars euro euros cent cents percent "
          "mph kmh degree degrees watt watts kw kwh volt volts hz khz mhz ghz kb mb gb tb byte bytes").split()
 NUMBER, NAME, UNIT = (np.uint64(v) for v in (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD2B74407B1CE6E93))
+PLACEHOLDERS = np.array([0, NUMBER, UNIT, NAME], np.uint64)
+STOPS = np.isin(np.arange(256), list(b".!?:\n\r\t|"))  # after one of these a capital begins a sentence
 WINDOWS = "doc_id long, key long, text_key long, h long, at int, slots array<long>"
 
 
@@ -69,13 +71,15 @@ def _block(raw: bytes, before: bytes, units: np.ndarray) -> tuple[np.ndarray, np
     hashes = _hash_tokens(np.where(kind > 0, table_[low], np.uint64(0)), starts)
     out = np.where(kind[starts] == 1, 1, 0).astype(np.int8)
     follows = np.concatenate(([False], out[:-1] == 1))
-    out[(out == 0) & follows & np.isin(hashes, units)] = 2
+    maybe = np.flatnonzero((out == 0) & follows)
+    if len(maybe):
+        out[maybe[np.isin(hashes[maybe], units)]] = 2
     padded = np.concatenate((np.frombuffer((b".." + before)[-2:], np.uint8), b))
     first, second = padded[starts + 1], padded[starts]  # the byte before the token and the one before that
-    inner = (first == 32) & ~np.isin(second, np.frombuffer(b".!?:\n\r\t|", np.uint8))
-    accented = (b[starts] == 0xC3) & (b[np.minimum(starts + 1, len(b) - 1)] >= 0x80) \
-        & (b[np.minimum(starts + 1, len(b) - 1)] <= 0x9E)
-    out[(out == 0) & (upper[starts] | accented) & inner] = 3
+    after = b[np.minimum(starts + 1, len(b) - 1)]
+    capital = upper[starts] | ((b[starts] == 0xC3) & (after >= 0x80) & (after <= 0x9E))
+    maybe = np.flatnonzero((out == 0) & capital & (first == 32))
+    out[maybe[~STOPS[second[maybe]]]] = 3
     return hashes, out
 
 
@@ -97,13 +101,19 @@ def canonical(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     start_of = np.repeat(first, np.diff(np.append(first, len(value))))
     value = np.add.reduceat(value * (order - order[start_of] + np.uint64(1)), first)
     kind = kind[first]
-    token = np.select([kind == 1, kind == 2, kind == 3], [NUMBER, UNIT, NAME], value)
-    return token.astype(np.uint64), value, kind > 0
+    token = np.where(kind == 0, value, PLACEHOLDERS[kind])
+    return token, value, kind > 0
+
+
+_KEPT: dict[str, np.ndarray] = {}
 
 
 def unit_hashes() -> np.ndarray:
-    byte, _, _ = tables(1 << 12)
-    return np.array([_hash_tokens(byte[np.frombuffer(u.encode(), np.uint8)], np.array([0]))[0] for u in UNITS])
+    if "units" not in _KEPT:
+        byte, _, _ = tables(1 << 12)
+        _KEPT["units"] = np.array([_hash_tokens(byte[np.frombuffer(u.encode(), np.uint8)], np.array([0]))[0]
+                                   for u in UNITS])
+    return _KEPT["units"]
 
 
 def template_windows(text: str, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -114,9 +124,11 @@ def template_windows(text: str, size: int) -> tuple[np.ndarray, np.ndarray, np.n
     width = min(size, len(token))
     total = np.concatenate(([0], np.cumsum(slot)))
     literal = width - (total[width:] - total[:-width])
-    general = window_hashes(token, width) + np.uint64(width)
-    exact = window_hashes(value, width) + np.uint64(width + 100)
-    return np.where(literal >= min(LITERALS, width), general, exact), value, slot, len(token)
+    h = window_hashes(token, width) + np.uint64(width)
+    plain = literal < min(LITERALS, width)
+    if plain.any():
+        h[plain] = window_hashes(value, width)[plain] + np.uint64(width + 100)
+    return h, value, slot, len(token)
 
 
 def benchmark_windows(items: DataFrame) -> DataFrame:
