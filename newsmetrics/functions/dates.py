@@ -60,8 +60,8 @@ def parse_log_time(c) -> Column:
     """DT1: parse ``%Y-%m-%d %H:%M:%S`` (unpadded fields allowed); null when it fails."""
     c = col(c)
     flat = F.regexp_replace(F.regexp_replace(c, r"(?U)\s+", " "), "- ", "-")
-    ts = F.try_to_timestamp(flat, F.lit("y-M-d H:m:s"))
-    return F.when(c.rlike(_LOG_TIME_RE), ts.cast("timestamp_ntz"))
+    # a zone-less type from the start: the session's zone and its clock changes play no part
+    return F.when(c.rlike(_LOG_TIME_RE), flat.try_cast("timestamp_ntz"))
 
 
 @cached_expr

@@ -21,7 +21,12 @@ def cached_expr(fn):
     @functools.wraps(fn)
     def wrap(*args):
         if all(isinstance(a, (str, int, float, bool, tuple, type(None))) for a in args):
-            key = (id(SparkContext._active_spark_context), args)
+            active = SparkContext._active_spark_context
+            app = active.applicationId if active else None
+            if cache.get("app") != app:  # Columns of a stopped application are dead
+                cache.clear()
+                cache["app"] = app
+            key = (app, args)
             c = cache.get(key)
             if c is None:
                 c = cache[key] = fn(*args)

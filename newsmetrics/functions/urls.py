@@ -54,7 +54,7 @@ def category_slug(cat_url) -> Column:
 
 def _after_first(u: Column, marker: str) -> Column:
     """Text after the first occurrence of ``marker`` (caller checks presence)."""
-    return F.substring(u, F.instr(u, marker) + len(marker), 1 << 30)
+    return F.substr(u, F.instr(u, marker) + len(marker))
 
 
 @cached_expr

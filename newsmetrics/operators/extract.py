@@ -315,15 +315,17 @@ def extract_articles(pages: DataFrame, profiles: DataFrame | None = None) -> Dat
     return validate(raw_articles(pages), profiles)
 
 
-def article_a(articles: DataFrame) -> DataFrame:
-    """D6 record (profile A) of successful articles."""
-    return articles.filter(F.col("status") == "success").select(
-        "titulo", "fecha", "autor", "desc_autor", "abstract", "cuerpo", "multimedia",
+def article_a(articles: DataFrame, outlet: bool = False) -> DataFrame:
+    """D6 record (profile A) of successful articles; ``outlet`` adds the writer's partition column."""
+    own = articles.filter((F.col("status") == "success") & (F.col("profile") == "A"))
+    return own.select(
+        *(["medio"] if outlet else []), "titulo", "fecha", "autor", "desc_autor", "abstract", "cuerpo", "multimedia",
         "tipo_multimedia", "url")
 
 
-def article_b(articles: DataFrame) -> DataFrame:
-    """D7 record (profile B) of successful articles."""
-    return articles.filter(F.col("status") == "success").select(
-        "categoria", "titulo", "fecha", "autor", "abstract", "cuerpo", "cuerpo_en_vivo",
+def article_b(articles: DataFrame, outlet: bool = False) -> DataFrame:
+    """D7 record (profile B) of successful articles; ``outlet`` as above."""
+    own = articles.filter((F.col("status") == "success") & (F.col("profile") == "B"))
+    return own.select(
+        *(["medio"] if outlet else []), "categoria", "titulo", "fecha", "autor", "abstract", "cuerpo", "cuerpo_en_vivo",
         "imagenes", "videos", "url")

@@ -18,7 +18,10 @@ def _num_text(ms: Column) -> Column:
     """Render a millisecond double as Python's ``str(float)`` does for log values."""
     as_long = ms.cast("long")
     return F.when(ms == as_long.cast("double"),
-                  F.concat(as_long.cast("string"), F.lit(".0"))).otherwise(ms.cast("string"))
+                  F.concat(as_long.cast("string"), F.lit(".0"))).otherwise(
+        # Spark writes doubles from 10^7 on in scientific form; decimals stay plain
+        F.when(F.abs(ms) < 1e7, ms.cast("string"))
+        .otherwise(F.regexp_replace(ms.cast("decimal(38,6)").cast("string"), "0+$", "")))
 
 
 def build_log(results: DataFrame, seq: str = "arrival_seq") -> DataFrame:

@@ -30,18 +30,9 @@ from ..functions.text import cached_expr
 TABLES = ["events", "pages"]
 
 
-_SCHEMAS: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; its schema is inferred once per path and reused."""
-    path = f"{sf_dir}/{name}.parquet"
-    key = (id(spark.sparkContext), path)
-    if key not in _SCHEMAS:
-        df = spark.read.parquet(path)
-        _SCHEMAS[key] = df.schema
-        return df
-    return spark.read.schema(_SCHEMAS[key]).parquet(path)
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def scrape_log(spark: SparkSession, sf_dir: str) -> DataFrame:

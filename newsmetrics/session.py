@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 
@@ -28,7 +29,6 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     builder = (builder
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "16g")
                .config("spark.ui.enabled", "false"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -39,14 +39,19 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (local tests) a scratch folder is created.
+    ``spark.checkpoint.dir`` names a folder that the driver and all executors
+    share, and is used as it is. Only a local session without it gets a scratch
+    folder; on a cluster that would scatter a table's parts over machines.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="newsmetrics-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
@@ -62,9 +67,25 @@ def materialize(df, name: str):
     Cuts lineage (a lost executor re-reads the table instead of re-running the
     work) and lets a plan use an expensive intermediate result, such as the
     output of the HTML step, in several branches without recomputing it.
+    The application's written tables are deleted when its Python process ends.
     """
     import uuid
     spark = df.sparkSession
-    path = checkpoint_path(spark, f"tables/{name}-{uuid.uuid4().hex}")
+    folder = checkpoint_path(spark, f"tables-{spark.sparkContext.applicationId}")
+    if folder not in _FOLDERS:
+        _FOLDERS.add(folder)
+        atexit.register(_remove, spark, folder)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_FOLDERS: set[str] = set()
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    try:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # the session or its gateway is gone already; the folder stays
+        pass

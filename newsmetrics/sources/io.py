@@ -8,13 +8,12 @@ micro-batch / run: a re-executed task or batch overwrites its own output.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.jsonfn import CORRUPT, decode
-from ..operators import windows
 
 
 # ------------------------------------------------------------------ readers
@@ -58,18 +57,23 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType) -> tuple[Data
 def read_crawl_csv(spark: SparkSession, path: str) -> DataFrame:
     """Crawl CSV (no header) with its 1-based row number in file order.
 
-    The row number comes from the read itself: input splits are in file order
-    and ``monotonically_increasing_id`` increases within a split, so a blocked
-    running count (one block per input split) numbers the rows without moving
-    the whole file into one task.
+    Files count in the order of their names. Spark deals splits to tasks by
+    size, so the order is taken from each row's file and split start; inside a
+    split the ids that Spark gives out increase. Rows are numbered per split,
+    and the splits' first numbers come from a table with one row per split.
     """
-    df = (spark.read.schema(schemas.CRAWL_CSV).option("header", "false").csv(path)
-          .filter(F.col("categoria").isNotNull() | F.col("url").isNotNull())
-          .withColumn("__id", F.monotonically_increasing_id())
-          .withColumn("__one", F.lit(1).cast("long")))
-    r = windows.running_sums(df, keys=[], order="__id", sums={"idx": "__one"},
-                             block=F.shiftright(F.col("__id"), 33))
-    return r.select(F.col("idx").cast("long").alias("idx"), "categoria", "url")
+    rows = (spark.read.schema(schemas.CRAWL_CSV).option("header", "false").csv(path)
+            .filter(F.col("categoria").isNotNull() | F.col("url").isNotNull())
+            .select("categoria", "url", F.col("_metadata.file_path").alias("file"),
+                    F.col("_metadata.file_block_start").alias("begin"),
+                    F.monotonically_increasing_id().alias("at")))
+    split = ["file", "begin"]
+    counts = rows.groupBy(*split).agg(F.count("*").alias("rows"))
+    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    first = counts.select(*split, F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first"))
+    number = F.row_number().over(Window.partitionBy(*split).orderBy("at"))
+    return (rows.withColumn("number", number).join(first, split)
+            .select((F.col("first") + F.col("number")).cast("long").alias("idx"), "categoria", "url"))
 
 
 def row_range(df: DataFrame, desde: int = 1, hasta: int | None = None) -> DataFrame:
@@ -83,7 +87,7 @@ def row_range(df: DataFrame, desde: int = 1, hasta: int | None = None) -> DataFr
 def until_first_failure(df: DataFrame, status_col: str = "status") -> DataFrame:
     """rows before the first failing row (by ``idx``); all rows if none fails."""
     first_bad = df.filter(F.col(status_col) != "success").agg(F.min("idx")).scalar()
-    return df.filter(F.col("idx") < F.coalesce(first_bad, F.lit(1 << 62)))
+    return df.filter(first_bad.isNull() | (F.col("idx") < first_bad))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -99,7 +103,8 @@ def write_crawl_csv(links: DataFrame, path: str) -> None:
 
 
 def write_articles(articles: DataFrame, path: str) -> None:
-    """K2 / K3: article records as UTF-8 JSON lines, one folder per outlet."""
+    """K2 / K3: article records (``article_a``, ``article_b`` with ``outlet=True``) as UTF-8 JSON
+    lines, one folder per outlet."""
     articles.write.mode("overwrite").partitionBy("medio").json(path)
 
 
@@ -117,12 +122,10 @@ def append_log(df: DataFrame, path: str, epoch: int | None = None) -> None:
        .partitionBy("epoch").parquet(path))
 
 
-def write_errors(errors: DataFrame, path: str) -> None:
-    """Error records partitioned by origin; rejected origins in quarantine."""
-    (errors.filter(F.col("accepted") == "accepted").drop("accepted")
-     .write.mode("append").partitionBy("from").parquet(path + "/errors"))
-    (errors.filter(F.col("accepted") != "accepted")
-     .write.mode("append").parquet(path + "/quarantine"))
+def write_errors(errors: DataFrame, path: str, epoch: int | None = None) -> None:
+    """Error records; rejected origins in quarantine. A replayed epoch replaces its own rows."""
+    append_log(errors.filter(F.col("accepted") == "accepted").drop("accepted"), path + "/errors", epoch)
+    append_log(errors.filter(F.col("accepted") != "accepted"), path + "/quarantine", epoch)
 
 
 def export_snapshot(rows: DataFrame, path: str, key: str = "medio") -> None:

@@ -135,27 +135,37 @@ def progress_upsert(store_path: str):
              .alias("duracion_promedio_ms"),
             F.date_format("__t0", "yyyy-MM-dd HH:mm:ss").alias("start_time"),
             F.date_format("__t1", "yyyy-MM-dd HH:mm:ss").alias("ultima_actualizacion"))
-        try:
-            old = latest_version(spark, store_path)
-        except Exception:  # noqa: BLE001 - first batch: no table yet
-            old = None
-        merged = new if old is None else upsert_by_medio(old, new)
-        merged.write.mode("overwrite").parquet(f"{store_path}/v={epoch:012d}")
+        # a replayed epoch starts from the version before its own
+        earlier = [v for v in versions(spark, store_path) if v < epoch]
+        merged = upsert_by_medio(spark.read.parquet(_version(store_path, earlier[-1])), new) if earlier else new
+        merged.write.mode("overwrite").parquet(_version(store_path, epoch))
+        for v in earlier[:-1]:  # the last one stays for a replay
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_version(store_path, v))
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
     return fn
 
 
+def _version(store_path: str, epoch: int) -> str:
+    return f"{store_path}/v={epoch:012d}"
+
+
+def versions(spark: SparkSession, store_path: str) -> list[int]:
+    """The complete versions of a versioned table, oldest first; none if there is no table."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(store_path)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    found = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("v=")]
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return sorted(int(p.getName()[2:]) for p in found if fs.exists(done(p, "_SUCCESS")))
+
+
 def latest_version(spark: SparkSession, store_path: str) -> DataFrame:
     """Read the newest complete version of a versioned table."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(store_path)
-    fs = p.getFileSystem(conf)
-    names = sorted(s.getPath().getName() for s in fs.listStatus(p)
-                   if s.getPath().getName().startswith("v=")
-                   and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
-    if not names:
+    found = versions(spark, store_path)
+    if not found:
         raise FileNotFoundError(store_path)
-    return spark.read.parquet(f"{store_path}/{names[-1]}")
+    return spark.read.parquet(_version(store_path, found[-1]))
 
 
 def start_live_progress(logs: DataFrame, store_path: str, name: str = "live_progress",
@@ -168,11 +178,12 @@ def start_live_progress(logs: DataFrame, store_path: str, name: str = "live_prog
     return w.start()
 
 
-def dedup_tasks(tasks: DataFrame, watermark: str = "10 minutes",
-                event_time: str = "sent_at") -> DataFrame:
-    """ST6 / J7: each URL is sent once. The reference remembers URLs for the
-    process lifetime; here the memory is bounded by the watermark."""
-    return tasks.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(["url"])
+def dedup_tasks(tasks: DataFrame, sent: DataFrame | None = None) -> DataFrame:
+    """ST6 / J7: each URL is sent once. All URLs of the stream are remembered in its
+    checkpointed state, which grows with the distinct URLs and is dealt over the
+    executors by URL; ``sent`` (url) holds those of earlier runs."""
+    fresh = tasks if sent is None else tasks.join(sent.select("url").distinct(), "url", "left_anti")
+    return fresh.dropDuplicates(["url"])
 
 
 def idle_batches_stream(events: DataFrame, ts: str = "ts", gap: str = "120 seconds",

@@ -1,10 +1,12 @@
 """Profiles A and B on inline HTML (the driver's pages hold no such markup)."""
 
+import tempfile
+
 import pytest
-from pyspark.sql import functions as F
 
 from newsmetrics.operators import extract as X
 from newsmetrics.operators import html as H
+from newsmetrics.sources import io
 from newsmetrics.config import PROFILE_A, PROFILE_B
 
 
@@ -179,4 +181,7 @@ def test_article_records(spark):
     assert rec.columns == ["titulo", "fecha", "autor", "desc_autor", "abstract", "cuerpo",
                            "multimedia", "tipo_multimedia", "url"]
     assert rec.count() == 1
-    assert X.article_b(X.extract_articles(pages)).filter(F.col("url").isNull()).count() == 0
+    assert X.article_b(X.extract_articles(pages)).count() == 0
+    out = tempfile.mkdtemp(prefix="nm-art-")
+    io.write_articles(X.article_a(X.extract_articles(pages), outlet=True), out)
+    assert [r.medio for r in spark.read.json(out).collect()] == ["biobiochile"]

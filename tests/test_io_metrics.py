@@ -172,6 +172,32 @@ def test_crawl_csv_rows_range_and_first_failure(spark):
     assert io.read_crawl_csv(spark, out).count() == 4
 
 
+def test_crawl_csv_rows_of_several_files(spark):
+    """Splits are dealt by size; the rows still count in the order of file names."""
+    tmp = tempfile.mkdtemp(prefix="nm-csvs-")
+    rows = [(f, k) for f, n in enumerate((3, 400, 36)) for k in range(n)]
+    for f in range(3):
+        with open(os.path.join(tmp, f"part-{f}.csv"), "w") as out:
+            out.writelines(f"c{f},https://x/{f}/{k}\n" for g, k in rows if g == f)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        got = io.read_crawl_csv(spark, tmp).orderBy("idx").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [(r.idx, r.url) for r in got] == [(i + 1, f"https://x/{f}/{k}") for i, (f, k) in enumerate(rows)]
+
+
+def test_error_writer_replaces_a_replayed_epoch(spark):
+    out = tempfile.mkdtemp(prefix="nm-err-")
+    rows = spark.createDataFrame([("crawler", "x", "accepted"), ("other", "y", "rejected")],
+                                 "`from` string, error_detail string, accepted string")
+    for epoch in (0, 1, 1):
+        io.write_errors(rows, out, epoch)
+    assert spark.read.parquet(out + "/errors").count() == 2
+    assert spark.read.parquet(out + "/quarantine").count() == 2
+
+
 def test_upsert_and_reset(spark):
     old = spark.createDataFrame([("a", 1), ("b", 2)], "medio string, v long")
     new = spark.createDataFrame([("b", 20), ("c", 30)], "medio string, v long")

@@ -91,13 +91,14 @@ def test_dedup_tasks_stream(spark):
     tmp = tempfile.mkdtemp(prefix="nm-dedup-")
     rows = [("https://a/1", "t", "m", "2025-01-01 00:00:00"),
             ("https://a/1", "t", "m", "2025-01-01 00:00:05"),
-            ("https://a/2", "t", "m", "2025-01-01 00:00:06")]
+            ("https://a/2", "t", "m", "2025-01-01 00:00:06"), ("https://a/0", "t", "m", "2025-01-01 00:00:07"),
+            ("https://a/1", "t", "m", "2025-01-09 00:00:00")]
     spark.createDataFrame(rows, "url string, tags string, medio string, sent_at string") \
         .withColumn("sent_at", F.to_timestamp("sent_at")).write.parquet(os.path.join(tmp, "t"))
     src = spark.readStream.schema("url string, tags string, medio string, sent_at timestamp") \
         .parquet(os.path.join(tmp, "t"))
     name = "dedup_" + os.path.basename(tmp).replace("-", "_")
-    q = (S.dedup_tasks(src).writeStream.format("memory").queryName(name)
+    q = (S.dedup_tasks(src, spark.createDataFrame([("https://a/0",)], "url string")).writeStream.format("memory").queryName(name)
          .trigger(availableNow=True).start())
     q.awaitTermination(300)
     assert sorted(r.url for r in spark.sql(f"SELECT url FROM {name}").collect()) == \
