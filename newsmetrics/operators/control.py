@@ -1,18 +1,16 @@
 """Control and error logs (P2, P3, F5, F6, DT7, ST3-ST5 in batch form).
 
-Idle sessions (ST5) are computed as gaps and islands with the blocked lag and
-prefix sum of ``windows``, so a stream with no grouping key (one logger) is
-not a single window partition; ``session_window`` is used where the stream is
-keyed (streaming module).
+Idle sessions (ST5) are aggregated per stretch of the timeout before their order
+is taken, so a log without grouping key is not one window partition;
+``session_window`` is used where the stream is keyed (streaming module).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import elapsed_seconds, format_log_time, parse_log_time
-from . import windows
 
 # ---- fixed values: control actions and accepted error origins ---------------
 CONTROL_ACTIONS = ["start_batch", "end_batch_received", "end_batch_completed"]
@@ -71,27 +69,28 @@ def batch_lifecycle(control: DataFrame) -> DataFrame:
     )
 
 
-def idle_sessions(events: DataFrame, ts: str = "ts", seq: str = "event_id",
-                  gap_s: int = IDLE_TIMEOUT_S, block_seconds: int = 3600) -> DataFrame:
+def idle_sessions(events: DataFrame, ts: str = "ts", gap_s: int = IDLE_TIMEOUT_S) -> DataFrame:
     """ST5: a new batch starts after more than ``gap_s`` seconds without messages.
 
     Matches ``session_window(ts, '120 seconds')``: an event exactly 120 s after
-    the previous one stays in the session, 121 s opens a new one.
+    the previous one stays in the session, 121 s opens a new one. Events within
+    one stretch of ``gap_s`` seconds can't be apart by more, so they are first
+    aggregated (map-side) to one row per stretch; the order is then taken over
+    that table, whose size follows the time span and not the number of events.
     """
-    base = events.select(F.col(ts).cast("timestamp_ntz").alias("t"), F.col(seq).alias("seq"))
-    base = base.withColumn("__o", F.struct("t", "seq"))
-    blk = windows.time_block(F.col("t"), block_seconds)
-    prev = windows.lag(base, keys=[], order="__o", cols=["t"], block=blk, prefix="__p_")
-    flagged = prev.withColumn(
-        "__new", F.when(F.col("__p_t").isNull()
-                        | (F.timestamp_diff("MICROSECOND", F.col("__p_t"), F.col("t"))
-                           > gap_s * 1_000_000), 1).otherwise(0).cast("long"))
-    sess = windows.running_sums(flagged, keys=[], order="__o", sums={"session": "__new"},
-                                block=windows.time_block(F.col("t"), block_seconds))
-    g = sess.groupBy("session").agg(F.min("t").alias("__a"), F.max("t").alias("__b"),
-                                    F.count(F.lit(1)).alias("n_events"))
+    t = F.col(ts).cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), t)
+    size = gap_s * 1_000_000
+    stretch = ((micros - F.pmod(micros, F.lit(size))) / size).cast("long")
+    rows = (events.where(t.isNotNull()).groupBy(stretch.alias("stretch"))
+            .agg(F.min(t).alias("a"), F.max(t).alias("b"), F.count(F.lit(1)).alias("n")))
+    order = Window.orderBy("stretch")
+    apart = F.timestamp_diff("MICROSECOND", F.lag("b").over(order), F.col("a")) > size
+    numbered = (rows.withColumn("new", F.coalesce(apart, F.lit(True)).cast("long"))
+                .withColumn("session", F.sum("new").over(order)))
+    g = numbered.groupBy("session").agg(F.min("a").alias("__a"), F.max("b").alias("__b"), F.sum("n").alias("n_events"))
     return g.select(
-        F.col("session").cast("long").alias("session"),
+        "session",
         format_log_time("__a").alias("session_start"),
         format_log_time(F.timestamp_add("SECOND", F.lit(gap_s), F.col("__b"))).alias("session_end"),
-        F.col("n_events").cast("long").alias("n_events"))
+        "n_events")

@@ -1,6 +1,6 @@
 """Live progress, running counters and series.
 
-Running (ordered) computations never put a whole outlet into one window
+Running (ordered) computations over logs never put a whole outlet into one window
 partition: they use the blocked prefix-sum / lag helpers of ``windows``, which
 split each outlet's order into fixed-size blocks, aggregate per block, and
 carry block offsets over a small per-block table.
@@ -8,7 +8,7 @@ carry block offsets over a small per-block table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import elapsed_seconds, format_log_time
@@ -81,22 +81,6 @@ def running_progress(typed_logs: DataFrame, block_size: int = 1 << 16) -> DataFr
     )
 
 
-def change_points(series: DataFrame, keys: list[str], order: str,
-                  cols: list[str], block_size: int = 1 << 16) -> DataFrame:
-    """Keep a snapshot only when ``cols`` differ from the previous one.
-
-    The value before the first snapshot is all zeros (the chart's seed), so a
-    first snapshot of zeros is dropped, and the first non-zero one replaces it.
-    """
-    blk = windows.time_block(F.col(order)) if block_size == 0 else None
-    prev = windows.lag(series, keys=keys, order=order, cols=cols, block=blk,
-                       block_size=block_size or 1, prefix="__prev_")
-    same = F.lit(True)
-    for c in cols:
-        same = same & F.coalesce(F.col(f"__prev_{c}"), F.lit(0)).eqNullSafe(F.col(c))
-    return prev.filter(~same).drop(*[f"__prev_{c}" for c in cols])
-
-
 def backlog(typed_logs: DataFrame, block_seconds: int = 3600) -> DataFrame:
     """Tasks started minus tasks finished over time, per outlet.
 
@@ -118,27 +102,6 @@ def backlog(typed_logs: DataFrame, block_seconds: int = 3600) -> DataFrame:
                       F.col("backlog").cast("long").alias("backlog"))
 
 
-def stalls(series: DataFrame, keys: list[str], order: str, value: str,
-           polls: int = 10, block_size: int = 1 << 16) -> DataFrame:
-    """Runs of at least ``polls`` consecutive equal ``value`` readings.
-
-    Gaps and islands: an island starts where the value differs from the
-    previous reading; island ids are a running sum of start flags. Output: one
-    row per stalled island with its first/last order value and length.
-    """
-    blk = (lambda: windows.time_block(F.col(order))) if block_size == 0 else (lambda: None)
-    prev = windows.lag(series, keys=keys, order=order, cols=[value], block=blk(),
-                       block_size=block_size or 1, prefix="__prev_")
-    flagged = prev.withColumn(
-        "__start", (~F.col(f"__prev_{value}").eqNullSafe(F.col(value))).cast("long"))
-    isl = windows.running_sums(flagged, keys=keys, order=order, sums={"island": "__start"},
-                               block=blk(), block_size=block_size or 1)
-    return (isl.groupBy(*keys, "island").agg(
-                F.min(order).alias("first"), F.max(order).alias("last"),
-                F.first(value).alias(value), F.count(F.lit(1)).alias("polls"))
-            .filter(F.col("polls") >= polls))
-
-
 def coverage(crawl: DataFrame, typed_logs: DataFrame) -> DataFrame:
     """Crawled rows vs successfully scraped URLs per outlet.
 
@@ -172,28 +135,38 @@ def crawl_progress_pct(done, total):
     return F.when(total > 0, done / total * 100.0).otherwise(F.lit(0.0))
 
 
-def poll_series(changes: DataFrame, sums: dict[str, str], block_seconds: int = 3600) -> DataFrame:
-    """ST9 / W3 input: per-minute polls of running totals, per outlet.
+_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
-    ``changes`` has (medio, t, seq, <delta columns>). A poll is taken at every
-    whole minute between the outlet's first and last change (the grid is
-    generated from the data's own time span). A change at exactly a poll's
-    minute is seen by that poll. Polls and changes are merged in time order and
-    summed with the blocked running sum; only the poll rows are returned.
+
+def polled_changes(changes: DataFrame, sums: dict[str, str]) -> DataFrame:
+    """ST9: running totals at the minute polls by which they changed.
+
+    ``changes`` has (medio, t, <delta columns>). Polls are taken at every whole
+    minute from the outlet's first change (rounded down) to its last; a change at
+    exactly a poll's minute is seen by it. A poll is named only if a change fell
+    into the minute before it, so the result has at most one row per outlet and
+    minute with changes, whatever the number of logs and however long the outlet
+    was silent; the windows over it run on that small table.
+
+    Columns: medio, poll, first, last (minutes since 1970), ``sums`` and their deltas.
     """
-    span = changes.groupBy("medio").agg(F.min("t").alias("__t0"), F.max("t").alias("__t1"))
-    minute = lambda c: F.date_trunc("minute", c).cast("timestamp_ntz")
-    polls = span.select("medio", F.explode(F.sequence(
-        minute(F.col("__t0")), minute(F.col("__t1")), F.expr("INTERVAL 1 MINUTE"))).alias("t"))
-    zeros = {src: F.lit(0).cast("long") for src in sums.values()}
-    ev = changes.select("medio", "t", F.col("seq").cast("long").alias("seq"),
-                        F.lit(0).alias("kind"), *[F.col(s).cast("long").alias(s) for s in zeros])
-    pl = polls.select("medio", "t", F.lit(None).cast("long").alias("seq"), F.lit(1).alias("kind"),
-                      *[v.alias(s) for s, v in zeros.items()])
-    u = ev.unionByName(pl).withColumn("__o", F.struct("t", "kind", "seq"))
-    run = windows.running_sums(u, keys=["medio"], order="__o", sums=sums,
-                               block=windows.time_block(F.col("t"), block_seconds))
-    return run.filter(F.col("kind") == 1).select("medio", "t", *sums.keys())
+    micros = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), F.col("t"))
+    inside = F.pmod(micros, F.lit(60_000_000))
+    down = ((micros - inside) / 60_000_000).cast("long")
+    per_minute = (changes.withColumn("__down", down)
+                  .withColumn("poll", F.col("__down") + (inside > 0).cast("long"))
+                  .groupBy("medio", "poll")
+                  .agg(*[F.sum(F.col(d).cast("long")).alias(d) for d in sums.values()],
+                       F.min("__down").alias("__a"), F.max("__down").alias("__z")))
+    whole, so_far = Window.partitionBy("medio"), Window.partitionBy("medio").orderBy("poll")
+    return (per_minute.select(
+        "medio", "poll", F.min("__a").over(whole).alias("first"), F.max("__z").over(whole).alias("last"),
+        *sums.values(), *[F.sum(d).over(so_far).alias(out) for out, d in sums.items()])
+        .where("poll <= last"))
+
+
+def _minute(c: Column) -> Column:
+    return format_log_time(F.timestamp_add("MINUTE", c, F.expr(_EPOCH)))
 
 
 def counter_changes(typed_logs: DataFrame) -> DataFrame:
@@ -207,12 +180,9 @@ def counter_changes(typed_logs: DataFrame) -> DataFrame:
 
 def dashboard_series(typed_logs: DataFrame) -> DataFrame:
     """W3 / ST9: the chart's points: polls whose (success, errors) changed."""
-    polls = poll_series(counter_changes(typed_logs), {"exitosos": "d_ok", "fallidos": "d_ko"})
-    pts = change_points(polls, keys=["medio"], order="t", cols=["exitosos", "fallidos"],
-                        block_size=0)
-    return pts.select("medio", format_log_time("t").alias("t"),
-                      F.col("exitosos").cast("long").alias("exitosos"),
-                      F.col("fallidos").cast("long").alias("fallidos"))
+    polls = polled_changes(counter_changes(typed_logs), {"exitosos": "d_ok", "fallidos": "d_ko"})
+    return polls.where("d_ok <> 0 OR d_ko <> 0").select(
+        "medio", _minute(F.col("poll")).alias("t"), "exitosos", "fallidos")
 
 
 def backlog_deltas(typed_logs: DataFrame) -> DataFrame:
@@ -226,10 +196,22 @@ def backlog_deltas(typed_logs: DataFrame) -> DataFrame:
 
 
 def backlog_stalls(typed_logs: DataFrame, polls: int = 10) -> DataFrame:
-    """Backlog unchanged for at least ``polls`` consecutive minute polls."""
-    series = poll_series(backlog_deltas(typed_logs), {"backlog": "delta"})
-    st = stalls(series, keys=["medio"], order="t", value="backlog", polls=polls, block_size=0)
-    return st.select("medio", F.col("island").cast("long").alias("island"),
-                     format_log_time("first").alias("first"), format_log_time("last").alias("last"),
-                     F.col("backlog").cast("long").alias("backlog"),
-                     F.col("polls").cast("long").alias("polls"))
+    """Backlog unchanged for at least ``polls`` consecutive minute polls.
+
+    A run of equal polls begins at the first poll and at every poll whose net
+    change is not zero, and ends before the next begin; its length is the
+    distance, so silent minutes cost nothing.
+    """
+    changed = polled_changes(backlog_deltas(typed_logs), {"backlog": "delta"})
+    begins = changed.where("delta <> 0 OR poll = first").select("medio", "poll", "last", "backlog")
+    # the first poll begins a run even if no change falls on it
+    opening = (changed.groupBy("medio").agg(F.min("first").alias("poll"), F.max("last").alias("last"),
+                                            F.min("poll").alias("__p"))
+               .where("__p > poll").select("medio", "poll", "last", F.lit(0).cast("long").alias("backlog")))
+    order = Window.partitionBy("medio").orderBy("poll")
+    runs = (begins.unionByName(opening)
+            .select("medio", "poll", "backlog", F.row_number().over(order).cast("long").alias("island"),
+                    F.coalesce(F.lead("poll").over(order) - 1, F.col("last")).alias("until"))
+            .withColumn("polls", F.col("until") - F.col("poll") + 1).where(F.col("polls") >= polls))
+    return runs.select("medio", "island", _minute(F.col("poll")).alias("first"), _minute(F.col("until")).alias("last"),
+                       "backlog", "polls")

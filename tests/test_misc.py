@@ -87,3 +87,17 @@ def test_control_whitelist_and_error_origins(spark):
     r = C.error_record(e).collect()
     assert (r[0].arg_medio, r[0].stage, r[0].accepted) == ("", "", "accepted")
     assert r[1].accepted == "rejected"
+
+
+def test_polls_over_a_long_silence(spark):
+    """A log in year 1 and one in year 9999: the polls between cost no rows."""
+    from newsmetrics.operators import progress as P
+    rows = [("m", 1, "0001-01-01 00:00:00", "0001-01-01 00:00:30", "success"),
+            ("m", 2, "9999-12-31 23:50:00", "9999-12-31 23:59:00", "error")]
+    logs = spark.createDataFrame(rows, "medio string, arrival_seq long, s string, f string, status string").select(
+        "medio", "arrival_seq", F.col("s").cast("timestamp_ntz").alias("start_ts"),
+        F.col("f").cast("timestamp_ntz").alias("finish_ts"), "status")
+    points = [tuple(r) for r in P.dashboard_series(logs).orderBy("t").collect()]
+    assert points == [("m", "0001-01-01 00:00:00", 1, 0), ("m", "9999-12-31 23:50:00", 1, 1)]
+    runs = [(r["first"], r["last"], r.backlog) for r in P.backlog_stalls(logs).orderBy("island").collect()]
+    assert runs == [("0001-01-01 00:01:00", "9999-12-31 23:49:00", 0)]
