@@ -204,16 +204,20 @@ def idle_batches_stream(events: DataFrame, ts: str = "ts", gap: str = "120 secon
                     F.col("s.end").alias("session_end"), "n_events"))
 
 
-def scrape_outcome_sink(out: str):
-    """ST11: successful articles go to the article table *and* the log; failures
-    to the log only. Both writes are idempotent for the epoch."""
+def scrape_outcome_sink(out: str, batch_id: int):
+    """ST11 with P1 and P4: every outcome becomes a log record with both times, the duration and the
+    working batch's id; successful articles also go to the article table.
+
+    The micro-batch has the columns of ``extract_articles`` and arrival_seq, start_ts, finish_ts.
+    Both writes replace what an earlier try of the epoch wrote.
+    """
     def fn(batch: DataFrame, epoch: int) -> None:
         batch = batch.persist()
         try:
             io.append_log(batch.filter(F.col("status") == "success")
-                          .drop("missing", "error", "status"), f"{out}/articles", epoch)
-            io.append_log(batch.select("url", "medio", "status", "error", "fecha"),
-                          f"{out}/scrape_results", epoch)
+                          .drop("missing", "error", "status", "start_ts", "finish_ts"), f"{out}/articles", epoch)
+            logs = L.build_log(batch.withColumn("fecha_publicacion", F.col("fecha")))
+            io.append_log(L.stamp_batch(logs, batch_id), f"{out}/scrape_results", epoch)
         finally:
             batch.unpersist()
     return fn

@@ -103,3 +103,22 @@ def test_dedup_tasks_stream(spark):
     q.awaitTermination(300)
     assert sorted(r.url for r in spark.sql(f"SELECT url FROM {name}").collect()) == \
         ["https://a/1", "https://a/2"]
+
+
+def test_outcomes_become_articles_and_logs(spark):
+    from newsmetrics.operators import extract as X
+    out = tempfile.mkdtemp(prefix="nm-out-")
+    pages = spark.createDataFrame(
+        [(1, "https://x/1", "m", "G", "<article><h1>T</h1><p>text</p></article>"), (2, "https://x/2", "m", "G", "<p>x</p>"),
+         (3, "https://x/3", "m", "G", "<![foo bar]>")], "page_id long, url string, medio string, profile string, html string")
+    batch = X.extract_articles(pages).select(
+        "*", F.col("page_id").alias("arrival_seq"), F.lit("2025-01-01 00:00:00").cast("timestamp_ntz").alias("start_ts"),
+        F.lit("2025-01-01 00:00:01.5").cast("timestamp_ntz").alias("finish_ts"))
+    sink = S.scrape_outcome_sink(out, 7)
+    for epoch in (0, 0):  # a replay
+        sink(batch, epoch)
+    assert [r.url for r in spark.read.parquet(out + "/articles").collect()] == ["https://x/1"]
+    logs = {r.url: r for r in spark.read.parquet(out + "/scrape_results").collect()}
+    assert len(logs) == 3 and {r.id_logging_process for r in logs.values()} == {7}
+    assert logs["https://x/1"].duration_ms == "1500.0" and logs["https://x/1"].error == ""
+    assert logs["https://x/2"].status == "error" and "AssertionError" in logs["https://x/3"].error
