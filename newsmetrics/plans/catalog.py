@@ -626,3 +626,19 @@ def q_dashboard_row(spark, sf_dir):
     return DOC.dashboard_row(prog, active).drop("timestamp") \
         .withColumn("tasa", F.coalesce("articulos_por_minuto", F.lit(0.0))) \
         .select("medio", "medio_nombre", "exitosos", "fallidos", "tasa")
+
+
+@register("P12_active_crawl_outlet", D.with_log_sql(_PROGRESS_SQL + """
+, latest AS (SELECT medio FROM typed_log WHERE start_ts IS NOT NULL
+             ORDER BY start_ts DESC, arrival_seq DESC LIMIT 1)
+SELECT p.medio, p.total_articulos_exitosos AS exitosos, p.total_articulos_fallidos AS fallidos,
+       (SELECT min(medio) FROM progress) AS fallback
+FROM progress p JOIN latest USING (medio)"""))
+def q_active_crawl_outlet(spark, sf_dir):
+    """The outlet of a running crawl (that of the latest log) goes before the first outlet."""
+    log = typed_log(spark, sf_dir)
+    crawl = log.where(F.col("start_ts").isNotNull()).agg(
+        F.max_by("medio", F.struct("start_ts", "arrival_seq")).alias("sitio"))
+    prog = P.live_progress(log)
+    row = DOC.dashboard_row(prog, DOC.active_outlet(crawl, prog.select("medio")))
+    return row.select("medio", "exitosos", "fallidos", prog.agg(F.min("medio")).scalar().alias("fallback"))
