@@ -46,6 +46,7 @@ FOLDS, HELD = 10, 0
 ZIPF_SHIFT = 2.7
 ROUNDS = 1  # forward-backward passes over the training words
 PRIOR = 1000.0  # pseudo-count of the first weights
+CELLS = 250_000  # letters of words of one length that are worked through together
 START = "▁"  # how the vocabulary marks a word's begin
 BLOCKS = ("block long, doc_id long, held boolean, n_tokens long, score double, at array<int>, "
           "times array<int>, hash long, own long")
@@ -109,7 +110,7 @@ class Lattice:
         length = np.fromiter(map(len, plain), np.int64, len(plain))
         order = np.argsort(length, kind="stable")
         for rows in np.split(order, np.flatnonzero(np.diff(length[order])) + 1):
-            size = max(1, 2_000_000 // int(length[rows[0]] if len(rows) else 1))
+            size = max(1, CELLS // int(length[rows[0]] if len(rows) else 1))
             for part in (rows[k:k + size] for k in range(0, len(rows), size)):
                 text = "".join([plain[k] for k in part]).encode("utf-32-le", "surrogatepass")
                 yield part, np.frombuffer(text, "<u4").astype(np.uint64).reshape(len(part), -1)
