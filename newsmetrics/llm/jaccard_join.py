@@ -50,7 +50,7 @@ POSTED = 64  # segments that a set posts per size class
 SHARED = 3  # of which linked sets share at least so many, if there are more fragments
 CLASS_STEP = 1.4  # ratio of neighbouring size classes
 GROUPINGS = 2  # rounds of grouping around components
-COARSE = 8  # fragments in which overlaps are counted
+COARSE = 4  # fragments in which overlaps are counted
 BROADCAST_NODES = 300_000  # 40 bytes each
 SETS = "doc_id long, n long, hi long, lo long, posts array<long>, needs array<int>"
 SEGMENTS = "node long, n long, fragment int, segment array<long>"
