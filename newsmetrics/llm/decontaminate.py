@@ -1,13 +1,14 @@
 """Operator 6, benchmark decontamination by template canonicalisation.
 
 Texts become sequences of lower-cased tokens in which numbers, names and units
-are typed placeholders. Windows of WINDOW tokens are hash-joined with those of
-the benchmark items; along one diagonal (same distance between the positions in
-document and item) the slots of matched windows must map one to one, so a
-re-parameterised question is caught and an accidental likeness is not. A
-document holds an item when windows with consistent slots cover at least COVER
-of the item's tokens. Windows with few literal tokens say little as templates;
-they match only with equal slot values.
+are typed placeholders. Windows of WINDOW tokens are hash-joined with those
+of the benchmark items. Within a matched window equal slots of the item must have
+equal values in the document; a window that breaks this is dropped, and no other
+for it, so an item with one value altered where it occurs twice is still caught.
+Two slots of the item may get the same new value. A document holds an item when
+windows with consistent slots cover at least COVER of the item's tokens. Windows
+with few literal tokens say little as templates; they match only with equal slot
+values.
 
 The benchmark's windows go to the tasks as one sorted array while there are at
 most MAX_BROADCAST of them (counted); beyond, every window of the documents
@@ -197,16 +198,12 @@ def contaminated(docs: DataFrame, items: DataFrame, max_broadcast: int = MAX_BRO
                          F.col("slots").alias("item_slots"))
     found = document_windows(docs, widths, known).join(F.broadcast(other) if small else other, "h")
     doc = ["doc_id", "key", "text_key"]
-    runs = (found.withColumn("shift", F.col("at") - F.col("item_at"))
-            .withColumn("pairs", F.arrays_zip(F.col("item_slots").alias("x"), F.col("slots").alias("y")))
-            .groupBy(*doc, "item_id", "n_tokens", "shift")
-            .agg(F.collect_set(F.struct("item_at", "width")).alias("places"),
-                 F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")))
-    one_to_one = ((F.size("pairs") == F.size(F.array_distinct("pairs.x")))
-                  & (F.size("pairs") == F.size(F.array_distinct("pairs.y"))))
+    pairs = F.array_distinct(F.arrays_zip(F.col("item_slots").alias("x"), F.col("slots").alias("y")))
+    consistent = F.size("pairs") == F.size(F.array_distinct("pairs.x"))
     covered = F.flatten(F.transform("places", lambda p: F.sequence(p["item_at"], p["item_at"] + p["width"] - 1)))
-    return (runs.where(one_to_one).groupBy(*doc, "item_id", "n_tokens")
-            .agg(F.size(F.array_distinct(F.flatten(F.collect_set(F.array_distinct(covered))))).alias("n_covered"))
+    return (found.withColumn("pairs", pairs).where(consistent).groupBy(*doc, "item_id", "n_tokens")
+            .agg(F.collect_set(F.struct("item_at", "width")).alias("places"))
+            .select(*doc, "item_id", "n_tokens", F.size(F.array_distinct(covered)).alias("n_covered"))
             .where(F.col("n_covered") >= COVER * F.col("n_tokens")))
 
 

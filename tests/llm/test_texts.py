@@ -172,6 +172,20 @@ def test_reparameterised_questions_are_found(spark, make_docs):
     assert {(r["doc_id"], r["item_id"]) for r in big.collect()} == {(0, 7), (1, 7), (4, 7)}
 
 
+def test_a_conflicting_slot_costs_its_windows_only(spark, make_docs):
+    run = ("Tom runs 5 km along the quiet river before breakfast and then another 10 km through the old town, so how "
+           "far does he run on that day")
+    add = "Each of the 3 boxes holds exactly 5 red balls, so how many balls are there"
+    twice = "Take 3 cups and 3 spoons, wash them, put them away and then say how many things are now in the drawer"
+    rows = [(0, ITEM.replace("buys 12", "buys 5").replace("does Maria", "does Peter")),
+            (1, run.replace("5 km", "5 miles")), (2, add.replace("3", "4").replace("5", "4")),
+            (3, twice.replace("3 cups", "6 cups")), (4, "Take 6 cups and 3 spoons, wash them " + filler(30, 6))]
+    items = items_of(spark, [(0, ITEM), (1, run), (2, add), (3, twice)])
+    for most in (decontaminate.MAX_BROADCAST, 0):
+        found = decontaminate.contaminated(make_docs(rows), items, max_broadcast=most)
+        assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(0, 0), (1, 1), (2, 2), (3, 3)}
+
+
 def test_decontamination_like_plain_windows(spark, sf_docs):
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     windows = {}
