@@ -186,6 +186,17 @@ def test_a_conflicting_slot_costs_its_windows_only(spark, make_docs):
         assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(0, 0), (1, 1), (2, 2), (3, 3)}
 
 
+def test_copies_in_another_case_are_found(spark, make_docs):
+    names = "When did Maria Lopez meet Jonas Berg in Paris, and why did Anna Smith tell Peter Wolf of Rome about the École and Olga"
+    items = items_of(spark, [(7, ITEM), (8, names), (9, names.upper())])
+    rows = [(0, names.lower()), (1, filler(30, 1) + " " + names.upper() + " " + filler(30, 2)), (2, ITEM.upper()), (3, ITEM.lower()),
+            (4, names), (5, " ".join(names.lower().split()[:9]) + " " + filler(40, 5))]
+    for most in (decontaminate.MAX_BROADCAST, 0):
+        found = decontaminate.contaminated(make_docs(rows), items, max_broadcast=most)
+        assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {
+            (0, 8), (1, 8), (4, 8), (0, 9), (1, 9), (4, 9), (2, 7), (3, 7)}
+
+
 def test_decontamination_like_plain_windows(spark, sf_docs):
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     windows = {}
