@@ -4,9 +4,13 @@ Base rules find e-mail addresses, IP addresses, card and phone numbers. For each
 kind a wider generator proposes further spans, which may overlap. Every candidate
 falls into a cell of format and context features (digits, separators, style,
 neighbouring characters, key words before it); Spark counts, per cell, how many
-candidates meet the base rule. Boosted trees are fitted on the cells outside a
-calibration fold, and per kind the lowest threshold is taken at which the
-calibration fold's precision reaches PRECISION. Candidates in cells above it
+candidates are on target: they meet the base rule, or their value without
+disguise passes checks that do not depend on the base expression (top-level
+domain, octets, Luhn and issuer digit, digit count and key words). Per kind,
+boosted trees are fitted on the cells outside a calibration fold; cells weigh by
+the root of their share, so equal shares give equal trees at every size. The
+lowest threshold is taken at which the calibration fold's precision reaches
+PRECISION; a kind with fewer than LEAST_SEEN candidates there adds nothing. Candidates in cells above it
 become spans, unless they overlap a base span. The number of cells is bounded by
 the product of the feature levels (CELLS), whatever the input's size, so the
 trees travel back as a list of accepted cells.
@@ -45,7 +49,7 @@ WIDE = {
                       r"| at [A-Za-z0-9-]++(?: dot [A-Za-z0-9-]++)++)"),
     "ip": r"(?:\G|(?<![0-9]))[0-9]{1,3}+(?:(?:\.|\[\.\]|\(\.\)| ?\. )[0-9]{1,3}+){3}(?![0-9])",
     "card": r"(?<![0-9])[0-9](?:[\x20.-]?[0-9]){12,18}(?![0-9])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+|00)?[0-9]{0,3}[\x20.-]?\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9A-Za-z])",
+    "phone": r"(?<![0-9A-Za-z])(?:(?:\+|00)[0-9]{0,3}[\x20.-]?|[0-9]{1,3}[\x20.-]?)?\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9A-Za-z])",
 }
 #: Cheap tests without which an expression can't match; the first to fail saves the rest.
 HINT = {
@@ -63,6 +67,10 @@ WIDE_HINT = {
 }
 KEYWORDS = {"email": "mail|contact|write", "ip": r"\bip\b|host|addr|server", "card": "card|visa|master|amex|credit",
             "phone": "tel|phone|call|mobile|fax"}
+#: Top-level domains that an address in disguise must end in.
+DOMAINS = "[a-z]{2}|com|org|net|edu|gov|mil|int|info|biz|name|app|dev|xyz|online|site|shop|news|example|test"
+NATIONAL = r"^(?:[0-9]{0,3}[\x20.-]?\([0-9]{2,4}\)|(?:1[\x20.-])?[2-9][0-9]{2}[\x20.-][2-9][0-9]{2}[\x20.-][0-9]{4}$)"
+WEIGHT = 10_000.0  # of all cells of a kind in fitting
 LEVELS = (4, 8, 7, 8, 5, 5, 2)  # kind, digits, separators, style, before, after, key word
 CELLS = int(np.prod(LEVELS))
 FOLDS, HELD = 5, 0
@@ -145,6 +153,30 @@ def meets_base(kind: str, value: Column) -> Column:
     return F.when(value.rlike(f"^(?:{plain})$"), valid(kind, value)).otherwise(F.lit(False))
 
 
+def _key(kind: str, c: Column) -> Column:
+    return c["before"].rlike(f"(?i){KEYWORDS[kind]}")
+
+
+def on_target(kind: str, c: Column) -> Column:
+    """Whether candidate ``c`` meets the base rule, or its value without disguise passes the checks."""
+    value = c["value"]
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    if kind == "email":
+        plain = F.regexp_replace(F.regexp_replace(value, r" ?(?:@|\(at\)|\[at\]) ?| at ", "@"),
+                                 r" ?(?:\(dot\)|\[dot\]) ?| dot ", ".")
+        found = plain.rlike(rf"(?i)^[a-z0-9._%+-]++@(?:[a-z0-9-]++\.)+(?:{DOMAINS})$")
+    elif kind == "ip":
+        spaced = F.contains(value, F.lit(" "))  # may be a numbered list
+        found = valid("ip", F.regexp_replace(value, r"[\[\]()\x20]", "")) & (~spaced | _key(kind, c))
+    elif kind == "card":
+        found = digits.rlike("^[2-6][0-9]{12,18}$") & ~digits.rlike(r"^([0-9])\1*$") & let(digits, _luhn)
+    else:
+        size = F.length(F.regexp_replace(digits, "^00", ""))
+        found = ((value.rlike(r"^(?:\+|00)") & size.between(8, 15))
+                 | (value.rlike(NATIONAL) & size.between(9, 15)) | (_key(kind, c) & size.between(7, 15)))
+    return meets_base(kind, value) | found
+
+
 def _neighbour(c: Column) -> Column:
     return (F.when(c == "", 0).when(c.rlike(r"\p{L}"), 1).when(c.rlike("[0-9]"), 2)
             .when(c.rlike(r"\s"), 3).otherwise(4))
@@ -157,7 +189,7 @@ def cell(kind: str, c: Column) -> Column:
     marks = F.least(F.length(F.regexp_replace(c["value"], "[0-9A-Za-z]", "")), F.lit(6))
     style = sum((F.contains(c["value"], F.lit(m)).cast("int") * w for m, w in (("(", 4), ("-", 2), (".", 1))),
                 F.lit(0))
-    key = c["before"].rlike(f"(?i){KEYWORDS[kind]}").cast("int")
+    key = _key(kind, c).cast("int")
     code = F.lit(KINDS.index(kind))
     for level, size in zip((bucket, marks, style, _neighbour(F.right(c["before"], F.lit(1))),
                             _neighbour(c["after"]), key), LEVELS[1:]):
@@ -172,11 +204,14 @@ def base_spans(kind: str, text: Column) -> Column:
     return F.when(HINT[kind](text), spans).otherwise(F.array().cast(SPANS))
 
 
-def candidates(kind: str, text: Column) -> Column:
-    """start, kind, end, cell and label (1: meets the base rule) of the wide generator's matches."""
+def candidates(kind: str, text: Column, target: bool = False) -> Column:
+    """start, kind, end, cell and label (1: meets the base rule, or is on target) of the wide generator's matches."""
+    def label(m: Column) -> Column:
+        return on_target(kind, m) if target else meets_base(kind, m["value"])
+
     spans = F.transform(_matches(text, WIDE[kind]), lambda m: F.struct(
         m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), m["end"].alias("end"),
-        cell(kind, m).alias("cell"), meets_base(kind, m["value"]).cast("int").alias("label")))
+        cell(kind, m).alias("cell"), label(m).cast("int").alias("label")))
     nothing = F.array().cast("array<struct<start:int,kind:int,end:int,cell:int,label:int>>")
     return F.when(WIDE_HINT[kind](text), spans).otherwise(nothing)
 
@@ -189,24 +224,37 @@ def cell_features(codes: np.ndarray) -> np.ndarray:
     return np.stack(columns[::-1], 1).astype(float)
 
 
+def cell_weights(rows: np.ndarray) -> np.ndarray:
+    """Weight of every row (cell, label, fold, count): the root of its cell's share, dealt to the labels by count."""
+    if not len(rows):
+        return np.zeros(0)
+    _, place = np.unique(rows[:, 0], return_inverse=True)
+    count = rows[:, 3].astype(float)
+    total = np.bincount(place, count)
+    root = np.sqrt(total / total.sum())
+    return WEIGHT * (root / root.sum())[place] * count / total[place]
+
+
 def accepted_cells(docs: DataFrame) -> list[int]:
     """Cells whose boosted score passes the calibrated threshold of their kind."""
     text = F.coalesce("text", F.lit(""))
     each = docs.select(fold("doc_id", FOLDS, HELD).alias("held"),
-                       F.explode(F.concat(*(candidates(k, text) for k in KINDS))).alias("c"))
+                       F.explode(F.concat(*(candidates(k, text, target=True) for k in KINDS))).alias("c"))
     counts = each.groupBy(F.col("c.cell").alias("cell"), F.col("c.label").alias("label"), "held").count().collect()
     if not counts:
         return []
     rows = np.array([[r["cell"], r["label"], r["held"], r["count"]] for r in counts], np.int64)
     rows = rows[np.lexsort(rows.T[::-1])]
     fit, held = rows[rows[:, 2] == 0], rows[rows[:, 2] == 1]
-    forest = boosted.fit(cell_features(fit[:, 0]), fit[:, 1].astype(float), depth=3, bins=16,
-                         weight=fit[:, 3].astype(float))
-    codes = np.unique(rows[:, 0])
-    score = dict(zip(codes.tolist(), forest.probability(cell_features(codes)).tolist()))
     accepted = []
     for k in range(len(KINDS)):
-        own = [c for c in score if c // (CELLS // len(KINDS)) == k]
+        kind = CELLS // len(KINDS)
+        mine = fit[fit[:, 0] // kind == k]
+        forest = boosted.fit(cell_features(mine[:, 0]), mine[:, 1].astype(float), depth=3, bins=16,
+                             weight=cell_weights(mine))
+        own = np.unique(rows[rows[:, 0] // kind == k, 0])
+        score = dict(zip(own.tolist(), forest.probability(cell_features(own)).tolist()))
+        own = list(score)
         for t in sorted({score[c] for c in own if score[c] > 0.5}):
             above = [c for c in own if score[c] >= t]
             seen = held[np.isin(held[:, 0], above)]

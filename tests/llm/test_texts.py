@@ -76,6 +76,25 @@ def test_candidates_add_and_keep_base(make_docs):
         assert not any(s["start"] < z and a < s["end"] for s in r["added"] for a, z in spans)
 
 
+@pytest.mark.parametrize("n", [300, 6000])
+def test_disguised_data_is_added_at_every_size(make_docs, n):
+    rows, planted = [], {}
+    for i in range(n):
+        if i % 20:
+            rows.append((i, f"call +1 (509) 555-{i:04d} now, or write to bob{i}@mail.example.com, host 10.0.{i % 250}.7 ; "
+                            f"batch 2023-1234-{i:04d} and list 900[.]800[.]700[.]{i % 100 + 300} done"))
+        else:
+            planted[i] = [f"(509) 555-{i:04d}", f"amy{i} (at) mail (dot) com", f"10[.]0[.]{i % 250}[.]1"]
+            rows.append((i, f"reach me: {planted[i][0]} or write to {planted[i][1]} via host {planted[i][2]} ok"))
+    docs, texts = make_docs(rows), dict(rows)
+    accepted = pii.accepted_cells(docs)
+    for r in pii.find(docs, accepted).collect():
+        added = [texts[r["doc_id"]][s["start"]:s["end"]] for s in r["added"]]
+        assert sorted(added) == sorted(planted.get(r["doc_id"], []))
+    redacted = {r["doc_id"]: r["text"] for r in pii.redact(docs, accepted).collect()}
+    assert all(redacted[i] == "reach me: [PHONE] or write to [EMAIL] via host [IP] ok" for i in planted)
+
+
 def test_redaction(make_docs):
     texts = ["mail a.b@c.example.com or +1 (509) 555-6973 now", "from 10.0.0.1 with 4111 1111 1111 1111", "300.1.2.3", None, ""]
     out = pii.redact(make_docs(texts), [])
