@@ -38,7 +38,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsmetrics.llm.common import mix, table, texts
@@ -118,9 +118,10 @@ def _longs(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def shingle_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """One row per document: set size, 128-bit set signature, posted signatures."""
+def shingle_sets(docs: DataFrame, size: int, percent: int, keyed: bool = False) -> DataFrame:
+    """One row per document: set size, 128-bit set signature, posted signatures, a hash of the text if ``keyed``."""
     cuts = Cuts(percent)
+    extra = ["text_key"] if keyed else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -132,10 +133,16 @@ def shingle_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array(_longs(signature[:, 0].copy())), pa.array(_longs(signature[:, 1].copy())),
                  pa.array([_longs(p) for p, _ in posts], pa.list_(pa.int64())),
-                 pa.array([k for _, k in posts], pa.list_(pa.int32()))],
-                ["doc_id", "n", "hi", "lo", "posts", "needs"])
+                 pa.array([k for _, k in posts], pa.list_(pa.int32()))] + [b.column(k) for k in extra],
+                ["doc_id", "n", "hi", "lo", "posts", "needs"] + extra)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SETS)
+    return (docs.select(F.col("doc_id").cast("long"), "text", *(text_key(docs).alias(k) for k in extra))
+            .mapInArrow(run, SETS + "".join(f", {k} long" for k in extra)))
+
+
+def text_key(docs: DataFrame) -> Column:
+    """Tells rows with one id apart."""
+    return F.xxhash64(F.coalesce(docs["text"], F.lit("")))
 
 
 def segments(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
@@ -266,9 +273,10 @@ def links_in_groups(members: DataFrame, parts: DataFrame, links: DataFrame, perc
     return sure.unionAll(linked(materialize(pairs, "jaccard-group-pairs"), parts, percent))
 
 
-def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs``."""
-    sets = materialize(shingle_sets(docs, size, percent), "jaccard-sets")
+def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, keyed: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id and, if ``keyed``, text_key for every row of ``docs``."""
+    sets = materialize(shingle_sets(docs, size, percent, keyed), "jaccard-sets")
+    extra = ["text_key"] if keyed else []
     nodes = materialize(
         sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("hi", "lo")
         .agg(F.min("doc_id").alias("doc_id")).withColumn("node", F.monotonically_increasing_id()),
@@ -327,21 +335,22 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
         "hi", "lo", "doc_id", F.coalesce("label", "node").alias("label"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     classes = named.join(least, "label").select("hi", "lo", "component_id")
-    ids = sets.select("doc_id", "n", "hi", "lo")
+    ids = sets.select("doc_id", "n", "hi", "lo", *extra)
     return (ids.join(classes, ["hi", "lo"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
-                    .otherwise(F.col("doc_id")).alias("component_id")))
+                    .otherwise(F.col("doc_id")).alias("component_id"), *extra))
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` but those linked to a smaller id, all columns as they are.
 
-    Rows that repeat id and text are kept once, rows without id all.
+    Rows that repeat id and text are kept once, rows without id all. Rows of one id with
+    different texts are judged each by its own text.
     """
-    found = materialize(jaccard_components(docs, size, percent), "jaccard-result")
-    gone = found.where("component_id < doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
+    found = materialize(jaccard_components(docs, size, percent, keyed=True), "jaccard-result")
+    gone = found.where("component_id < doc_id").select("doc_id", "text_key").distinct()
+    kept = docs.join(gone, (docs["doc_id"] == gone["doc_id"]) & (text_key(docs) == gone["text_key"]), "left_anti")
     repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if not repeated.take(1):
         return kept

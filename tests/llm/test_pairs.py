@@ -107,6 +107,13 @@ def test_keep_one(make_docs):
     assert kept.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def test_keep_one_judges_each_text_of_an_id(make_docs):
+    copied = " ".join(f"w{i}" for i in range(60))
+    clean = " ".join(f"v{i}" for i in range(60))
+    kept = jaccard_join.keep_one(make_docs([(1, copied), (5, copied + " end"), (5, clean), (6, clean + " end")]))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(1, copied), (5, clean)]
+
+
 def brute_removed(texts):
     raw = [(t or "").encode() for t in texts]
     seen = {}
