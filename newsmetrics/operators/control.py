@@ -1,5 +1,8 @@
 """Control and error logs (P2, P3, F5, F6, DT7, ST3-ST5 in batch form).
 
+Batches close (``batch_closings``) when their end was received, or nothing was handled
+for the idle timeout, and no message waits in a queue.
+
 Idle sessions (ST5) are aggregated per stretch of the timeout before their order
 is taken, so a log without grouping key is not one window partition;
 ``session_window`` is used where the stream is keyed (streaming module).
@@ -7,10 +10,11 @@ is taken, so a log without grouping key is not one window partition;
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import elapsed_seconds, format_log_time, parse_log_time
+from . import windows
 
 # ---- fixed values: control actions and accepted error origins ---------------
 CONTROL_ACTIONS = ["start_batch", "end_batch_received", "end_batch_completed"]
@@ -94,3 +98,73 @@ def idle_sessions(events: DataFrame, ts: str = "ts", gap_s: int = IDLE_TIMEOUT_S
         format_log_time("__a").alias("session_start"),
         format_log_time(F.timestamp_add("SECOND", F.lit(gap_s), F.col("__b"))).alias("session_end"),
         "n_events")
+
+
+def quiet_windows(activity: DataFrame, keys: list[str], gap_s: int = IDLE_TIMEOUT_S) -> DataFrame:
+    """(keys, opens, shuts): from ``gap_s`` after an activity to the next one, if that is later.
+
+    ``activity`` has the keys and t; the last window of a key has no end (null). As in
+    ``idle_sessions`` the order is taken over one row per key and stretch of the timeout.
+    """
+    micros = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("t"))
+    stretch = F.floor(micros / (gap_s * 1_000_000)).cast("long")
+    rows = activity.groupBy(*keys, stretch.alias("stretch")).agg(F.min("t").alias("a"), F.max("t").alias("b"))
+    after = F.lead("a").over(Window.partitionBy(*keys).orderBy("stretch"))
+    w = rows.select(*keys, F.timestamp_add("SECOND", F.lit(gap_s), F.col("b")).alias("opens"), after.alias("shuts"))
+    return w.where(F.col("shuts").isNull() | (F.col("shuts") > F.col("opens")))
+
+
+def batch_closings(messages: DataFrame, until: Column | None = None, gap_s: int = IDLE_TIMEOUT_S,
+                   ranges: int | None = None) -> DataFrame:
+    """ST4 / ST5: the end_batch_completed record of every batch that closes, with its reason.
+
+    ``messages``: id_logging_process, sent, handled (null: still in its queue), action (null for
+    logs). A batch closes at the first instant at which its queues are empty (every message sent so far
+    is handled) and either an end_batch_received has been handled or the last handling is more
+    than ``gap_s`` seconds past. Both conditions are counters that change at instants: +1 / -1 as
+    messages come and go, and as idle windows open and shut; the changes are summed up per batch and
+    instant before the shuffle, and one ordered sum over them, cut by row counts, gives both. Idle
+    closings carry the instant from which the condition holds (last handling plus the timeout). A batch
+    whose instant lies after ``until`` is still open and has no record.
+    """
+    key = F.col("id_logging_process")
+    one, none, minus = (F.lit(n).cast("long") for n in (1, 0, -1))
+    handled = messages.where(F.col("handled").isNotNull())
+    quiet = quiet_windows(handled.select(key, F.col("handled").alias("t")), ["id_logging_process"], gap_s)
+    ended = (handled.where(F.col("action") == "end_batch_received").groupBy(key).agg(F.min("handled").alias("received")))
+    parts = [messages.where(F.col("sent").isNotNull()).select(key, F.col("sent").alias("t"), one.alias("waiting"), none.alias("may")),
+             handled.where(F.col("sent").isNotNull()).select(key, F.col("handled").alias("t"), minus.alias("waiting"), none.alias("may")),
+             quiet.select(key, F.col("opens").alias("t"), none.alias("waiting"), one.alias("may")),
+             quiet.where(F.col("shuts").isNotNull()).select(key, F.col("shuts").alias("t"), none.alias("waiting"), minus.alias("may")),
+             ended.select(key, F.col("received").alias("t"), none.alias("waiting"), one.alias("may"))]
+    changes = parts[0]
+    for p in parts[1:]:
+        changes = changes.unionByName(p)
+    instants = changes.groupBy("id_logging_process", "t").agg(F.sum("waiting").alias("waiting"), F.sum("may").alias("may"))
+    run = windows.ordered_sums(instants, ["id_logging_process"], ["t"], {"queued": "waiting", "closable": "may"}, ranges)
+    first = run.where("queued = 0 AND closable > 0").groupBy("id_logging_process").agg(F.min("t").alias("closed"))
+    if until is not None:
+        first = first.where(F.col("closed") <= until)
+    reason = F.when(F.col("received") <= F.col("closed"), F.lit("end_received")).otherwise(F.lit("idle"))
+    return first.join(ended, "id_logging_process", "left").select(
+        "id_logging_process", F.lit("end_batch_completed").alias("action"), format_log_time("closed").alias("timestamp"),
+        reason.alias("reason"), "closed")
+
+
+def closed_lifecycle(messages: DataFrame, closings: DataFrame) -> DataFrame:
+    """ST4 with derived closings: per batch its times, why it closed, and what it did not take.
+
+    ``handled`` counts the messages taken until the batch closed, ``left`` those that came or
+    waited beyond.
+    """
+    m = messages.join(closings.select("id_logging_process", "closed", "reason"), "id_logging_process", "left")
+    taken = F.col("handled").isNotNull() & (F.col("closed").isNull() | (F.col("handled") <= F.col("closed")))
+    g = m.groupBy("id_logging_process").agg(
+        F.min(F.when(F.col("action") == "start_batch", F.col("handled"))).alias("s"),
+        F.min(F.when(F.col("action") == "end_batch_received", F.col("handled"))).alias("r"),
+        F.max("closed").alias("c"), F.max("reason").alias("reason"),
+        F.count_if(taken).alias("handled"), F.count_if(~taken).alias("left"))
+    return g.select("id_logging_process", format_log_time("s").alias("started"), format_log_time("r").alias("end_received"),
+                    format_log_time("c").alias("end_completed"), "reason",
+                    F.when(F.col("c").isNotNull(), F.lit("completed")).otherwise(F.lit("open")).alias("status"),
+                    "handled", "left")

@@ -81,11 +81,12 @@ def running_progress(typed_logs: DataFrame, block_size: int = 1 << 16) -> DataFr
     )
 
 
-def backlog(typed_logs: DataFrame, block_seconds: int = 3600) -> DataFrame:
+def backlog(typed_logs: DataFrame, ranges: int | None = None) -> DataFrame:
     """Tasks started minus tasks finished over time, per outlet.
 
     Each log is +1 at its start and -1 at its finish (when those parse); the
-    backlog after each change point is a running sum in time order.
+    backlog after each change point is a running sum in time order, over blocks
+    that hold equal shares of the rows however they crowd in time.
     """
     starts = typed_logs.filter(F.col("start_ts").isNotNull()).select(
         "medio", F.col("start_ts").alias("t"), F.col("arrival_seq"), F.lit(0).alias("kind"),
@@ -93,13 +94,9 @@ def backlog(typed_logs: DataFrame, block_seconds: int = 3600) -> DataFrame:
     ends = typed_logs.filter(F.col("finish_ts").isNotNull() & F.col("start_ts").isNotNull()) \
         .select("medio", F.col("finish_ts").alias("t"), F.col("arrival_seq"),
                 F.lit(1).alias("kind"), F.lit(-1).cast("long").alias("delta"))
-    ev = starts.unionByName(ends).withColumn(
-        "__o", F.struct(F.col("t"), F.col("kind"), F.col("arrival_seq")))
-    run = windows.running_sums(ev, keys=["medio"], order="__o",
-                               sums={"backlog": "delta"},
-                               block=windows.time_block(F.col("t"), block_seconds))
-    return run.select("medio", format_log_time("t").alias("t"), "kind", "arrival_seq",
-                      F.col("backlog").cast("long").alias("backlog"))
+    run = windows.ordered_sums(starts.unionByName(ends), ["medio"], ["t", "kind", "arrival_seq"],
+                               {"backlog": "delta"}, ranges)
+    return run.select("medio", format_log_time("t").alias("t"), "kind", "arrival_seq", "backlog")
 
 
 def coverage(crawl: DataFrame, typed_logs: DataFrame) -> DataFrame:

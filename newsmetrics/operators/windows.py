@@ -13,6 +13,9 @@ is ``block_size`` times smaller than the input:
   (``depth=0``: N / block_size rows per key, e.g. 15M rows for 10^12 input
   rows) or, for larger inputs, the same method one level up (``depth=1``,
   blocks of blocks).
+* ``ordered_sums``: the same sums, with blocks cut by row counts instead of a rule on the
+  order: Spark's range partitioning samples (keys, order), so one busy second of one
+  key is spread over as many tasks as its share of the rows asks for.
 * ``lag``: previous row's values. The first row of each block takes the last
   row of the previous non-empty block of the same key.
 
@@ -22,8 +25,16 @@ shuffle from the measured size of the block table at run time.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import materialize
 
 DEFAULT_BLOCK = 1 << 16     # rows per block when the order column is a dense sequence
 FANOUT = 1 << 12            # blocks per super-block
@@ -78,6 +89,52 @@ def running_sums(df: DataFrame, keys: list[str], order: str, sums: dict[str, str
     return j.drop(blk, *[f"__in_{o}" for o in sums], *[f"__off_{o}" for o in sums])
 
 
+def ordered_sums(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, str],
+                 ranges: int | None = None) -> DataFrame:
+    """Add inclusive running sums ``out = sum(src) over (keys order by order)``; src: long.
+
+    One range shuffle deals and sorts the rows; every task adds up its own range as the
+    rows stream by and the result is written. A range's offset is the sum of the ranges
+    before it, from a table with one row per key and range. Rows equal in keys and order
+    count one after the other in any order; a null src adds nothing.
+    """
+    spark = df.sparkSession
+    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = (df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order)
+             .withColumn("__range", F.spark_partition_id()))
+    schema = T.StructType([*dealt.schema.fields, *(T.StructField(f"__in_{out}", T.LongType()) for out in sums)])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, carried = None, dict.fromkeys(sums, 0)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            new = np.zeros(b.num_rows, bool)
+            for k in keys:
+                c = b.column(k)
+                differs = pc.fill_null(pc.not_equal(c[1:], c[:-1]), pc.xor(pc.is_null(c[1:]), pc.is_null(c[:-1])))
+                new[1:] |= pc.fill_null(differs, False).to_numpy(zero_copy_only=False)
+            here = [b.column(k)[0].as_py() for k in keys]
+            begins = np.concatenate(([0], np.flatnonzero(new)))
+            for out, src in sums.items():
+                total = np.cumsum(pc.fill_null(b.column(src), 0).to_numpy(zero_copy_only=False))
+                start = np.concatenate(([0], total[begins[1:] - 1])) if len(begins) > 1 else np.zeros(1, np.int64)
+                start[0] = -carried[out] if here == last else 0
+                total = total - np.repeat(start, np.diff(np.append(begins, len(total))))
+                carried[out] = int(total[-1])
+                b = b.append_column(f"__in_{out}", pa.array(total.astype(np.int64)))
+            last = [b.column(k)[-1].as_py() for k in keys]
+            yield b
+
+    part = materialize(dealt.mapInArrow(add_up, schema), "ordered-sums")
+    totals = part.groupBy(*keys, "__range").agg(*[F.sum(src).alias(f"__tot_{out}") for out, src in sums.items()])
+    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, "__range", *[F.coalesce(F.sum(f"__tot_{out}").over(before), F.lit(0)).alias(f"__off_{out}")
+                                                for out in sums])
+    whole = _key_join(part, offsets, keys, "__range")
+    return whole.select(*df.columns, *[(F.col(f"__in_{out}") + F.col(f"__off_{out}")).alias(out) for out in sums])
+
+
 def lag(df: DataFrame, keys: list[str], order: str, cols: list[str],
         block: Column | None = None, block_size: int = DEFAULT_BLOCK,
         prefix: str = "prev_") -> DataFrame:
@@ -99,8 +156,3 @@ def lag(df: DataFrame, keys: list[str], order: str, cols: list[str],
                         .otherwise(F.col(f"__in_{c}")).alias(prefix + c) for c in cols])
     return j.drop(blk, "__rn", "__pb", *[f"__in_{c}" for c in cols])
 
-
-def time_block(ts: Column, seconds: int = 3600) -> Column:
-    """Block id for a time order: whole ``seconds`` since the epoch."""
-    epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
-    return F.floor(F.timestamp_diff("SECOND", epoch, ts.cast("timestamp_ntz")) / F.lit(seconds))

@@ -426,6 +426,36 @@ def q_batch_lifecycle(spark, sf_dir):
     return C.batch_lifecycle(D.control_log(spark, sf_dir))
 
 
+@register("ST4_ST5_batch_closing", D.with_ctes(D.QUEUE_MESSAGES_SQL, body="""
+, acts AS (SELECT DISTINCT id, handled AS t FROM messages WHERE handled IS NOT NULL)
+, gaps AS (SELECT id, t, lead(t) OVER (PARTITION BY id ORDER BY t) AS nxt FROM acts)
+, quiet AS (SELECT id, t + INTERVAL 120 SECOND AS o, nxt FROM gaps
+            WHERE nxt IS NULL OR epoch_us(nxt) - epoch_us(t) > 120000000)
+, ended AS (SELECT id, min(handled) AS r FROM messages WHERE action = 'end_batch_received' GROUP BY id)
+, ch AS (SELECT id, sent AS t, 1 AS q, 0 AS m FROM messages
+         UNION ALL SELECT id, handled, -1, 0 FROM messages WHERE handled IS NOT NULL
+         UNION ALL SELECT id, o, 0, 1 FROM quiet
+         UNION ALL SELECT id, nxt, 0, -1 FROM quiet WHERE nxt IS NOT NULL
+         UNION ALL SELECT id, r, 0, 1 FROM ended)
+, run AS (SELECT id, t, sum(q) OVER w AS queued, sum(m) OVER w AS may FROM ch
+          WINDOW w AS (PARTITION BY id ORDER BY t RANGE UNBOUNDED PRECEDING))
+, closed AS (SELECT id, min(t) AS c FROM run WHERE queued = 0 AND may > 0 GROUP BY id
+             HAVING min(t) <= (SELECT max(sent) FROM messages))
+SELECT m.id AS id_logging_process,
+       strftime(min(handled) FILTER (WHERE action = 'start_batch'), '%Y-%m-%d %H:%M:%S') AS started,
+       strftime(max(r), '%Y-%m-%d %H:%M:%S') AS end_received, strftime(max(c), '%Y-%m-%d %H:%M:%S') AS end_completed,
+       CASE WHEN max(c) IS NULL THEN NULL WHEN max(r) <= max(c) THEN 'end_received' ELSE 'idle' END AS reason,
+       CASE WHEN max(c) IS NULL THEN 'open' ELSE 'completed' END AS status,
+       count(*) FILTER (WHERE handled IS NOT NULL AND (c IS NULL OR handled <= c)) AS handled,
+       count(*) FILTER (WHERE handled IS NULL OR handled > c) AS "left"
+FROM messages m LEFT JOIN closed USING (id) LEFT JOIN ended USING (id) GROUP BY m.id"""))
+def q_batch_closing(spark, sf_dir):
+    """ST4/ST5/W6: batches close once their end is received or they idle, and their queues are empty."""
+    messages = D.queue_messages(spark, sf_dir)
+    closings = C.batch_closings(messages, messages.agg(F.max("sent")).scalar())
+    return C.closed_lifecycle(messages, closings)
+
+
 @register("ST3_current_batch_metrics", D.with_ctes(*_LOG_CTES, D.CONTROL_LOG_SQL, body=(
     _METRICS_SQL.format(pick="arg_min").replace(
         "FROM typed_log GROUP BY medio, url",

@@ -219,3 +219,44 @@ err_e AS (
 
 def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n" + body
+
+
+def queue_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of the logger's queues, derived from ``events``; one batch per hour.
+
+    An hour's events are sent within its first eighth. Handling takes ``value`` fifths of a
+    second, 300 s more for every 97th event, and never happens for every 211th. The first message is
+    start_batch; two hours in three send end_batch_received a second after their last event.
+    """
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "value")
+    hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
+    into = F.timestamp_diff("MICROSECOND", hour, F.col("ts").cast("timestamp_ntz"))
+    sent = F.timestamp_add("MICROSECOND", F.floor(into / 8).cast("long"), hour)
+    e = e.select(batch_id(hour).alias("id_logging_process"), "event_id", "value", sent.alias("sent"))
+    took = (F.round(F.col("value") * 200) + F.when(F.col("event_id") % 97 == 0, 300_000).otherwise(0)).cast("long")
+    logs = e.select("id_logging_process", "sent",
+                    F.when(F.col("event_id") % 211 != 0, F.timestamp_add("MILLISECOND", took, F.col("sent"))).alias("handled"),
+                    F.lit(None).cast("string").alias("action"))
+    span = e.groupBy("id_logging_process").agg(F.min("sent").alias("a"), F.max("sent").alias("b"))
+    second = lambda n: F.timestamp_add("SECOND", F.lit(n), F.col("b"))
+    ends = F.col("id_logging_process") / 3600 % 3 != 0
+    control = F.array_compact(F.array(
+        F.struct(F.col("a").alias("sent"), F.col("a").alias("handled"), F.lit("start_batch").alias("action")),
+        F.when(ends, F.struct(second(1).alias("sent"), second(2).alias("handled"), F.lit("end_batch_received").alias("action")))))
+    return logs.unionByName(span.select("id_logging_process", F.explode(control).alias("c")).select("id_logging_process", "c.*"))
+
+
+QUEUE_MESSAGES_SQL = """
+qe AS (
+  SELECT CAST(epoch(h) AS BIGINT) AS id, event_id, value,
+         h + to_microseconds((epoch_us(ts) - epoch_us(h)) // 8) AS sent
+  FROM (SELECT *, date_trunc('hour', ts) AS h FROM events) x
+), qspan AS (SELECT id, min(sent) AS a, max(sent) AS b FROM qe GROUP BY id
+), messages AS (
+  SELECT id, sent, CASE WHEN event_id % 211 <> 0 THEN sent + to_milliseconds(
+           CAST(round(value * 200) AS BIGINT) + CASE WHEN event_id % 97 = 0 THEN 300000 ELSE 0 END) END AS handled,
+         CAST(NULL AS VARCHAR) AS action FROM qe
+  UNION ALL SELECT id, a, a, 'start_batch' FROM qspan
+  UNION ALL SELECT id, b + INTERVAL 1 SECOND, b + INTERVAL 2 SECOND, 'end_batch_received' FROM qspan
+            WHERE id // 3600 % 3 <> 0
+)"""
