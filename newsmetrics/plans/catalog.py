@@ -398,6 +398,8 @@ def q_page_bodies(spark, sf_dir):
 
 from ..operators import control as C  # noqa: E402
 from ..operators import document as DOC  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..streaming import stores as ST  # noqa: E402
 
 _LOG_CTES = [D.SCRAPE_LOG_SQL, D.TYPED_LOG_SQL]
 
@@ -490,6 +492,90 @@ def q_error_log(spark, sf_dir):
     return D.error_log(spark, sf_dir)
 
 
+# ---------------------------------------------------------------- versioned tables
+
+EPOCHS = 4
+
+
+def _deliveries(spark, sf_dir):
+    """The derived log in four epochs; every fifth log comes again in the next epoch, every 35th also in its own."""
+    logs = D.scrape_log(spark, sf_dir).withColumn("epoch", (F.col("arrival_seq") % EPOCHS).cast("int"))
+    again = logs.where("arrival_seq % 5 = 0").withColumn("epoch", F.least(F.col("epoch") + 1, F.lit(EPOCHS - 1)))
+    twice = logs.where("arrival_seq % 35 = 0")
+    late = again.unionByName(twice).withColumn("arrival_seq", F.col("arrival_seq") + 1_000_000_000)
+    return logs.unionByName(late)
+
+
+_DELIVERIES_SQL = """
+first_delivery AS (
+  SELECT * FROM scrape_log
+  QUALIFY row_number() OVER (PARTITION BY id_logging_process, medio, url, starting_time ORDER BY arrival_seq) = 1
+), delivered AS (
+  SELECT medio, count(*) + count(*) FILTER (WHERE arrival_seq % 5 = 0) + count(*) FILTER (WHERE arrival_seq % 35 = 0) AS n
+  FROM scrape_log GROUP BY medio
+)"""
+
+
+@register("ST8_redelivered_logs", D.with_ctes(D.SCRAPE_LOG_SQL, _DELIVERIES_SQL, body="""
+SELECT f.medio, CAST(any_value(d.n) AS BIGINT) AS delivered, count(*) AS kept,
+       count(*) FILTER (WHERE status = 'success') AS exitosos,
+       CAST(sum(TRY_CAST(NULLIF(duration_ms, '') AS BIGINT)) AS BIGINT) AS duration_sum, max(arrival_seq) AS last_seq
+FROM first_delivery f JOIN delivered d ON f.medio = d.medio GROUP BY f.medio"""))
+def q_redelivered_logs(spark, sf_dir):
+    """ST8/K4: logs delivered again in the same or a later epoch count once, by merges into hash buckets."""
+    deliveries = _deliveries(spark, sf_dir)
+    table = ST.log_table(spark, scratch_path(spark, "redelivered"), buckets=16)
+    for epoch in range(EPOCHS):
+        ST.merge_sink(table, ST.first_of_key(ST.LOG_KEY, "arrival_seq"))(
+            deliveries.where(F.col("epoch") == epoch).drop("epoch"), epoch)
+    kept = table.read().groupBy("medio").agg(
+        F.count("*").alias("kept"), F.count_if(F.col("status") == "success").alias("exitosos"),
+        F.sum(F.col("duration_ms").try_cast("long")).alias("duration_sum"), F.max("arrival_seq").alias("last_seq"))
+    n = deliveries.groupBy("medio").agg(F.count("*").alias("delivered"))
+    return n.join(kept, "medio").select("medio", "delivered", "kept", "exitosos", "duration_sum", "last_seq")
+
+
+@register("ST6_sent_urls", D.with_ctes(D.SCRAPE_LOG_SQL, body="""
+SELECT url, min(arrival_seq // 500 % 4) AS epoch, count(*) AS asked
+FROM scrape_log GROUP BY url"""))
+def q_sent_urls(spark, sf_dir):
+    """ST6/J7/U3: each URL is sent once over four epochs; older ones are found behind Bloom filters."""
+    tasks = D.scrape_log(spark, sf_dir).select(
+        "url", (F.floor(F.col("arrival_seq") / 500) % EPOCHS).cast("int").alias("epoch"),
+        F.timestamp_seconds(F.col("arrival_seq")).alias("sent_at"))
+    base = scratch_path(spark, "sent-urls")
+    memory = ST.UrlMemory(spark, f"{base}/memory", buckets=8)
+    for epoch in range(EPOCHS):
+        memory.send(tasks.where(F.col("epoch") == epoch).select("url", "sent_at"), epoch, f"{base}/out")
+    sent = spark.read.parquet(f"{base}/out").select("url", "epoch")
+    return sent.join(tasks.groupBy("url").agg(F.count("*").alias("asked")), "url").select("url", "epoch", "asked")
+
+
+@register("K7_K8_counters_after_reset", D.with_log_sql("""
+, marks AS (SELECT medio, max(arrival_seq) AS reset_seq FROM typed_log
+            WHERE medio = 'latercera' AND arrival_seq % 701 = 0 GROUP BY medio)
+, live AS (SELECT t.* FROM typed_log t LEFT JOIN marks m USING (medio)
+           WHERE m.reset_seq IS NULL OR t.arrival_seq > m.reset_seq)
+, g AS (SELECT medio, count(*) FILTER (WHERE status = 'success') AS ok, count(*) FILTER (WHERE status <> 'success') AS ko,
+               avg(dur_ms) FILTER (WHERE dur_ms > 0) AS mean, min(start_ts) AS a, max(finish_ts) AS b FROM live GROUP BY medio)
+SELECT medio, ok AS total_articulos_exitosos, ko AS total_articulos_fallidos,
+       round(COALESCE(mean, 0.0), 6) AS duracion_promedio_ms, strftime(b, '%Y-%m-%d %H:%M:%S') AS ultima_actualizacion,
+       strftime(a, '%Y-%m-%d %H:%M:%S') AS start_time
+FROM g"""))
+def q_counters_after_reset(spark, sf_dir):
+    """K6/K7/K8/ST7: running counters over four batches; an outlet's counters restart after its reset markers."""
+    log = typed_log(spark, sf_dir)
+    top = log.agg(F.max("arrival_seq")).scalar()
+    marks = log.where("medio = 'latercera' AND arrival_seq % 701 = 0").select("medio", F.col("arrival_seq").alias("seq"))
+    table = ST.counter_table(spark, scratch_path(spark, "counters"))
+    for epoch in range(EPOCHS):
+        quarter = lambda c: F.least(F.floor(F.col(c) * EPOCHS / (top + 1)), F.lit(EPOCHS - 1)) == epoch  # noqa: E731, B023
+        ST.count_into(table, log.where(quarter("arrival_seq")), marks.where(quarter("seq")), epoch)
+    return ST.progress_snapshot(table.read()).select(
+        "medio", "total_articulos_exitosos", "total_articulos_fallidos",
+        F.round("duracion_promedio_ms", 6).alias("duracion_promedio_ms"), "ultima_actualizacion", "start_time")
+
+
 # ---------------------------------------------------------------- running progress and series
 
 @register("W2_A15_running_progress", D.with_log_sql("""

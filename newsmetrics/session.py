@@ -61,6 +61,16 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared checkpoint folder; it is deleted when the Python process ends."""
+    import uuid
+    folder = checkpoint_path(spark, f"tables-{spark.sparkContext.applicationId}")
+    if folder not in _FOLDERS:
+        _FOLDERS.add(folder)
+        atexit.register(_remove, spark, folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df, name: str):
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
@@ -69,13 +79,8 @@ def materialize(df, name: str):
     output of the HTML step, in several branches without recomputing it.
     The application's written tables are deleted when its Python process ends.
     """
-    import uuid
     spark = df.sparkSession
-    folder = checkpoint_path(spark, f"tables-{spark.sparkContext.applicationId}")
-    if folder not in _FOLDERS:
-        _FOLDERS.add(folder)
-        atexit.register(_remove, spark, folder)
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
