@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import text
 from .text import before_pipe, cached_expr, col, is_blank, non_empty
 
 # ---- fixed values: Spanish day names (Monday first) and month names --------
@@ -36,12 +37,14 @@ _DMY_DASH = rf"^{_d}-{_m}-{_Y}$"
 _DMY_SLASH = rf"^{_d}/{_m}/{_Y}$"
 _YMD_SLASH = rf"^{_Y}/{_m}/{_d}$"
 
-# ISO 8601 date-time as accepted by datetime.fromisoformat: the written date,
-# any one separator, a time of 1-3 fields (optional fraction) and an optional
-# offset. Only the written date is used; the offset is never applied.
-_ISO_RE = (r"^([0-9]{4})-([0-9]{2})-([0-9]{2})"
-           r"(?:.([01][0-9]|2[0-3])(?::?([0-5][0-9])(?::?([0-5][0-9])(?:[.,][0-9]+)?)?)?"
-           r"(?:Z|[+-](?:[01][0-9]|2[0-3])(?::?[0-5][0-9](?::?[0-5][0-9](?:\.[0-9]+)?)?)?)?)?$")
+# ISO 8601 date-time as accepted by datetime.fromisoformat: the written date (calendar or
+# week date, extended or basic), any one separator, a time of 1-3 fields (optional
+# fraction) and an optional offset. Only the written date is used; the offset is never applied.
+_ISO_TIME = (r"(?:.([01][0-9]|2[0-3])(?::?([0-5][0-9])(?::?([0-5][0-9])(?:[.,][0-9]+)?)?)?"
+             r"(?:Z|[+-](?:[01][0-9]|2[0-3])(?::?[0-5][0-9](?::?[0-5][0-9](?:\.[0-9]+)?)?)?)?)?$")
+_ISO_RE = r"^([0-9]{4})-([0-9]{2})-([0-9]{2})" + _ISO_TIME
+_ISO_BASIC_RE = r"^[0-9]{8}" + _ISO_TIME
+_ISO_WEEK_RE = r"^([0-9]{4})(?:-W([0-9]{2})(?:-([1-7])(?![0-9]))?|W([0-9]{2})([1-7])?)" + _ISO_TIME
 
 
 def _date_from(c: Column, pattern: str, spark_fmt: str) -> Column:
@@ -80,7 +83,24 @@ def spanish_date(d) -> Column:
 def iso_written_date(c) -> Column:
     """Written (local) date of an ISO date-time string, null if not ISO."""
     c = col(c)
-    return F.when(c.rlike(_ISO_RE), F.try_to_date(F.substring(c, 1, 10), "yyyy-MM-dd"))
+    return (F.when(c.rlike(_ISO_RE), F.try_to_date(F.substring(c, 1, 10), "yyyy-MM-dd"))
+            .when(c.rlike(_ISO_BASIC_RE), F.try_to_date(F.substring(c, 1, 8), "yyyyMMdd"))
+            .when(c.rlike(_ISO_WEEK_RE), iso_week_date(c)))
+
+
+@cached_expr
+def iso_week_date(c) -> Column:
+    """DT2: date of an ISO week date (``2020-W53-5``, ``2020W535``; without a day: its Monday).
+
+    Week 1 holds January 4th. A week that its year does not have gives null.
+    """
+    c = col(c)
+    part = lambda i: text.nullif_empty(F.regexp_extract(c, _ISO_WEEK_RE, i))
+    week = F.coalesce(part(2), part(4)).try_cast("int")
+    day = F.coalesce(part(3), part(5), F.lit("1")).try_cast("int")
+    fourth = F.try_to_date(F.concat(F.regexp_extract(c, _ISO_WEEK_RE, 1), F.lit("-01-04")), "yyyy-MM-dd")
+    date = F.date_add(fourth, -F.weekday(fourth) + (week - 1) * 7 + day - 1)
+    return F.when((week >= 1) & (F.weekofyear(date) == week), date)
 
 
 @cached_expr

@@ -315,6 +315,26 @@ def extract_articles(pages: DataFrame, profiles: DataFrame | None = None) -> Dat
     return validate(raw_articles(pages), profiles)
 
 
+UNKNOWN_OUTLET = "Medio no encontrado en configuraciones"
+
+
+def extract_outlet_pages(pages: DataFrame, sites: DataFrame) -> DataFrame:
+    """(page_id, url, html) rows through the profile of the outlet that the host names.
+
+    ``sites`` (D1) names a host by its start page. Pages of other hosts keep their host as outlet
+    and become errors without being parsed.
+    """
+    host = lambda c: F.lower(F.regexp_extract(c, r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:@]*)", 1))
+    known = sites.select(host("start_url").alias("host"), F.col("medio").alias("outlet"), "profile")
+    j = (pages.select("page_id", "url", "html", host("url").alias("host")).join(known, "host", "left")
+         .withColumn("medio", F.coalesce("outlet", "host")))
+    asked = j.withColumn("html", F.when(F.col("profile").isNotNull(), F.col("html")))
+    done = extract_articles(asked.select("page_id", "url", "medio", "profile", "html"))
+    unknown = F.col("profile").isNull()
+    return done.withColumns({"status": F.when(unknown, F.lit("error")).otherwise(F.col("status")),
+                             "error": F.when(unknown, F.lit(UNKNOWN_OUTLET)).otherwise(F.col("error"))})
+
+
 def article_a(articles: DataFrame, outlet: bool = False) -> DataFrame:
     """D6 record (profile A) of successful articles; ``outlet`` adds the writer's partition column."""
     own = articles.filter((F.col("status") == "success") & (F.col("profile") == "A"))

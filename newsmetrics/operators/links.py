@@ -143,4 +143,4 @@ def with_site_config(links: DataFrame, sites: DataFrame) -> DataFrame:
     s = sites.select("medio", "category_pattern", "news_pattern", "pagination_type", "profile")
     j = links.join(F.broadcast(s), "medio", "left")
     return j.withColumn("config_error", F.when(F.col("profile").isNull(),
-                                               F.lit("Medio no encontrado en configuraciones")))
+                                               F.lit(extract.UNKNOWN_OUTLET)))

@@ -175,6 +175,7 @@ def q_corrected_metrics(spark, sf_dir):
 
 # ---------------------------------------------------------------- crawl / links
 
+from .. import config  # noqa: E402
 from ..config import PAGES_SITE  # noqa: E402
 from ..operators import extract as X  # noqa: E402
 from ..operators import links as K  # noqa: E402
@@ -394,6 +395,27 @@ def q_page_bodies(spark, sf_dir):
         "page_id", "cuerpo", F.array_join("missing", ",").alias("missing"), "error")
 
 
+from . import outlet_pages as OP  # noqa: E402
+
+
+def _flat_articles(articles: DataFrame) -> DataFrame:
+    """Arrays as text, so that both engines compare them alike."""
+    pair = lambda c, a, b: F.array_join(F.transform(c, lambda x: F.concat(
+        F.coalesce(x[a], F.lit("-")), F.lit("::"), F.coalesce(x[b], F.lit("-")))), "|")
+    return articles.select(
+        "page_id", "medio", "profile", "categoria", "titulo", "fecha", "autor", "desc_autor", "abstract", "cuerpo",
+        pair("cuerpo_en_vivo", "fecha", "cuerpo").alias("en_vivo"), F.array_join("multimedia", "|").alias("multimedia"),
+        "tipo_multimedia", pair("imagenes", "url", "descripcion").alias("imagenes"), F.array_join("videos", "|").alias("videos"),
+        F.array_join("missing", ",").alias("missing"), "status", "error")
+
+
+@register("J6_X13_X14_outlet_articles", OP.ARTICLES_SQL)
+def q_outlet_articles(spark, sf_dir):
+    """X1-X10, X13-X15, F4, F7-F9, J6, S6, P8, DT2, U4, STR5-STR7: mixed pages of both outlets and an unknown one."""
+    pages = OP.outlet_pages(spark, sf_dir)
+    return _flat_articles(X.extract_outlet_pages(pages, config.sites_df(spark)))
+
+
 # ---------------------------------------------------------------- control, errors, batches
 
 from ..operators import control as C  # noqa: E402
