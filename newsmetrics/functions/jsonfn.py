@@ -24,6 +24,19 @@ def decode(text, schema: T.StructType) -> Column:
     return F.when(~is_blank(t), parsed)
 
 
+def decode_reason(text, decoded) -> Column:
+    """JS2: why a message did not decode: 'blank', 'not JSON', 'not an object', 'wrong type'; null if it did.
+
+    ``decoded`` is the column that ``decode`` made of ``text``.
+    """
+    t, d = col(text), col(decoded)
+    tree = F.try_parse_json(t)
+    why = (F.when(tree.isNull(), F.lit("not JSON"))
+           .when(~F.schema_of_variant(tree).startswith("OBJECT"), F.lit("not an object"))
+           .otherwise(F.lit("wrong type")))
+    return F.when(is_blank(t), F.lit("blank")).when(d[CORRUPT].isNotNull(), why)
+
+
 def encode(*cols) -> Column:
     """JS1: struct -> JSON text (null fields dropped, UTF-8 kept)."""
     return F.to_json(F.struct(*cols))

@@ -28,20 +28,71 @@ def url_path(u) -> Column:
     return F.regexp_extract(col(u), _PATH_RE, 1)
 
 
+_REFERENCE_RE = r"^(?:([^:/?#]+):)?(?://([^/?#]*))?([^?#]*)(\?[^#]*)?(#.*)?$"
+
+
+@cached_expr
+def remove_dots(path) -> Column:
+    """STR3: a path without ``.`` and ``..`` segments, folded over a stack of segments.
+
+    ``..`` takes back the segment before it, if there is one; a path that ends in a dot
+    segment ends in a slash; an absolute path stays absolute.
+    """
+    path = col(path)
+    segments = F.split(path, "/")
+    empty = F.array().cast("array<string>")
+    kept = F.aggregate(segments, empty, lambda stack, s: F.when(s == ".", stack)
+                       .when(s == "..", F.slice(stack, F.lit(1), F.greatest(F.size(stack) - 1, F.lit(0))))
+                       .otherwise(F.concat(stack, F.array(s))))
+    closed = F.when(F.element_at(segments, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    joined = F.array_join(closed, "/")
+    folded = F.when(path.startswith("/") & ~joined.startswith("/"), F.concat(F.lit("/"), joined)).otherwise(joined)
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), folded).otherwise(path)
+
+
+def _part(reference: Column, group: int) -> Column:
+    return F.regexp_extract(reference, _REFERENCE_RE, group)
+
+
 @cached_expr
 def resolve_href(base, href) -> Column:
-    """STR3: resolve an href against the page URL, only when it starts with '/'.
+    """STR3: resolve an href against the page URL, only when it starts with '/', as ``urljoin`` does.
 
-    ``//host/x`` takes the page's scheme; ``/x`` takes scheme and authority.
+    ``//host/x`` takes the page's scheme and keeps its path as it is; ``/x`` takes scheme
+    and authority and loses its dot segments; an empty query or fragment goes.
     Anything else (absolute, relative without slash) is returned untouched.
     """
-    base, href = col(base), col(href)
+    base, raw = col(base), col(href)
+    href = F.translate(raw, "\t\r\n", "")
     scheme = F.regexp_extract(base, _AUTHORITY_RE, 1)
     authority = F.regexp_extract(base, _AUTHORITY_RE, 2)
     has_auth = base.rlike(_AUTHORITY_RE)
-    return (F.when(href.startswith("//") & has_auth, F.concat(scheme, F.lit(":"), href))
-            .when(href.startswith("/") & has_auth, F.concat(scheme, F.lit(":"), authority, href))
-            .otherwise(href))
+    query, fragment = (F.when(F.length(_part(href, g)) > 1, _part(href, g)).otherwise("") for g in (4, 5))
+    host = href.rlike("^//[^/?#]")
+    path = F.when(href.startswith("//"), _part(href, 3)).otherwise(F.regexp_extract(href, "^([^?#]*)", 1))
+    joined = F.when(host, F.concat(scheme, F.lit("://"), _part(href, 2), path, query, fragment)).otherwise(
+        F.concat(scheme, F.lit(":"), authority, remove_dots(path), query, fragment))
+    return F.when(href.startswith("/") & has_auth, joined).otherwise(raw)
+
+
+@cached_expr
+def resolve_reference(base, reference) -> Column:
+    """Any reference against an absolute base URL, by RFC 3986, 5.2 (strict)."""
+    base, ref = col(base), col(reference)
+    has_scheme, has_authority = ref.rlike("^[^:/?#]+:"), ref.rlike("^(?:[^:/?#]+:)?//")
+    has_query = ref.rlike(r"^[^#]*\?")
+    path, base_path = _part(ref, 3), _part(base, 3)
+    base_authority = base.rlike("^(?:[^:/?#]+:)?//")
+    merged = F.when(base_authority & (base_path == ""), F.concat(F.lit("/"), path)).otherwise(
+        F.concat(F.regexp_extract(base_path, "^(.*/)?", 0), path))
+    own = has_scheme | has_authority
+    new_path = (F.when(own | path.startswith("/"), remove_dots(path)).when(path == "", base_path)
+                .otherwise(remove_dots(merged)))
+    query = F.when(own | (path != "") | has_query, _part(ref, 4)).otherwise(_part(base, 4))
+    scheme = F.when(has_scheme, _part(ref, 1)).otherwise(_part(base, 1))
+    authority = (F.when(has_authority, F.concat(F.lit("//"), _part(ref, 2))).when(has_scheme, F.lit(""))
+                 .when(base_authority, F.concat(F.lit("//"), _part(base, 2))).otherwise(F.lit("")))
+    return F.concat(scheme, F.lit(":"), authority, new_path, query, _part(ref, 5))
 
 
 @cached_expr

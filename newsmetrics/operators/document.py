@@ -30,14 +30,14 @@ def _prefixed(df: DataFrame | None, prefix: str) -> DataFrame | None:
 
 
 def metrics_document(scraper_metrics: DataFrame | None, scraper_progress: DataFrame | None,
-                     crawler_metrics: DataFrame | None) -> DataFrame:
-    """Per-outlet document row, each part present only when it has data.
+                     crawler_metrics: DataFrame | None, crawler_progress: DataFrame | None = None) -> DataFrame:
+    """Per-outlet document row, each of four parts present only when it has data.
 
     Full outer join on medio of the per-outlet parts; a part that is absent
     for an outlet stays null (dropped by ``to_json``).
     """
     parts = [p for p in (_prefixed(scraper_metrics, "m_"), _prefixed(scraper_progress, "p_"),
-                         _prefixed(crawler_metrics, "c_")) if p is not None]
+                         _prefixed(crawler_metrics, "c_"), _prefixed(crawler_progress, "g_")) if p is not None]
     doc = parts[0]
     for p in parts[1:]:
         doc = doc.join(p, "medio", "full_outer")
@@ -55,7 +55,7 @@ def document_json(doc: DataFrame) -> DataFrame:
         return F.when(present, F.struct(*[F.col(c).alias(c[len(prefix):]) for c in cols]))
     return doc.select("medio", F.to_json(F.struct(
         part("m_").alias("scraper_metrics"), part("p_").alias("scraper_progress"),
-        part("c_").alias("crawler_metrics"))).alias("document"))
+        part("c_").alias("crawler_metrics"), part("g_").alias("crawler_progress"))).alias("document"))
 
 
 def active_outlet(crawl_progress_sitio: DataFrame, outlets: DataFrame) -> DataFrame:
@@ -83,3 +83,20 @@ def dashboard_row(progress: DataFrame, active: DataFrame) -> DataFrame:
         F.format_string("%.1f", F.coalesce("articulos_por_minuto", F.lit(0.0))).alias("tasa_txt"),
         "articulos_por_minuto",
         F.current_timestamp().alias("timestamp"))
+
+
+def dashboard_document(doc: DataFrame) -> DataFrame:
+    """P10: one row per outlet with the numbers of all four parts; missing numbers are 0, rates have one decimal.
+
+    ``doc`` is a ``metrics_document`` with its four parts.
+    """
+    number = lambda c: F.coalesce(F.col(c), F.lit(0))
+    rate = lambda c: F.format_string("%.1f", F.coalesce(F.col(c).cast("double"), F.lit(0.0)))
+    return doc.select(
+        "medio", display_name("medio").alias("medio_nombre"), F.coalesce("g_status", F.lit("")).alias("estado"),
+        rate("g_porcentaje").alias("porcentaje"), number("g_categorias_procesadas").alias("categorias"),
+        number("g_total_categorias").alias("total_categorias"), number("g_urls_encontradas").alias("urls"),
+        number("c_total_urls_encontradas").alias("urls_final"), rate("c_urls_por_minuto").alias("urls_por_minuto"),
+        number("p_total_articulos_exitosos").alias("exitosos"), number("p_total_articulos_fallidos").alias("fallidos"),
+        rate("p_articulos_por_minuto").alias("tasa"), number("m_total_urls_procesadas").alias("procesadas"),
+        rate("m_porcentaje_exito").alias("porcentaje_exito"))

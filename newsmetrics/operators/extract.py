@@ -1,9 +1,9 @@
 """Article and anchor extraction over the page table (X1-X15, UD1, UD2, J6).
 
-The only Python step is one ``mapInPandas`` in which a single pass over each page
-records, per selector of the page's profile, the matching elements: place, text
-and attributes. A page that the parser can't read becomes a row with its error.
-What a rule makes of the matches - first non-empty text, captions inside a
+The only Python step is one ``mapInArrow`` in which a single pass over each page
+records its pieces of text, once, and per selector of the page's profile the matching
+elements: place, first and last piece, attributes. A page that the parser can't read becomes
+a row with its error. What a rule makes of the matches - first non-empty text, captions inside a
 figure, bodies outside a block - is Spark SQL over that array, as are validation
 F7-F9, outcome X15, error text P8, date conversion DT2 and image dedup U4.
 """
@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,10 +23,12 @@ from ..functions import dates, text
 from . import html as H
 
 ATTRIBUTES = ("datetime", "src", "data-src", "data-lazy-src", "style")
+_NUMBERS = ("pick", "number", "last", "begin", "end")
 HITS = T.ArrayType(T.StructType(
-    [T.StructField(n, T.IntegerType()) for n in ("pick", "number", "last")]
-    + [T.StructField(n, T.StringType()) for n in ("text", "tight", "own")]
+    [T.StructField(n, T.IntegerType()) for n in _NUMBERS] + [T.StructField("own", T.StringType())]
     + [T.StructField("attrs", T.MapType(T.StringType(), T.StringType()))]))
+_HITS_ARROW = pa.list_(pa.struct([pa.field(n, pa.int32()) for n in _NUMBERS] + [
+    pa.field("own", pa.string()), pa.field("attrs", pa.map_(pa.string(), pa.string()))]))
 IMAGE_SOURCES, VIDEO_SOURCES = ("src", "data-src", "data-lazy-src"), ("src", "data-src")
 NO_CATEGORY = "'NoneType' object has no attribute 'lower'"
 FIELDS = ["categoria", "titulo", "fecha", "autor", "desc_autor", "abstract", "cuerpo",
@@ -48,10 +50,15 @@ def selectors_of(profile: dict) -> list[str]:
     return list(dict.fromkeys(s for _, *groups in rules_of(profile) for g in groups for s in g))
 
 
-def page_hits(html: str | None, selectors: list[str]) -> list[dict]:
-    return [{"pick": k, "number": m.number, "last": m.last, "text": m.text(" "), "tight": m.text(""),
-             "own": m.own_text(), "attrs": {a: m.attrs[a] for a in ATTRIBUTES if a in m.attrs}}
-            for k, found in enumerate(H.scan(html, selectors)) for m in found]
+def page_hits(html: str | None, selectors: list[str], own: frozenset[int] = frozenset()) -> tuple[list[dict], list[str]]:
+    """Matches of all selectors and the page's pieces of text; a match's text is the pieces ``begin`` to ``end``.
+
+    ``own`` numbers the selectors whose matches need the text directly in them.
+    """
+    found, pieces = H.scan_pieces(html, selectors)
+    return [{"pick": k, "number": m.number, "last": m.last, "begin": m.begin, "end": m.end,
+             "own": m.own_text() if k in own else None, "attrs": [(a, m.attrs[a]) for a in ATTRIBUTES if a in m.attrs]}
+            for k, matches in enumerate(found) for m in matches], pieces
 
 
 def anchors(html: str | None) -> list[str]:
@@ -63,31 +70,39 @@ def _failure(e: Exception) -> str:
     return f"{type(e).__name__}: {e}"
 
 
-def _hit_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    wanted = {name: selectors_of(p) for name, p in config.PROFILES.items()}
-    for pdf in batches:
-        hits, errors = [], []
-        for profile, html in zip(pdf["profile"], pdf["html"]):
-            try:
-                hits.append(page_hits(html, wanted.get(profile, [])))
-                errors.append(None)
-            except Exception as e:  # one page's markup must not end the job
-                hits.append([])
-                errors.append(_failure(e))
-        yield pdf.drop(columns=["html"]).assign(hits=hits, failure=errors)
+def own_text_selectors(profile: dict) -> frozenset[int]:
+    place = selectors_of(profile)
+    return frozenset(place.index(s) for kind, *groups in rules_of(profile) if kind == "own_text_first" for g in groups for s in g)
 
 
-def _anchor_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        hrefs, errors = [], []
-        for html in pdf["html"]:
+def _hit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    wanted = {name: (selectors_of(p), own_text_selectors(p)) for name, p in config.PROFILES.items()}
+    for b in batches:
+        rows: list[tuple] = []
+        for profile, html in zip(b.column("profile").to_pylist(), b.column("html").to_pylist()):
             try:
-                hrefs.append(anchors(html))
-                errors.append(None)
+                rows.append((*page_hits(html, *wanted.get(profile, ([],))), None))
+            except Exception as e:  # one page's markup must not end the job
+                rows.append(([], [], _failure(e)))
+        hits, pieces, failures = zip(*rows) if rows else ((), (), ())
+        kept = [c for c in b.schema.names if c != "html"]
+        yield pa.RecordBatch.from_arrays(
+            [*(b.column(c) for c in kept), pa.array(hits, _HITS_ARROW), pa.array(pieces, pa.list_(pa.string())),
+             pa.array(failures, pa.string())], [*kept, "hits", "pieces", "failure"])
+
+
+def _anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        rows: list[tuple] = []
+        for html in b.column("html").to_pylist():
+            try:
+                rows.append((anchors(html), None))
             except Exception as e:  # as above
-                hrefs.append([])
-                errors.append(_failure(e))
-        yield pdf.drop(columns=["html"]).assign(hrefs=hrefs, error=errors)
+                rows.append(([], _failure(e)))
+        hrefs, errors = zip(*rows) if rows else ((), ())
+        kept = [c for c in b.schema.names if c != "html"]
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(hrefs, pa.list_(pa.string())),
+                                          pa.array(errors, pa.string())], [*kept, "hrefs", "error"])
 
 
 def scanned_anchors(pages: DataFrame) -> DataFrame:
@@ -95,7 +110,7 @@ def scanned_anchors(pages: DataFrame) -> DataFrame:
     schema = T.StructType([f for f in pages.schema.fields if f.name != "html"]
                           + [T.StructField("hrefs", T.ArrayType(T.StringType())),
                              T.StructField("error", T.StringType())])
-    return pages.mapInPandas(_anchor_batches, schema)
+    return pages.mapInArrow(_anchor_batches, schema)
 
 
 def page_anchors(pages: DataFrame) -> DataFrame:
@@ -141,14 +156,18 @@ class Rules:
     def _some(items: Column) -> Column:
         return F.when(F.size(items) > 0, items)
 
-    def _first_text(self, selectors: list[str], part: str) -> Column:
-        return F.get(F.filter(F.transform(self.firsts(selectors), lambda h: h[part]), lambda t: t != ""), F.lit(0))
+    @staticmethod
+    def text(h: Column, separator: str = " ") -> Column:
+        return F.array_join(F.slice(F.col("pieces"), h["begin"] + 1, h["end"] - h["begin"]), separator)
+
+    def _first_text(self, selectors: list[str], part) -> Column:
+        return F.get(F.filter(F.transform(self.firsts(selectors), part), lambda t: t != ""), F.lit(0))
 
     def text_first(self, selectors):  # X1
-        return self._first_text(selectors, "text"), None
+        return self._first_text(selectors, lambda h: self.text(h)), None
 
     def own_text_first(self, selectors):  # X3
-        return self._first_text(selectors, "own"), None
+        return self._first_text(selectors, lambda h: h["own"]), None
 
     def _attribute(self, selectors: list[str], name: str) -> tuple[Column, Column]:
         """First non-empty attribute of the selectors' first matches; a match without it is an error."""
@@ -179,25 +198,25 @@ class Rules:
         def figure(f: Column) -> Column:
             image = F.get(self.firsts(images, f), F.lit(0))
             caption = F.get(self.firsts(captions, f), F.lit(0))
-            return F.struct(self._source(image, IMAGE_SOURCES).alias("url"), caption["tight"].alias("descripcion"))
+            return F.struct(self._source(image, IMAGE_SOURCES).alias("url"), F.when(caption.isNotNull(), self.text(caption, "")).alias("descripcion"))
         return self._some(F.filter(F.transform(self.every(figures), figure), lambda i: i["url"].isNotNull())), None
 
     def text_all(self, selectors):  # X2
-        return F.transform(self.every(selectors), lambda h: h["text"])
+        return F.transform(self.every(selectors), lambda h: self.text(h))
 
     def body(self, selectors):  # X9
         return text.join_lines(self._some(self.text_all(selectors))), None
 
     def body_excluding(self, selectors, excluded):  # X11
         blocks = self.every(excluded)
-        free = F.filter(self.every(selectors), lambda h: (h["text"] != "") & ~F.exists(
+        free = F.filter(self.every(selectors), lambda h: (h["end"] > h["begin"]) & ~F.exists(
             blocks, lambda b: (h["number"] > b["number"]) & (h["number"] <= b["last"])))
-        return text.join_lines(self._some(F.transform(free, lambda h: h["text"]))), None
+        return text.join_lines(self._some(F.transform(free, lambda h: self.text(h)))), None
 
     def live_entries(self, entries, stamps, bodies):  # X10
         def entry(e: Column) -> Column:
             stamp = F.get(F.filter(self.firsts(stamps, e), lambda h: h["attrs"]["datetime"].isNotNull()), F.lit(0))
-            parts = F.filter(F.transform(self.every(bodies, e), lambda h: h["text"]), lambda t: t != "")
+            parts = F.transform(F.filter(self.every(bodies, e), lambda h: h["end"] > h["begin"]), lambda h: self.text(h))
             return F.struct(stamp["attrs"]["datetime"].alias("fecha"),
                             text.join_lines(self._some(parts)).alias("cuerpo"))
         return self._some(F.transform(self.every(entries), entry)), None
@@ -245,8 +264,8 @@ def raw_articles(pages: DataFrame) -> DataFrame:
     """Run the profile rules on (page_id, url, medio, profile, html) rows; an error leaves the fields null."""
     base = pages.select("page_id", "url", "medio", "profile", "html")
     schema = T.StructType([f for f in base.schema.fields if f.name != "html"]).add(
-        "hits", HITS).add("failure", T.StringType())
-    scanned = base.mapInPandas(_hit_batches, schema)
+        "hits", HITS).add("pieces", T.ArrayType(T.StringType())).add("failure", T.StringType())
+    scanned = base.mapInArrow(_hit_batches, schema)
     made = {name: _profile_columns(p) for name, p in config.PROFILES.items()}
 
     def by_profile(pick) -> Column:

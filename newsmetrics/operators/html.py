@@ -25,6 +25,10 @@ VOID = frozenset(["area", "base", "br", "col", "embed", "hr", "img", "input", "l
 NON_TEXT = frozenset(["script", "style", "template"])
 
 
+STEPS = 20_000  # remembered steps per list of selectors
+_STEPS: dict[tuple[str, ...], dict] = {}
+
+
 class Match:
     """An element: its number, the number of the last element in it, its attributes and texts."""
 
@@ -50,6 +54,8 @@ class Scan(HTMLParser):
     def __init__(self, selectors: list[str]):
         super().__init__(convert_charrefs=True)
         self.chains = [(k, chain) for k, s in enumerate(selectors) for chain in compile_selector(s)]
+        self.tested = sorted({a for _, chain in self.chains for *_, tests in chain for a, *_ in tests} - {"class"})
+        self.steps = _STEPS.setdefault(tuple(selectors), {})
         self.found: list[list[Match]] = [[] for _ in selectors]
         self.pieces: list[str] = []
         self.number = 0
@@ -62,22 +68,35 @@ class Scan(HTMLParser):
         kept: dict[str, str] = {}
         for name, value in attrs:
             kept.setdefault(name, value or "")  # the first of a repeated attribute counts
-        classes = kept.get("class", "").split()
         before = self.stack[-1][1]
-        after, hits = [], set()
-        for (k, chain), done in zip(self.chains, before):
-            if done == len(chain) - 1 and _compound(tag, kept, classes, chain[done]):
-                hits.add(k)
-            elif done < len(chain) - 1 and _compound(tag, kept, classes, chain[done]):
-                done += 1
-            after.append(done)
+        # equal tags under equal progress match alike; pages repeat few of them
+        step = (before, tag, kept.get("class", ""), *[kept.get(a) for a in self.tested])
+        known = self.steps.get(step)
+        if known is None:
+            known = self._step(tag, kept, before)
+            if len(self.steps) < STEPS:
+                self.steps[step] = known
+        after, hits = known
         match = Match(self, self.number, kept) if hits else None
         for k in hits:
             self.found[k].append(match)
         if tag not in VOID:
-            self.stack.append((tag, tuple(after), match))
+            self.stack.append((tag, after, match))
             self.open[tag] += 1
 
+    def _step(self, tag: str, kept: dict[str, str], before: tuple[int, ...]) -> tuple[tuple[int, ...], tuple[int, ...]]:
+        """Progress of every chain inside the element, and the selectors that it matches."""
+        classes = kept.get("class", "").split()
+        after, hits = [], set()
+        for (k, chain), done in zip(self.chains, before):
+            if _compound(tag, kept, classes, chain[done]):
+                if done == len(chain) - 1:
+                    hits.add(k)
+                else:
+                    done += 1
+            after.append(done)
+        return tuple(after), tuple(sorted(hits))
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
@@ -109,12 +128,17 @@ class Scan(HTMLParser):
 
 def scan(html: str | None, selectors: list[str]) -> list[list[Match]]:
     """The matches of every selector; raises what the parser raises."""
+    return scan_pieces(html, selectors)[0]
+
+
+def scan_pieces(html: str | None, selectors: list[str]) -> tuple[list[list[Match]], list[str]]:
+    """The matches of every selector and all pieces of the page's text."""
     page = Scan(selectors)
     page.feed(html or "")
     page.close()
     while len(page.stack) > 1:
         page._pop()
-    return page.found
+    return page.found, page.pieces
 
 
 # --------------------------------------------------------------------- selectors

@@ -21,10 +21,10 @@ _FIRST_SEG_RE = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*/([^/?#]*)"
 
 
 def category_pages(pages: DataFrame) -> DataFrame:
-    """Pages as category pages: medio = host, slug = first path segment."""
+    """Pages as category pages: medio = host (or the page's own medio), slug = first path segment."""
+    own = F.col("medio") if "medio" in pages.columns else F.lower(F.regexp_extract("url", _HOST_RE, 1))
     return pages.select(
-        "page_id", "html",
-        F.lower(F.regexp_extract("url", _HOST_RE, 1)).alias("medio"),
+        "page_id", "html", own.alias("medio"),
         F.col("url").alias("category_url"),
         F.regexp_extract("url", _FIRST_SEG_RE, 1).alias("slug"))
 
@@ -62,6 +62,29 @@ def news_candidates(links: DataFrame, news_pattern: list[str],
             .distinct())
 
 
+def outlet_candidates(pages: DataFrame, sites: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """News links of category pages by the patterns of their own outlet.
+
+    ``pages``: page_id, url, html; ``sites``: D1 rows, found by the host of their start page. The
+    outlet's row joins each link once, so a link is compared with its own outlet's patterns only,
+    however many outlets there are. Pages of unknown hosts and of outlets whose pagination is
+    not ``loadmore`` give no links. Second result: one error record per page of an unknown host.
+    """
+    host = lambda c: F.lower(F.regexp_extract(c, _HOST_RE, 1))
+    known = sites.select(host("start_url").alias("host"), F.col("medio").alias("outlet"), "category_pattern", "news_pattern", "pagination_type")
+    cp = pages.select("page_id", F.col("url"), "html", host("url").alias("host")).join(known, "host", "left")
+    errors = cp.where(F.col("outlet").isNull()).select(
+        F.lit("crawler").alias("origen"), F.col("url").alias("arg_medio"), F.lit("crawl_news").alias("etapa"),
+        F.lit(extract.UNKNOWN_OUTLET).alias("error_detail"), "page_id")
+    anchors = extract.page_anchors(cp.where(F.col("outlet").isNotNull() & (F.col("pagination_type") == "loadmore"))
+                                   .select("page_id", "url", "html", F.col("outlet").alias("medio"), "category_pattern", "news_pattern"))
+    links = anchors.select("page_id", "medio", F.col("url").alias("category_url"), urls.category_slug("url").alias("slug"),
+                           "news_pattern", urls.resolve_href("url", "href").alias("link"))
+    hits = links.where(urls.matches_any("link", "news_pattern"))
+    return (urls.add_category(hits, "link", "slug", "categoria")
+            .select("medio", "page_id", "category_url", "categoria", F.col("link").alias("url")).distinct(), errors)
+
+
 def news_links(cands: DataFrame) -> DataFrame:
     """Distinct (medio, categoria, url) pairs over all categories."""
     return cands.select("medio", "categoria", "url").distinct()
@@ -130,6 +153,14 @@ def crawl_progress(pages: DataFrame, cands: DataFrame, block_size: int = 1 << 16
         F.col("urls_encontradas").cast("long").alias("urls_encontradas"))
 
 
+def latest_crawl_progress(progress: DataFrame) -> DataFrame:
+    """K7: the snapshot after each outlet's last page, as the progress file holds it (percentage to one place)."""
+    cols = [c for c in progress.columns if c not in ("sitio", "page_id")]
+    last = progress.groupBy("sitio").agg(F.max_by(F.struct(*cols), "page_id").alias("p"))
+    return last.select(F.col("sitio").alias("medio"), *[
+        (F.round(F.col("p")[c], 1) if c == "porcentaje" else F.col("p")[c]).alias(c) for c in cols])
+
+
 def news_links_with_page(cands: DataFrame) -> DataFrame:
     return cands.select("medio", "page_id", "categoria", "url")
 

@@ -120,6 +120,13 @@ def coverage(crawl: DataFrame, typed_logs: DataFrame) -> DataFrame:
          .alias("ok_ratio"))
 
 
+def coverage_total(per_outlet: DataFrame, name: str = "*") -> DataFrame:
+    """A19 / A20 over all outlets: one row under the outlet ``name``."""
+    g = per_outlet.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("crawled", "scraped_ok", "pending")])
+    return g.select(F.lit(name).alias("medio"), "crawled", "scraped_ok", "pending",
+                    F.try_divide(F.col("scraped_ok").cast("double"), F.col("crawled").cast("double")).alias("ok_ratio"))
+
+
 def missing_urls(crawl: DataFrame, typed_logs: DataFrame) -> DataFrame:
     """J3 row form: crawled URLs of an outlet with no successful scrape."""
     from .metrics import url_status
@@ -135,21 +142,22 @@ def crawl_progress_pct(done, total):
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
-def polled_changes(changes: DataFrame, sums: dict[str, str]) -> DataFrame:
-    """ST9: running totals at the minute polls by which they changed.
+def polled_changes(changes: DataFrame, sums: dict[str, str], step_s: int = 60) -> DataFrame:
+    """ST9: running totals at the polls, one every ``step_s`` seconds, by which they changed.
 
     ``changes`` has (medio, t, <delta columns>). Polls are taken at every whole
-    minute from the outlet's first change (rounded down) to its last; a change at
+    minute (or step) from the outlet's first change (rounded down) to its last; a change at
     exactly a poll's minute is seen by it. A poll is named only if a change fell
     into the minute before it, so the result has at most one row per outlet and
     minute with changes, whatever the number of logs and however long the outlet
     was silent; the windows over it run on that small table.
 
-    Columns: medio, poll, first, last (minutes since 1970), ``sums`` and their deltas.
+    Columns: medio, poll, first, last (minutes or steps since 1970), ``sums`` and their deltas.
     """
+    step = step_s * 1_000_000
     micros = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), F.col("t"))
-    inside = F.pmod(micros, F.lit(60_000_000))
-    down = ((micros - inside) / 60_000_000).cast("long")
+    inside = F.pmod(micros, F.lit(step))
+    down = ((micros - inside) / step).cast("long")
     per_minute = (changes.withColumn("__down", down)
                   .withColumn("poll", F.col("__down") + (inside > 0).cast("long"))
                   .groupBy("medio", "poll")
@@ -162,8 +170,8 @@ def polled_changes(changes: DataFrame, sums: dict[str, str]) -> DataFrame:
         .where("poll <= last"))
 
 
-def _minute(c: Column) -> Column:
-    return format_log_time(F.timestamp_add("MINUTE", c, F.expr(_EPOCH)))
+def _minute(c: Column, step_s: int = 60) -> Column:
+    return format_log_time(F.timestamp_add("SECOND", c * step_s, F.expr(_EPOCH)))
 
 
 def counter_changes(typed_logs: DataFrame) -> DataFrame:
@@ -175,11 +183,11 @@ def counter_changes(typed_logs: DataFrame) -> DataFrame:
         F.coalesce((F.col("status") != "success"), F.lit(True)).cast("long").alias("d_ko"))
 
 
-def dashboard_series(typed_logs: DataFrame) -> DataFrame:
+def dashboard_series(typed_logs: DataFrame, step_s: int = 60) -> DataFrame:
     """W3 / ST9: the chart's points: polls whose (success, errors) changed."""
-    polls = polled_changes(counter_changes(typed_logs), {"exitosos": "d_ok", "fallidos": "d_ko"})
+    polls = polled_changes(counter_changes(typed_logs), {"exitosos": "d_ok", "fallidos": "d_ko"}, step_s)
     return polls.where("d_ok <> 0 OR d_ko <> 0").select(
-        "medio", _minute(F.col("poll")).alias("t"), "exitosos", "fallidos")
+        "medio", _minute(F.col("poll"), step_s).alias("t"), "exitosos", "fallidos")
 
 
 def backlog_deltas(typed_logs: DataFrame) -> DataFrame:

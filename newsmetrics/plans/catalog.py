@@ -817,3 +817,6 @@ def q_active_crawl_outlet(spark, sf_dir):
     prog = P.live_progress(log)
     row = DOC.dashboard_row(prog, DOC.active_outlet(crawl, prog.select("medio")))
     return row.select("medio", "exitosos", "fallidos", prog.agg(F.min("medio")).scalar().alias("fallback"))
+
+
+from . import catalog_outlets  # noqa: E402,F401  registers the queries of that module

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions.jsonfn import CORRUPT, decode
+from ..functions.jsonfn import CORRUPT, decode, decode_reason
 
 
 # ------------------------------------------------------------------ readers
@@ -54,6 +54,18 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType) -> tuple[Data
     return good, bad
 
 
+def decoded_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """S2 / JS2 / ST2 in one pass: the record's fields, and for a bad line its text and the reason.
+
+    ``lines`` has the column value (and others, kept). Good rows have null raw and reason; bad
+    rows have null fields, also where a part of the line could be read.
+    """
+    d = lines.withColumn("__r", decode("value", schema)).withColumn("reason", decode_reason("value", "__r"))
+    keep = [c for c in lines.columns if c != "value"]
+    return d.select(*keep, *[F.when(F.col("reason").isNull(), F.col("__r")[f.name]).alias(f.name) for f in schema.fields],
+                    F.when(F.col("reason").isNotNull(), F.col("value")).alias("raw"), "reason")
+
+
 def read_crawl_csv(spark: SparkSession, path: str) -> DataFrame:
     """Crawl CSV (no header) with its 1-based row number in file order.
 
