@@ -7,7 +7,8 @@ selectors; rule kinds are implemented once in ``operators.extract``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import schemas
 
@@ -107,6 +108,25 @@ PROFILE_G = {
 PROFILES = {"A": PROFILE_A, "B": PROFILE_B, "G": PROFILE_G}
 
 
+#: Outlets up to which their rows are sent to all tasks; a row has a few hundred bytes.
+MAX_BROADCAST_SITES = 20_000
+
+
+def with_outlet(pages: DataFrame, sites: DataFrame, *columns: str) -> DataFrame:
+    """``pages`` (with url) plus host, outlet and ``columns`` of the site whose start page has that host.
+
+    Unknown hosts have a null outlet. Few hosts hold many pages each, so their pages stay where
+    they are while the (counted) sites are few; a longer list is joined by a shuffle, whose hot
+    hosts AQE splits.
+    """
+    def host(c: str) -> Column:
+        return F.lower(F.regexp_extract(c, r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:@]*)", 1))
+
+    known = sites.select(host("start_url").alias("host"), F.col("medio").alias("outlet"), *columns)
+    few = known.limit(MAX_BROADCAST_SITES + 1).count() <= MAX_BROADCAST_SITES
+    return pages.withColumn("host", host("url")).join(F.broadcast(known) if few else known, "host", "left")
+
+
 def sites_df(spark: SparkSession) -> DataFrame:
     """D1/D2 as a DataFrame: a handful of rows, safe to broadcast."""
     return spark.createDataFrame(SITES, schemas.SITE_CONFIG)

@@ -343,9 +343,7 @@ def extract_outlet_pages(pages: DataFrame, sites: DataFrame) -> DataFrame:
     ``sites`` (D1) names a host by its start page. Pages of other hosts keep their host as outlet
     and become errors without being parsed.
     """
-    host = lambda c: F.lower(F.regexp_extract(c, r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:@]*)", 1))
-    known = sites.select(host("start_url").alias("host"), F.col("medio").alias("outlet"), "profile")
-    j = (pages.select("page_id", "url", "html", host("url").alias("host")).join(known, "host", "left")
+    j = (config.with_outlet(pages.select("page_id", "url", "html"), sites, "profile")
          .withColumn("medio", F.coalesce("outlet", "host")))
     asked = j.withColumn("html", F.when(F.col("profile").isNotNull(), F.col("html")))
     done = extract_articles(asked.select("page_id", "url", "medio", "profile", "html"))

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import config
 from ..functions import urls
 from . import extract, windows
 from .progress import crawl_progress_pct
@@ -70,9 +71,7 @@ def outlet_candidates(pages: DataFrame, sites: DataFrame) -> tuple[DataFrame, Da
     however many outlets there are. Pages of unknown hosts and of outlets whose pagination is
     not ``loadmore`` give no links. Second result: one error record per page of an unknown host.
     """
-    host = lambda c: F.lower(F.regexp_extract(c, _HOST_RE, 1))
-    known = sites.select(host("start_url").alias("host"), F.col("medio").alias("outlet"), "category_pattern", "news_pattern", "pagination_type")
-    cp = pages.select("page_id", F.col("url"), "html", host("url").alias("host")).join(known, "host", "left")
+    cp = config.with_outlet(pages.select("page_id", "url", "html"), sites, "category_pattern", "news_pattern", "pagination_type")
     errors = cp.where(F.col("outlet").isNull()).select(
         F.lit("crawler").alias("origen"), F.col("url").alias("arg_medio"), F.lit("crawl_news").alias("etapa"),
         F.lit(extract.UNKNOWN_OUTLET).alias("error_detail"), "page_id")

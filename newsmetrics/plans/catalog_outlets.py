@@ -119,9 +119,8 @@ def q_dashboard_document(spark, sf_dir):
     """All four parts per outlet; the crawl's progress snapshot is kept in a versioned table."""
     cands, _ = K.outlet_candidates(category_pages(spark, sf_dir), sites(spark))
     cands = materialize(cands, "outlet-candidates")
-    names = sites(spark).select(F.regexp_extract("start_url", "//([^/]*)", 1).alias("host"), "medio").where("medio <> 'paginado'")
-    pages = (category_pages(spark, sf_dir).drop("html").withColumn("html", F.lit(None).cast("string"))
-             .withColumn("host", F.regexp_extract("url", "//([^/]*)", 1)).join(names, "host"))
+    pages = (config.with_outlet(category_pages(spark, sf_dir).withColumn("html", F.lit(None).cast("string")), sites(spark))
+             .where("outlet <> 'paginado'").select("page_id", "url", "html", F.col("outlet").alias("medio")))
     snapshot = K.latest_crawl_progress(K.crawl_progress(pages, cands))
     table = VersionedTable(spark, scratch_path(spark, "crawl-progress"), snapshot.schema, ["medio"], buckets=1)
     table.merge(snapshot, last_of_key(["medio"], "categorias_procesadas"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..operators import scrape_log
 from ..session import checkpoint_path
 from ..sources import io
 from ..sources.versioned import VersionedTable, first_of_key, merge_sink
@@ -156,13 +157,38 @@ def counter_table(spark: SparkSession, path: str, buckets: int = 1) -> Versioned
     return VersionedTable(spark, path, COUNTERS, ["medio"], buckets)
 
 
-def count_into(table: VersionedTable, logs: DataFrame, resets: DataFrame, epoch: int) -> None:
+def count_into(table: VersionedTable, logs: DataFrame, resets: DataFrame, epoch: int, keep: int = 2) -> None:
     """K7 / K8: add one micro-batch to the running counters, once. Rows within a batch are in order of
-    their seq; batches come in order."""
+    their seq; batches come in order. ``keep`` versions stay readable."""
     if table.version()["notes"].get("epoch", -1) >= epoch:
         return
     table.merge(counted(logs, resets).checkpoint(), add_counters, {"epoch": epoch})
-    table.vacuum()
+    table.vacuum(keep)
+
+
+#: A record of the log stream with this status restarts its outlet's counters.
+RESET = "reset_progress"
+
+
+def start_feed(logs: DataFrame, table: VersionedTable, name: str, interval: str = "1 second", keep: int = 10,
+               available_now: bool = False):
+    """ST9 / ST7: publish the counters of a stream of raw logs (D8) every ``interval``.
+
+    Each trigger with records makes one version of ``table``: a whole snapshot of all outlets, which
+    readers take by its number; the last ``keep`` snapshots stay. Records of status ``RESET`` are
+    markers and count as no article.
+    """
+    def publish(batch: DataFrame, epoch: int) -> None:
+        marker = F.coalesce(F.col("status") == RESET, F.lit(False))
+        batch = batch.persist()
+        try:
+            resets = batch.where(marker).select("medio", F.col("arrival_seq").alias("seq"))
+            count_into(table, scrape_log.typed(batch.where(~marker)), resets, epoch, keep)
+        finally:
+            batch.unpersist()
+
+    w = logs.writeStream.option("checkpointLocation", checkpoint_path(table.spark, f"{name}/ckpt")).foreachBatch(publish)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)).start()
 
 
 def progress_snapshot(counters: DataFrame) -> DataFrame:

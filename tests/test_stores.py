@@ -157,3 +157,42 @@ def test_counters_restart_after_a_reset(spark):
     snap = {r["medio"]: r for r in stores.progress_snapshot(table.read()).collect()}
     assert snap["otro"]["ultima_actualizacion"] == "" and snap["otro"]["articulos_por_minuto"] == 0.0
     assert snap["latercera"]["articulos_por_minuto"] > 0
+
+
+def test_feed_publishes_whole_snapshots(spark):
+    """One file per second of the log: the versions are the one-second series, whatever a reader takes meanwhile."""
+    from newsmetrics.operators import progress as P
+    tmp = tempfile.mkdtemp(prefix="nm-feed-")
+    fields = [f.name for f in schemas.SCRAPE_LOG_RAW.fields]
+    logs = D.scrape_log(spark, SF_SMALL).where("arrival_seq < 40 AND starting_time <> ''").select(fields)
+    seconds = sorted({r["starting_time"] for r in logs.collect()})
+    for k, second in enumerate(seconds):
+        logs.where(F.col("starting_time") == second).coalesce(1).write.json(os.path.join(tmp, "in", f"s{k:03d}"))
+        for f in os.listdir(os.path.join(tmp, "in", f"s{k:03d}")):
+            os.utime(os.path.join(tmp, "in", f"s{k:03d}", f), (10 ** 9 + k, 10 ** 9 + k))  # the order of reading
+    table = stores.counter_table(spark, os.path.join(tmp, "table"))
+    stream = spark.readStream.schema(schemas.SCRAPE_LOG_RAW).option("maxFilesPerTrigger", 1).json(os.path.join(tmp, "in", "*"))
+    q = stores.start_feed(stream, table, os.path.basename(tmp), keep=1000, available_now=True)
+    taken = []
+    while q.isActive:
+        v = table.version()
+        taken.append((v["version"], sum(r["exitosos"] + r["fallidos"] for r in table.read(v).collect())))
+    q.awaitTermination(300)
+    assert all(n == v for v, n in taken) and len(taken) > 3  # one log a second here: version v holds v logs
+    series = P.dashboard_series(L.typed(logs), step_s=1).orderBy("t").collect()
+    assert table.version()["version"] == len(seconds) == len(series)
+    for k, point in enumerate(series):
+        seen = {r["medio"]: r for r in table.read(table.version(k + 1)).collect()}[point["medio"]]
+        assert (seen["exitosos"], seen["fallidos"]) == (point["exitosos"], point["fallidos"])
+
+
+def test_feed_restarts_at_a_marker(spark):
+    tmp = tempfile.mkdtemp(prefix="nm-feed-")
+    row = {f.name: None for f in schemas.SCRAPE_LOG_RAW.fields}
+    rows_ = [{**row, "arrival_seq": i, "medio": "m", "url": f"u{i}", "status": s, "starting_time": "2025-01-01 00:00:00"}
+             for i, s in enumerate(["success", "error", stores.RESET, "success"])]
+    spark.createDataFrame(rows_, schemas.SCRAPE_LOG_RAW).coalesce(1).write.json(os.path.join(tmp, "in"))
+    table = stores.counter_table(spark, os.path.join(tmp, "table"))
+    stores.start_feed(spark.readStream.schema(schemas.SCRAPE_LOG_RAW).json(os.path.join(tmp, "in")), table,
+                      os.path.basename(tmp), available_now=True).awaitTermination(300)
+    assert [(r["exitosos"], r["fallidos"], r["reset_seq"]) for r in table.read().collect()] == [(1, 0, 2)]
