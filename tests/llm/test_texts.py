@@ -182,13 +182,13 @@ def filler(n, seed):
 
 def test_reparameterised_questions_are_found(spark, make_docs):
     other = ITEM.replace("Maria", "Jonas").replace("12", "57").replace(" 3 ", " 8 ").replace("km", "miles").replace("4", "9")
-    broken = ITEM.replace("buys 12", "buys 5").replace("does Maria", "does Peter")  # one slot, two values
+    broken = ITEM.replace("buys 12", "buys 5").replace("does Maria", "does Peter")  # one slot, two values: its other windows remain
     rows = [(0, filler(40, 1) + ". " + ITEM + ". " + filler(30, 2)), (1, filler(10, 3) + ". " + other),
             (2, filler(90, 4)), (3, " ".join(ITEM.split()[:7]) + " " + filler(40, 5)), (4, ITEM), (4, ITEM), (5, broken)]
     found = decontaminate.contaminated(make_docs(rows), items_of(spark, [(7, ITEM), (8, None), (9, ""), (10, filler(30, 9))]))
-    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(0, 7), (1, 7), (4, 7)}
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(0, 7), (1, 7), (4, 7), (5, 7)}
     big = decontaminate.contaminated(make_docs(rows), items_of(spark, [(7, ITEM)]), max_broadcast=0)
-    assert {(r["doc_id"], r["item_id"]) for r in big.collect()} == {(0, 7), (1, 7), (4, 7)}
+    assert {(r["doc_id"], r["item_id"]) for r in big.collect()} == {(0, 7), (1, 7), (4, 7), (5, 7)}
 
 
 def test_a_conflicting_slot_costs_its_windows_only(spark, make_docs):
