@@ -390,7 +390,8 @@ FROM missed"""
 
 @register("X9_X11_page_bodies", _BODY_SQL)
 def q_page_bodies(spark, sf_dir):
-    """X2/X9/X11/STR9: full article bodies; an unclosed <p> holds what follows it."""
+    """X11/STR9 (profile G): full article bodies; an unclosed <p> holds what follows it. X2 and X9 occur in
+    ``J6_X13_X14_outlet_articles``."""
     return _page_articles(spark, sf_dir).select(
         "page_id", "cuerpo", F.array_join("missing", ",").alias("missing"), "error")
 
@@ -819,4 +820,4 @@ def q_active_crawl_outlet(spark, sf_dir):
     return row.select("medio", "exitosos", "fallidos", prog.agg(F.min("medio")).scalar().alias("fallback"))
 
 
-from . import catalog_outlets  # noqa: E402,F401  registers the queries of that module
+from . import catalog_outlets, catalog_streams  # noqa: E402,F401  they register their queries

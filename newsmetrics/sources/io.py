@@ -147,6 +147,7 @@ def export_snapshot(rows: DataFrame, path: str, key: str = "medio") -> None:
     aggregated per outlet (a handful of rows), never raw data.
     """
     vals = [c for c in rows.columns if c != key]
+    by_key = lambda a, b: F.when(a[key] < b[key], -1).when(a[key] > b[key], 1).otherwise(0)  # noqa: E731  maps have no order
     obj = rows.agg(F.map_from_entries(F.array_sort(F.collect_list(
-        F.struct(F.col(key), F.struct(*vals))))).alias("m"))
+        F.struct(F.col(key), F.struct(*vals).alias("v"))), by_key)).alias("m"))
     obj.select(F.to_json("m").alias("value")).coalesce(1).write.mode("overwrite").text(path)
