@@ -22,8 +22,9 @@ differences to the group's consensus (the n-grams that half of it hold): two set
 overlap in the consensus less what either lacks, plus what both lack or both have
 beyond it. If the sizes alone suffice, both are linked to the member nearest the
 consensus; else they must share differences, and are joined on their rarest ones. So a
-group of near copies costs its differences, not its pairs. Only sets of different groups
-that still meet are paired one by one.
+group of near copies costs its differences, not its pairs. Where more than CROWD sets of
+several groups still meet under one signature, these groups are united and settled in the same way. Only
+sets of different groups that meet under less crowded signatures are paired one by one.
 
 Defined results: null text counts as empty; rows without words have no n-grams
 and are linked with nothing; a null id takes no part in links and keeps a null
@@ -50,6 +51,7 @@ POSTED = 64  # segments that a set posts per size class
 SHARED = 3  # of which linked sets share at least so many, if there are more fragments
 CLASS_STEP = 1.4  # ratio of neighbouring size classes
 GROUPINGS = 2  # rounds of grouping around components
+CROWD = 32  # sets under one signature up to which those of different groups are paired one by one
 COARSE = 4  # fragments in which overlaps are counted
 BROADCAST_NODES = 300_000  # 40 bytes each
 SETS = "doc_id long, n long, hi long, lo long, posts array<long>, needs array<int>"
@@ -309,18 +311,30 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, keyed:
         links = materialize(links.unionAll(links_in_groups(member, parts, links, percent)), "jaccard-group-links")
         groups.append(member.select("node", F.col("group").alias(f"group{number}")))
 
-    # 3: what still meets across groups and components
+    # 3: what still meets across groups and components. Under a crowded signature no pairs are made:
+    # its groups are united and settled as one; pairs that share none have all their signatures elsewhere
     label = components(links)
     named = with_label(met, label, "node", "label").select("post", "need", "node", "n", "label")
-    open_posts = (named.groupBy("post").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-                  .where("low <> high").select("post"))
     settled = [f"group{k}" for k in range(GROUPINGS)]
     for g, name in zip(groups, settled):
         named = named.join(g, "node", "left").withColumn(name, F.coalesce(name, -1 - F.col("node")))
-    named = materialize(named.join(open_posts, "post", "left_semi").distinct(), "jaccard-open")
-    other = named.select("post", *(F.col(c).alias(f"{c}_b") for c in ("need", "node", "n", "label", *settled)))
+    named = materialize(named.distinct(), "jaccard-met-named")
+    several = reduce(lambda x, y: x & y, (F.col(f"{c}_low") != F.col(f"{c}_high") for c in ("label", *settled)))
+    last = settled[-1]
+    open_posts = materialize(
+        named.groupBy("post").agg(F.count("*").alias("crowd"), *(f(c).alias(f"{c}_{end}") for c in ("label", *settled)
+                                                                for f, end in ((F.min, "low"), (F.max, "high"))))
+        .where(several).select("post", "crowd", F.col(f"{last}_low").alias("first")), "jaccard-open-posts")
+    named = materialize(named.join(open_posts, "post"), "jaccard-open")
+    few, many = named.where(F.col("crowd") <= CROWD), named.where(F.col("crowd") > CROWD)
+    united = components(many.select(F.col("first").alias("a"), F.col(last).alias("b")).distinct())
+    crowds = materialize(
+        many.select("node", F.col("label").alias("own"), last).distinct()
+        .join(united.select(F.col("node").alias(last), F.col("label").alias("group")), last)
+        .select("node", F.col("own").alias("label"), "group"), "jaccard-crowds")
+    other = few.select("post", *(F.col(c).alias(f"{c}_b") for c in ("need", "node", "n", "label", *settled)))
     apart = reduce(lambda x, y: x & y, (F.col(g) != F.col(f"{g}_b") for g in settled))
-    rest = (named.join(other, "post")
+    rest = (few.join(other, "post")
             .where((F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b"))
                    & apart
                    & (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")))
@@ -328,7 +342,9 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, keyed:
             .agg(F.count("*").alias("times"), F.max(F.greatest("need", "need_b")).alias("need"))
             .where("times >= need").select("a", "b").distinct())
     rest = materialize(rest.join(star, ["a", "b"], "left_anti"), "jaccard-rest")
-    more = linked(rest, parts_of(rest, docs, nodes, size), percent)
+    asked = rest.unionAll(crowds.select(F.col("node").alias("a"), F.col("node").alias("b")))
+    parts = parts_of(asked, docs, nodes, size)
+    more = linked(rest, parts, percent).unionAll(links_in_groups(crowds, parts, links, percent))
     label = components(materialize(links.unionAll(more), "jaccard-all-links"))
 
     named = nodes.join(label, "node", "left").select(

@@ -67,6 +67,27 @@ def test_components_like_brute_force(make_docs):
     assert sum(c != d for d, _, c in got) > 20
 
 
+def test_crowded_signatures_give_the_same(make_docs, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "CROWD", 1)
+    rows = [(1000 * s + i, t) for s in (4, 5) for i, t in near_copies(s)]
+    assert found_components(make_docs(rows)) == brute_components(rows)
+    assert found_components(make_docs(rows), size=5, percent=80) == brute_components(rows, 5, 80)
+
+
+def test_many_unlinked_short_texts_with_a_frequent_passage(make_docs):
+    """Signatures that thousands of texts share cost no pairs; the few links among them are found."""
+    rng = random.Random(11)
+    passage = " ".join(f"p{k}" for k in range(30))
+    texts = [passage + " " + " ".join(f"u{i}-{k}" for k in range(14)) for i in range(2000)]
+    texts += [texts[7] + " end", texts[7] + " fin end", texts[1500].replace("u1500-3", "changed")]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    want = brute_components([r for r in rows if any(x in r[1] for x in ("u7-", "u1500-"))])
+    got = {d: c for d, _, c in found_components(make_docs(rows))}
+    assert {d: c for d, _, c in want}.items() <= got.items()
+    assert sum(d != c for d, c in got.items()) == sum(d != c for d, _, c in want) >= 2
+
+
 def test_components_at_another_threshold(make_docs):
     rows = near_copies(9, groups=5)
     assert found_components(make_docs(rows), size=5, percent=80) == brute_components(rows, 5, 80)
