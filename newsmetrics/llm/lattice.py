@@ -20,7 +20,10 @@ Passes over the corpus:
 
 So no text is shuffled, and no table of the corpus' words goes through one place.
 
-Defined results: null text counts as empty (one end, no words); null ids are
+Words of LONG letters or more (texts in scripts without blanks) are worked through by themselves, in
+chunks of positions, in time and memory linear in their length.
+
+Defined results: null text counts as empty (one end, no words); whole texts count, however long; null ids are
 training rows (the text '' has crc32 0, so they are held out); repeated rows count and
 are scored each; without training documents N and V are 0 and the base score is
 minus infinity's finite stand-in log10(0.1 / 0.1); other columns are ignored; an
@@ -46,7 +49,11 @@ FOLDS, HELD = 10, 0
 ZIPF_SHIFT = 2.7
 ROUNDS = 1  # forward-backward passes over the training words
 PRIOR = 1000.0  # pseudo-count of the first weights
-CELLS = 250_000  # letters of words of one length that are worked through together
+CELLS = 60_000  # letters of words of one length that are worked through together
+LONG = 4096  # letters from which on a word is worked through by itself, in chunks
+CHUNK = 1 << 16  # positions of such a chunk
+ROWS = 256  # documents whose texts are held at once
+BYTES = 16 << 20  # text after which the training words seen so far are worked through
 START = "▁"  # how the vocabulary marks a word's begin
 BLOCKS = ("block long, doc_id long, held boolean, n_tokens long, score double, at array<int>, "
           "times array<int>, hash long, own long")
@@ -125,41 +132,119 @@ class Lattice:
             weight[0][missing] = np.array(spelled)[which]
         return arcs, weight
 
-    @staticmethod
-    def _forward(weight: list[np.ndarray], n: int) -> list[np.ndarray]:
-        alpha = [np.zeros(len(weight[0]))]
+    def _forward(self, weight: list[np.ndarray], n: int) -> Iterator[np.ndarray]:
+        """The logs of the sums over all paths to position 0, 1, ... n, one array each."""
+        last = [np.zeros(len(weight[0]))]  # those that an arc can still start from, the nearest first
+        yield last[0]
         for j in range(1, n + 1):
-            terms = [alpha[j - size] + weight[size - 1][:, j - size] for size in range(1, min(len(weight), j) + 1)]
-            alpha.append(np.logaddexp.reduce(terms, axis=0))
-        return alpha
+            terms = [last[size - 1] + weight[size - 1][:, j - size] for size in range(1, min(len(weight), j) + 1)]
+            last.insert(0, np.logaddexp.reduce(terms, axis=0))
+            del last[len(weight):]
+            yield last[0]
+
+    def _chunks(self, letters: np.ndarray) -> Iterator[tuple[int, list[np.ndarray], list[np.ndarray]]]:
+        """(first start, arcs, weights) of one long word: the arcs whose start lies in the chunk."""
+        n = letters.shape[1]
+        for low in range(0, n, CHUNK):
+            part = letters[:, low:min(n, low + CHUNK + self.pieces.longest - 1)]
+            arcs, weight = self._weights(part)
+            yield low, [a[0, :CHUNK] for a in arcs], [w[0, :CHUNK] for w in weight]
+
+    @staticmethod
+    def _scan(chunks: Iterator[tuple[int, list[np.ndarray]]], n: int) -> np.ndarray:
+        """Logs of the sums over all paths to each position of one word, whose arcs come by their starts.
+
+        Sums are kept as plain numbers relative to a running scale; only existing arcs are followed.
+        """
+        out, scale = np.full(n + 1, -np.inf), 0.0
+        ahead: dict[int, float] = {0: 1.0}  # sums at positions that some arc has reached
+        for low, weight in chunks:
+            starts, ends, factors = [], [], []
+            for size, w in enumerate(weight, 1):
+                at = np.flatnonzero(np.isfinite(w))
+                starts.append(at), ends.append(at + size), factors.append(np.exp(w[at]))
+            start = np.concatenate(starts)
+            order = np.argsort(start, kind="stable")
+            cut = np.searchsorted(start[order], np.arange(len(weight[0]) + 1)).tolist()
+            end, factor = (np.concatenate(ends)[order] + low).tolist(), np.concatenate(factors)[order].tolist()
+            for i in range(len(weight[0])):
+                here = ahead.pop(low + i, 0.0)
+                if not here:
+                    continue
+                out[low + i] = scale + np.log(here)
+                if here < 1e-100:
+                    ahead = {k: v / here for k, v in ahead.items()}
+                    scale += float(np.log(here))
+                    here = 1.0
+                for k in range(cut[i], cut[i + 1]):
+                    ahead[end[k]] = ahead.get(end[k], 0.0) + here * factor[k]
+        out[n] = scale + np.log(ahead[n])
+        return out
+
+    def _long_forward(self, letters: np.ndarray) -> np.ndarray:
+        return self._scan(((low, w) for low, _, w in self._chunks(letters)), letters.shape[1])
+
+    def _long_backward(self, letters: np.ndarray) -> np.ndarray:
+        """Logs of the sums over all paths from each position to the end: a scan of the reversed arcs."""
+        n, longest = letters.shape[1], self.pieces.longest
+
+        def mirrored() -> Iterator[tuple[int, list[np.ndarray]]]:
+            for low in range(0, n, CHUNK):
+                base = max(0, n - low - CHUNK - longest + 1)
+                _, weight = self._weights(letters[:, base:n - low])
+                starts = np.arange(low, min(n, low + CHUNK))  # of reversed arcs: n less the arc's end
+                out = []
+                for size, w in enumerate(weight, 1):
+                    at = n - size - base - starts
+                    out.append(np.where(at >= 0, w[0, np.maximum(at, 0)], -np.inf))
+                yield low, out
+
+        return self._scan(mirrored(), n)[::-1]
 
     def log_probability(self, found: list[bytes]) -> np.ndarray:
         """Natural log of the sum over all segmentations, per word."""
         out = np.zeros(len(found))
         for rows, letters in self._groups(found) if found else ():
+            if letters.shape[1] >= LONG:
+                out[rows] = [self._long_forward(letters[k:k + 1])[-1] for k in range(len(rows))]
+                continue
             _, weight = self._weights(letters)
-            out[rows] = self._forward(weight, letters.shape[1])[-1]
+            for out[rows] in self._forward(weight, letters.shape[1]):
+                pass
         return out
 
     def expected(self, found: list[bytes], times: np.ndarray) -> np.ndarray:
         """Expected uses of every piece over all segmentations of words seen ``times``."""
         total = np.zeros(len(self.weight))
         for rows, letters in self._groups(found) if found else ():
+            if letters.shape[1] >= LONG:
+                for k, row in enumerate(rows.tolist()):
+                    one = letters[k:k + 1]
+                    alpha, beta = self._long_forward(one)[:, None], self._long_backward(one)[:, None]
+                    for low, arcs, weight in self._chunks(one):
+                        self._add_uses(total, one[:, low:], [a[None] for a in arcs], [w[None] for w in weight],
+                                       alpha[low:], beta[low:], alpha[-1], times[row:row + 1])
+                continue
             n, (arcs, weight) = letters.shape[1], self._weights(letters)
-            alpha = self._forward(weight, n)
-            beta = [np.zeros(len(rows))]
-            for i in range(n - 1, -1, -1):  # beta[k]: from position n - k to the end
-                terms = [weight[size - 1][:, i] + beta[n - i - size] for size in range(1, min(len(weight), n - i) + 1)]
-                beta.append(np.logaddexp.reduce(terms, axis=0))
-            for size, (arc, w) in enumerate(zip(arcs, weight), 1):
-                for i in range(n - size + 1):
-                    p = times[rows] * np.exp(alpha[i] + w[:, i] + beta[n - i - size] - alpha[n])
-                    total += np.bincount(arc[:, i], p, len(total))
-                    if size == 1:
-                        for k in np.flatnonzero(arc[:, i] == self.pieces.none):
-                            np.add.at(total, self.pieces.bytes_at[list(_spelled(int(letters[k, i])))], p[k])
+            alpha = np.stack(list(self._forward(weight, n)))
+            mirrored = [w[:, ::-1] for w in weight]
+            beta = np.stack(list(self._forward(mirrored, n)))[::-1]
+            self._add_uses(total, letters, arcs, weight, alpha, beta, alpha[n], times[rows])
         return total[:-1]
 
+    def _add_uses(self, total: np.ndarray, letters: np.ndarray, arcs: list[np.ndarray], weight: list[np.ndarray],
+                  alpha: np.ndarray, beta: np.ndarray, whole: np.ndarray, times: np.ndarray) -> None:
+        """Add the expected uses of the arcs; ``alpha`` and ``beta`` are (position, word)."""
+        for size, (arc, w) in enumerate(zip(arcs, weight), 1):
+            k = arc.shape[1]
+            if not k:
+                continue
+            p = times * np.exp(alpha[:k] + w.T + beta[size:size + k] - whole)
+            total += np.bincount(arc.T.ravel(), p.ravel(), len(total))
+            if size == 1:
+                for i, row in zip(*np.nonzero(arc.T == self.pieces.none)):
+                    np.add.at(total, self.pieces.bytes_at[list(_spelled(int(letters[row, i])))], p[i, row])
+
 
 def first_weights(vocabulary: str) -> tuple[list[str], list[int], np.ndarray]:
     """Pieces, the pieces of the 256 bytes, and Zipf weights by descending score."""
@@ -178,14 +263,26 @@ def expected_pieces(docs: DataFrame, pieces: Pieces, log_weight: np.ndarray) ->
     """Expected piece counts over the training documents, and their number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(pieces, log_weight)
+        seen, size, sums, ends = Counter(), 0, np.zeros(len(log_weight)), 0
+
+        def work_through() -> None:
+            nonlocal size, sums
+            sums += lattice.expected(list(seen), np.fromiter(seen.values(), float, len(seen)))
+            seen.clear()
+            size = 0
+
         for b in batches:
-            seen = Counter()
-            for t in texts(b):
-                seen.update(words(t))
-            sums = lattice.expected(list(seen), np.fromiter(seen.values(), float, len(seen)))
-            k = np.flatnonzero(sums)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(k, -1)), pa.array(np.append(sums[k], len(b)))], ["piece", "uses"])
+            for part in (b.slice(k, ROWS) for k in range(0, len(b), ROWS)):
+                ends += len(part)
+                for t in texts(part):
+                    seen.update(words(t))
+                    size += len(t)
+                    if size >= BYTES:
+                        work_through()
+        work_through()
+        k = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(k, -1)), pa.array(np.append(sums[k], ends))], ["piece", "uses"])
 
     training = docs.where(~fold("doc_id", FOLDS, HELD)).select("text")
     rows = (training.mapInArrow(run, "piece long, uses double")
@@ -219,11 +316,12 @@ def blocks(docs: DataFrame, pieces: Pieces, log_weight: np.ndarray, log_end: flo
         for number, b in enumerate(batches):
             place: dict[bytes, int] = {}
             at, times, count = [], [], []
-            for t in texts(b):
-                own = Counter(words(t))
-                at.append(np.fromiter((place.setdefault(w, len(place)) for w in own), np.int32, len(own)))
-                times.append(np.fromiter(own.values(), np.int32, len(own)))
-                count.append(int(times[-1].sum()) + 1)
+            for part in (b.slice(k, ROWS) for k in range(0, len(b), ROWS)):
+                for t in texts(part):
+                    own = Counter(words(t))
+                    at.append(np.fromiter((place.setdefault(w, len(place)) for w in own), np.int32, len(own)))
+                    times.append(np.fromiter(own.values(), np.int32, len(own)))
+                    count.append(int(times[-1].sum()) + 1)
             known = list(place)
             log_p = lattice.log_probability(known)
             held = b.column("held").to_pylist()

@@ -46,6 +46,33 @@ def test_lattice_sums_all_segmentations(small_lattice):
     assert made.log_probability([]).shape == (0,)
 
 
+def test_long_words_like_short_ones(small_lattice, monkeypatch):
+    names, weight, made = small_lattice
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcxé日"), n)).encode() for n in (5, 17, 40, 41, 90)]
+    times = np.array([1.0, 2, 3, 1, 5])
+    want, uses = made.log_probability(words), made.expected(words, times)
+    for chunk in (3, 7, 64):
+        monkeypatch.setattr(lattice, "LONG", 10)
+        monkeypatch.setattr(lattice, "CHUNK", chunk)
+        assert np.allclose(made.log_probability(words), want)
+        assert np.allclose(made.expected(words, times), uses)
+
+
+def test_a_word_of_a_million_letters_takes_seconds():
+    import time
+    names, byte_at, log_weight = lattice.first_weights(lattice.default_vocabulary())
+    made = lattice.Lattice(lattice.Pieces(names, byte_at), log_weight)
+    word = ("thequickbrownfoxjumps" * 48_000)[:1_000_000].encode()
+    start = time.perf_counter()
+    one = made.log_probability([word])[0]
+    assert time.perf_counter() - start < 60
+    half = made.log_probability([word[:500_000]])[0]
+    assert np.isfinite(one) and abs(one / half - 2) < 0.001
+    uses = made.expected([word[:50_000]], np.array([1.0]))
+    assert np.isfinite(uses).all() and 5_000 < uses.sum() < 50_000
+
+
 def test_expected_uses_are_the_gradient(small_lattice):
     names, weight, made = small_lattice
     words, times = [b"abcab", "bé中".encode(), b"cabc"], np.array([2.0, 1.0, 3.0])
