@@ -2,18 +2,20 @@
 
 1. Terms. From a bounded sample of labelled rows, whole words and stems (word
    beginnings), present at all or as at least a hundredth of a text's words, whose
-   documents are toxic with a Wilson bound over one half.
+   documents are toxic with a Wilson bound over one half. All of them are taken.
 2. Voters. The terms are dealt to LEXICON voters, each firing when a document
    holds one of its terms; pattern voters fire on several different terms, on a
    share of hits, on shouting and on exclamation. Spark counts, over all
-   documents, how often each combination of votes occurs: at most
-   2 ** (LEXICON + 4) rows.
+   documents, how often each combination of votes occurs, and sums the features
+   of its documents: at most 2 ** (LEXICON + 4) combinations.
 3. Label model. A generative model of these counts: a class share, each voter's
    firing rate per class (its accuracy), and a tree of the strongest
    class-conditional correlations, along which a voter depends on another. It is
    fitted by expectation-maximisation; the sample's labels are fixed in it.
-4. Classifier. Logistic regression over term presence, votes and shares, fitted to
-   the posterior labels of a bounded sample, then calibrated on the labelled one.
+4. Classifier. Logistic regression over term presence, votes and shares (terms hashed
+   to SLOTS places), fitted to the posterior labels of all documents, each combination
+   of votes standing with the mean of its documents' features, then calibrated on
+   the labelled sample.
 
 Defined results: null text counts as empty; several labels of one id count as
 their majority (a tie as 1), null labels are ignored; without labelled rows or
@@ -37,8 +39,8 @@ from newsmetrics.llm.common import fold, table, texts
 
 FOLDS, HELD = 3, 1
 THRESHOLD = 0.7
-MAX_TRAIN_ROWS = 20_000  # bound of the labelled sample and of the posterior one
-TERMS = 64
+MAX_TRAIN_ROWS = 20_000  # bound of the labelled sample
+SLOTS = 64  # places of the classifier's term features
 STEMS = range(3, 8)  # lengths of word beginnings
 DENSE = 0.01
 LEXICON = 10
@@ -93,24 +95,32 @@ class Lexicon:
                 times[found] += n
                 hits += n
         present = (times > 0) & (times >= self.least * len(words))
+        place = np.arange(self.size) % SLOTS
+        slots, parts = np.zeros(self.slots), np.zeros(self.slots)
+        slots[place[present]] = 1
+        np.add.at(parts, place, times)
         share = hits / max(len(words), 1)
         upper = sum(map(str.isupper, text)) / max(len(text), 1)
         votes = np.zeros(VOTERS)
         votes[np.flatnonzero(present) % LEXICON] = 1
         votes[LEXICON:] = [present.sum() >= 2, share >= 0.01, upper >= 0.3, text.count("!") >= 0.01 * len(text) > 0]
-        return np.concatenate((present, votes, 100 * np.minimum(times / max(len(words), 1), 0.05),
+        return np.concatenate((slots, votes, 100 * np.minimum(parts / max(len(words), 1), 0.05),
                                [np.log1p(hits), np.log1p(100 * share)]))
 
+    @property
+    def slots(self) -> int:
+        return min(self.size, SLOTS)
+
     @property
     def width(self) -> int:
-        return 2 * self.size + VOTERS + 2
+        return 2 * self.slots + VOTERS + 2
 
     def matrix(self, found: list[str]) -> np.ndarray:
         return np.array([self.features(t) for t in found]).reshape(len(found), self.width)
 
     def cells(self, x: np.ndarray) -> np.ndarray:
         """Number of each row's combination of votes."""
-        return x[:, self.size:self.size + VOTERS].astype(np.int64) @ (1 << np.arange(VOTERS))
+        return x[:, self.slots:self.slots + VOTERS].astype(np.int64) @ (1 << np.arange(VOTERS))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
@@ -123,7 +133,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFr
 
 
 def find_terms(sample: DataFrame) -> list[tuple[str, float]]:
-    """At most TERMS terms with the share (0 or DENSE) of a text's words that they must reach."""
+    """Terms with the share (0 or DENSE) of a text's words that they must reach; their number is bounded by the sample's words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             toxic, seen = Counter(), Counter()
@@ -151,16 +161,21 @@ def find_terms(sample: DataFrame) -> list[tuple[str, float]]:
     least = max(5, whole["seen"] // 2000)
     good = sums.where((F.col("term") != "") & (F.col("toxic") >= least) & (bound >= 0.5))
     worth = F.col("toxic") - 2 * (n - F.col("toxic"))
-    rows = good.orderBy(F.desc(worth), F.desc(F.length("term")), "term", "least").limit(64 * TERMS).collect()
-    chosen: list[tuple[str, float]] = []
+    rows = good.orderBy(F.desc(worth), F.desc(F.length("term")), "term", "least").collect()
+    longer: dict[tuple[str, float], list] = {}  # rows by each of their term's beginnings
+    for x in rows:
+        for k in range(min(STEMS), len(x["term"]) + 1):
+            longer.setdefault((x["term"][:k], x["least"]), []).append(x)
+    chosen: dict[str, float] = {}
+    begun: set[str] = set()  # beginnings of chosen terms
     for r in rows:  # a term that begins a chosen one, or that one begins with, adds nothing
         # the longest form that keeps nearly all of the support says most
-        r = max((x for x in rows if x["term"].startswith(r["term"]) and x["least"] == r["least"]
-                 and x["toxic"] >= 0.95 * r["toxic"]), key=lambda x: len(x["term"]))
+        r = max((x for x in longer.get((r["term"], r["least"]), [r]) if x["toxic"] >= 0.95 * r["toxic"]), key=lambda x: len(x["term"]))
         t = r["term"]
-        if len(chosen) < TERMS and not any(t.startswith(c) or c.startswith(t) for c, _ in chosen):
-            chosen.append((t, r["least"]))
-    return chosen
+        if t not in begun and not any(t[:k] in chosen for k in range(1, len(t) + 1)):
+            chosen[t] = r["least"]
+            begun.update(t[:k] for k in range(1, len(t) + 1))
+    return list(chosen.items())
 
 
 class LabelModel:
@@ -228,16 +243,17 @@ class LabelModel:
         return 1 / (1 + np.exp(np.clip(log[:, 0] - log[:, 1], -700, 700)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
-    """Weights (the intercept last) by Newton steps on soft labels."""
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float, times: np.ndarray | None = None) -> np.ndarray:
+    """Weights (the intercept last) by Newton steps on soft labels of rows that count ``times``."""
+    times = np.ones(len(x)) if times is None else times
     x = np.hstack([x, np.ones((len(x), 1))])
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-6
     w = np.zeros(x.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = np.maximum(p * (1 - p), 1e-6)
-        w += np.linalg.solve((x * h[:, None]).T @ x + np.diag(penalty), x.T @ (y - p) - penalty * w)
+        h = times * np.maximum(p * (1 - p), 1e-6)
+        w += np.linalg.solve((x * h[:, None]).T @ x + np.diag(penalty), x.T @ (times * (y - p)) - penalty * w)
     return w
 
 
@@ -251,6 +267,29 @@ def _counted(docs: DataFrame, lexicon: Lexicon, names: list[str]) -> DataFrame:
     return docs.mapInArrow(run, ", ".join(["cell long", *(f"{n} int" for n in names)])).groupBy("cell", *names).count()
 
 
+def summed(docs: DataFrame, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Combinations of votes over all documents, ascending: their cells, numbers and sums of features.
+
+    Sums are added up per batch, then by Spark; feature -1 is the number of documents.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = lexicon.matrix(texts(b))
+            cells, which = np.unique(lexicon.cells(x), return_inverse=True)
+            sums = np.zeros((len(cells), lexicon.width + 1))
+            np.add.at(sums, which, np.hstack([np.ones((len(x), 1)), x]))
+            row, col = np.nonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(cells[row]), pa.array(col - 1), pa.array(sums[row, col])], ["cell", "feature", "s"])
+
+    rows = (docs.select("text").mapInArrow(run, "cell long, feature long, s double")
+            .groupBy("cell", "feature").agg(F.sum("s").alias("s")).toArrow())  # at most the combinations times the width
+    cell, feature, value = (rows.column(c).to_numpy() for c in ("cell", "feature", "s"))
+    cells, which = np.unique(cell, return_inverse=True)
+    sums = np.zeros((len(cells), lexicon.width + 1))
+    sums[which, feature + 1] = value
+    return cells, sums[:, 0], sums[:, 1:]
+
+
 def _matrix(docs: DataFrame, lexicon: Lexicon, name: str) -> tuple[np.ndarray, np.ndarray]:
     """Features and the column ``name`` of a bounded sample."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,23 +323,14 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) ->
     share = sample.agg(F.avg("y").alias("y")).first()["y"]
     if not lexicon.size:
         return Model(lexicon, None, 0.5 if share is None else float(share))
-    votes = _counted(docs.select("text"), lexicon, []).collect()
-    cells = np.array(sorted(r["cell"] for r in votes), np.int64)
-    weight = {r["cell"]: r["count"] for r in votes}
+    cells, times, sums = summed(docs, lexicon)
     known = np.zeros((len(cells), 2))
     for r in _counted(sample.select("text", "y"), lexicon, ["y"]).collect():
         known[np.searchsorted(cells, r["cell"]), r["y"]] = r["count"]
-    model = LabelModel(cells, np.array([weight[c] for c in cells.tolist()], float), known)
-
-    key = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
-    open_rows = docs.where(~fold("doc_id", FOLDS, HELD)).select("text", key.alias("h"))
-    chosen = open_rows.select("h").distinct().orderBy("h").limit(max_rows)
-    picked = (open_rows.join(F.broadcast(chosen), "h").dropDuplicates(["h"])
-              .select("text", F.lit(0).alias("y")))
-    x, _ = _matrix(picked, lexicon, "y")
-    soft = np.array([model.answer.get(c, 0.5) for c in lexicon.cells(x).tolist()])
+    model = LabelModel(cells, times, known)
+    soft = np.array([model.answer[c] for c in cells.tolist()])
+    w = logistic(sums / times[:, None], soft, 1.0, times)
     known_x, known_y = _matrix(sample.select("text", "y"), lexicon, "y")
-    w = logistic(x, soft, 1.0)
     # calibration: slope and intercept on the labelled sample
     line = logistic((known_x @ w[:-1] + w[-1])[:, None], known_y, 1e-3)
     if line[0] > 0:
