@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from newsmetrics.session import scratch_path
+
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -49,6 +51,22 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+class Workspace:
+    """Tables of one step in a folder of their own, which goes when the step's result has been written."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path = spark, scratch_path(spark, name)
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.path}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def empty_like(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 

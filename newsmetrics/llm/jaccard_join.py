@@ -23,8 +23,9 @@ overlap in the consensus less what either lacks, plus what both lack or both hav
 beyond it. If the sizes alone suffice, both are linked to the member nearest the
 consensus; else they must share differences, and are joined on their rarest ones. So a
 group of near copies costs its differences, not its pairs. Where more than CROWD sets of
-several groups still meet under one signature, these groups are united and settled in the same way. Only
-sets of different groups that meet under less crowded signatures are paired one by one.
+several groups still meet under one signature, all of them become members of the group that prevails there,
+besides their own, and are settled in the same way. Only sets of different groups that meet under less crowded
+signatures are paired one by one.
 
 Defined results: null text counts as empty; rows without words have no n-grams
 and are linked with nothing; a null id takes no part in links and keeps a null
@@ -42,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsmetrics.llm.common import mix, table, texts
+from newsmetrics.llm.common import Workspace, mix, table, texts
 from newsmetrics.llm.graph import components
 from newsmetrics.llm.shingles import window_hashes, word_hashes
 from newsmetrics.session import materialize
@@ -216,19 +217,23 @@ def grouped(met: DataFrame, ends: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def links_in_groups(members: DataFrame, parts: DataFrame, links: DataFrame, percent: int) -> DataFrame:
-    """All links between different components inside the groups of ``members`` (group, node, label)."""
+    """All links between different components inside the groups of ``members`` (group, node, label).
+
+    A node may be a member of several groups. The step's tables go when its links are written.
+    """
+    step = Workspace(members.sparkSession, "jaccard-step")
     size = members.groupBy("group").agg(F.count("*").alias("size"), F.count_if(F.col("label") != F.col("group"))
                                         .alias("apart")).where("apart > 0")
-    rows = materialize(members.join(size, "group").join(parts.dropDuplicates(["node", "fragment"]), "node"),
+    rows = step.write(members.join(size, "group").join(parts.dropDuplicates(["node", "fragment"]), "node"),
                        "jaccard-members")
     counted = (rows.select("group", "size", "fragment", F.explode("segment").alias("gram"))
                .groupBy("group", "fragment", "gram", "size").count().where("2 * count >= size"))
-    counted = materialize(counted, "jaccard-consensus")
+    counted = step.write(counted, "jaccard-consensus")
     consensus = counted.groupBy("group", "fragment").agg(F.collect_list("gram").alias("common"))
     whole = counted.groupBy("group").agg(F.count("*").alias("whole"))
     none = F.array().cast("array<bigint>")
     common = F.coalesce("common", none)
-    apart = materialize(
+    apart = step.write(
         rows.join(consensus, ["group", "fragment"], "left")
         .select("group", "node", "n", F.array_except(common, F.col("segment")).alias("gone"),
                 F.array_except(F.col("segment"), common).alias("extra")), "jaccard-apart")
@@ -236,12 +241,11 @@ def links_in_groups(members: DataFrame, parts: DataFrame, links: DataFrame, perc
     # e(x) + e(y) <= (100 - percent) * whole + (100 + percent) * shared differences
     total = (apart.groupBy("group", "node").agg(F.sum(F.size("gone")).alias("gone"), F.sum(F.size("extra")).alias("extra"))
              .join(whole, "group", "left")
-             .select("group", "node", (F.col("gone") + F.col("extra")).alias("differences"),
-                     (100 * F.col("gone") + percent * F.col("extra")).alias("e"),
+             .select("group", "node", (100 * F.col("gone") + percent * F.col("extra")).alias("e"),
                      ((100 - percent) * F.coalesce("whole", F.lit(0))).alias("free")))
-    total = materialize(total, "jaccard-totals")
+    total = step.write(total, "jaccard-totals")
     best = total.groupBy("group").agg(F.min_by("node", F.struct("e", "node")).alias("best"), F.min("e").alias("least"))
-    sure = materialize(total.join(best, "group").where("node <> best AND e + least <= free")
+    sure = step.write(total.join(best, "group").where("node <> best AND e + least <= free")
                        .select(F.col("best").alias("a"), F.col("node").alias("b")), "jaccard-sure")
 
     # e(y) >= percent * shared, so x is linked beyond that only with sets that share at least
@@ -250,17 +254,20 @@ def links_in_groups(members: DataFrame, parts: DataFrame, links: DataFrame, perc
     kinds = F.concat(F.transform("gone", lambda g: F.struct(g.alias("gram"), F.lit(0).alias("kind"))),
                      F.transform("extra", lambda g: F.struct(g.alias("gram"), F.lit(1).alias("kind"))))
     key = ["group", "gram", "kind"]
-    grams = materialize(with_label(
+    grams = step.write(with_label(
         apart.select("group", "node", F.explode(kinds).alias("g")).select("group", "node", "g.gram", "g.kind"),
         label, "node", "label"), "jaccard-differences")
-    seen = materialize(grams.groupBy(key).agg(F.count("*").alias("seen"), F.min("label").alias("low"),
+    seen = step.write(grams.groupBy(key).agg(F.count("*").alias("seen"), F.min("label").alias("low"),
                                               F.max("label").alias("high")), "jaccard-seen")
-    order = Window.partitionBy("group", "node").orderBy("seen", "gram", "kind")
+    # only differences that a set of another component has too can be shared; a set that has too few is done
+    member = Window.partitionBy("group", "node")
     least = F.greatest(F.ceil((F.col("e") - F.col("free")) / 100), F.lit(1))
-    rare = (grams.join(seen, key).withColumn("place", F.row_number().over(order)).join(total, ["group", "node"])
-            .where((F.col("place") <= F.col("differences") - least + 1) & (F.col("low") != F.col("high")))
+    rare = (grams.join(seen.where("low <> high").select(*key, "seen"), key)
+            .withColumn("place", F.row_number().over(member.orderBy("seen", "gram", "kind")))
+            .withColumn("differences", F.count("*").over(member)).join(total, ["group", "node"])
+            .where(F.col("place") <= F.col("differences") - least + 1)
             .select(*key, "node", "label", "place", "e", "differences", "free"))
-    rare = materialize(rare, "jaccard-rare")
+    rare = step.write(rare, "jaccard-rare")
     own = ("node", "label", "place", "e", "differences")
     other = rare.select(*key, *(F.col(c).alias(f"{c}_b") for c in own))
     asked = F.col("e") + F.col("e_b") - F.col("free")
@@ -272,7 +279,9 @@ def links_in_groups(members: DataFrame, parts: DataFrame, links: DataFrame, perc
     pairs = (met.groupBy(F.col("node").alias("a"), F.col("node_b").alias("b"), "e", "e_b", "differences", "differences_b",
                          "free").agg(F.count("*").alias("shared"), F.max("place").alias("at"), F.max("place_b").alias("at_b"))
              .where((100 + percent) * (F.col("shared") + left) >= asked).select("a", "b").distinct())
-    return sure.unionAll(linked(materialize(pairs, "jaccard-group-pairs"), parts, percent))
+    found = materialize(sure.unionAll(linked(step.write(pairs, "jaccard-group-pairs"), parts, percent)), "jaccard-in-groups")
+    step.drop()
+    return found
 
 
 def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, keyed: bool = False) -> DataFrame:
@@ -311,27 +320,26 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, keyed:
         links = materialize(links.unionAll(links_in_groups(member, parts, links, percent)), "jaccard-group-links")
         groups.append(member.select("node", F.col("group").alias(f"group{number}")))
 
-    # 3: what still meets across groups and components. Under a crowded signature no pairs are made:
-    # its groups are united and settled as one; pairs that share none have all their signatures elsewhere
+    # 3: what still meets across groups and components. Under a crowded signature no pairs are made: all
+    # its sets are members, some once more, of the group that prevails there, and settled by its consensus
     label = components(links)
     named = with_label(met, label, "node", "label").select("post", "need", "node", "n", "label")
     settled = [f"group{k}" for k in range(GROUPINGS)]
     for g, name in zip(groups, settled):
         named = named.join(g, "node", "left").withColumn(name, F.coalesce(name, -1 - F.col("node")))
-    named = materialize(named.distinct(), "jaccard-met-named")
+    step = Workspace(docs.sparkSession, "jaccard-rest")
+    named = step.write(named.distinct(), "named")
     several = reduce(lambda x, y: x & y, (F.col(f"{c}_low") != F.col(f"{c}_high") for c in ("label", *settled)))
     last = settled[-1]
-    open_posts = materialize(
+    open_posts = step.write(
         named.groupBy("post").agg(F.count("*").alias("crowd"), *(f(c).alias(f"{c}_{end}") for c in ("label", *settled)
                                                                 for f, end in ((F.min, "low"), (F.max, "high"))))
-        .where(several).select("post", "crowd", F.col(f"{last}_low").alias("first")), "jaccard-open-posts")
-    named = materialize(named.join(open_posts, "post"), "jaccard-open")
+        .where(several).select("post", "crowd"), "open-posts")
+    named = step.write(named.join(open_posts, "post"), "open")
     few, many = named.where(F.col("crowd") <= CROWD), named.where(F.col("crowd") > CROWD)
-    united = components(many.select(F.col("first").alias("a"), F.col(last).alias("b")).distinct())
-    crowds = materialize(
-        many.select("node", F.col("label").alias("own"), last).distinct()
-        .join(united.select(F.col("node").alias(last), F.col("label").alias("group")), last)
-        .select("node", F.col("own").alias("label"), "group"), "jaccard-crowds")
+    prevails = step.write(many.groupBy("post", last).count().groupBy("post")
+                          .agg(F.max_by(last, F.struct("count", -F.col(last))).alias("group")), "prevails")
+    crowds = step.write(many.join(prevails, "post").select("group", "node", "label").distinct(), "crowds")
     other = few.select("post", *(F.col(c).alias(f"{c}_b") for c in ("need", "node", "n", "label", *settled)))
     apart = reduce(lambda x, y: x & y, (F.col(g) != F.col(f"{g}_b") for g in settled))
     rest = (few.join(other, "post")
@@ -341,10 +349,11 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, keyed:
             .groupBy(F.col("node").alias("a"), F.col("node_b").alias("b"), F.col("post").bitwiseAND(255).alias("tag"))
             .agg(F.count("*").alias("times"), F.max(F.greatest("need", "need_b")).alias("need"))
             .where("times >= need").select("a", "b").distinct())
-    rest = materialize(rest.join(star, ["a", "b"], "left_anti"), "jaccard-rest")
+    rest = step.write(rest.join(star, ["a", "b"], "left_anti"), "rest")
     asked = rest.unionAll(crowds.select(F.col("node").alias("a"), F.col("node").alias("b")))
     parts = parts_of(asked, docs, nodes, size)
-    more = linked(rest, parts, percent).unionAll(links_in_groups(crowds, parts, links, percent))
+    more = materialize(linked(rest, parts, percent).unionAll(links_in_groups(crowds, parts, links, percent)), "jaccard-more")
+    step.drop()
     label = components(materialize(links.unionAll(more), "jaccard-all-links"))
 
     named = nodes.join(label, "node", "left").select(
