@@ -13,7 +13,7 @@ Decoding emits the labels of the arcs.
 
 Defined results: null and empty texts have no tokens; the special token's string
 in a text becomes its id, as the tokenizers library has it; rows stay as they
-are, one result each; other columns are ignored; an empty table gives no rows.
+are, one result each; texts are coded in whole, however long; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations

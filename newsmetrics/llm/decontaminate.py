@@ -21,8 +21,8 @@ takes part in the shuffled join. Both ways give the same rows.
 Defined results: null and empty texts hold nothing, and null or empty items are
 held by nothing; an item shorter than WINDOW is one window of either sort; repeated documents
 and items get rows of their own per (doc_id, item_id), merged when both ids are
-equal; rows with null doc_id are reported under a null id; other columns are
-ignored; an empty table on either side gives no rows.
+equal; rows with null doc_id are reported under a null id; texts of any length are searched in
+whole, in blocks; other columns are ignored; an empty table on either side gives no rows.
 """
 
 from __future__ import annotations

@@ -29,8 +29,9 @@ signatures are paired one by one.
 
 Defined results: null text counts as empty; rows without words have no n-grams
 and are linked with nothing; a null id takes no part in links and keeps a null
-component; repeated rows get one row each; other columns are ignored; an empty
-table gives no rows.
+component; repeated rows get one row each; two texts of one id are sets of their own, and
+links do not pass from one to the other through the id; texts of any length give their whole set;
+other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ brute force the recall is measured in tests/llm and stated in the README.
 Defined results: rows with null id, null vector, null or non-finite components,
 or only zeros take no part, nor do vectors of another length than the most
 frequent one (the smaller of equally frequent ones); rows that repeat id and
-vector count once; fewer candidates than K give fewer rows; other columns are
+vector count once; different vectors of one id are candidates of their own, but no query finds its own id;
+ties go to the smaller id; fewer candidates than K give fewer rows; other columns are
 ignored; an empty table gives no rows.
 """
 

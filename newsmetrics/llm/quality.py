@@ -7,7 +7,7 @@ sample of labelled rows and travel to the tasks as flat arrays.
 Defined results: a null text counts as empty and still gets a score; documents
 without label are scored alike; several labels of one id count as their
 majority (a tie as 1), null labels are ignored; without usable labels the score
-is 0.5 for all; an empty table gives no rows. Rows are neither merged nor
+is 0.5 for all; texts of any length are read in whole; an empty table gives no rows. Rows are neither merged nor
 dropped, and other columns of the input are ignored.
 """
 

@@ -19,7 +19,8 @@ of one anchor in a text form a run.
 
 Defined results: null text counts as empty; texts shorter than SPAN keep all;
 rows that repeat count as copies of each other and get a row each; null ids stay;
-other columns are ignored; an empty table gives no rows.
+texts of any length take part in whole, cut at no place; other columns are ignored; an empty
+table gives no rows.
 """
 
 from __future__ import annotations

@@ -20,7 +20,7 @@
 Defined results: null text counts as empty; several labels of one id count as
 their majority (a tie as 1), null labels are ignored; without labelled rows or
 terms the score is 0.5 or the label share for all; repeated rows get a row each;
-other columns are ignored; an empty table gives no rows.
+texts of any length are read in whole; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
