@@ -10,7 +10,8 @@ next stage. All but the last stage return the columns they got.
 4 redact         personal data becomes [EMAIL], [IP], [CARD], [PHONE]
 5 encode         token counts and digests of ids and decoded text, one row per document
 
-Defined results: empty tables pass through; rows with null ids are kept by the
+Defined results: empty tables pass through; null and empty texts are scored as empty, are copies of nothing, hold
+no item and get no tokens; texts of any length go through in whole; rows with null ids are kept by the
 stages that compare ids; rows that repeat id and text are kept once by stage 2;
 extra columns are carried along until the last stage.
 """
