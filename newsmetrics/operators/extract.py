@@ -13,7 +13,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,7 @@ from .. import config, schemas
 from ..functions import dates, text
 from . import html as H
 
+SLICE_BYTES, SLICE_PAGES = 1 << 20, 1_000  # of HTML that a task works on at a time
 ATTRIBUTES = ("datetime", "src", "data-src", "data-lazy-src", "style")
 _NUMBERS = ("pick", "number", "last", "begin", "end")
 HITS = T.ArrayType(T.StructType(
@@ -75,9 +78,26 @@ def own_text_selectors(profile: dict) -> frozenset[int]:
     return frozenset(place.index(s) for kind, *groups in rules_of(profile) if kind == "own_text_first" for g in groups for s in g)
 
 
+def _page_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in slices of about SLICE_BYTES of HTML, or one page.
+
+    What the parser finds takes many times a page's bytes, so a task holds the finds of one slice and not of a batch.
+    """
+    for b in batches:
+        sizes = pc.fill_null(pc.binary_length(b.column("html")), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        at = 0
+        while at < b.num_rows:
+            before = ends[at - 1] if at else 0
+            end = min(int(np.searchsorted(ends, before + SLICE_BYTES, "right")), at + SLICE_PAGES)
+            end = min(max(end, at + 1), b.num_rows)
+            yield b.slice(at, end - at)
+            at = end
+
+
 def _hit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     wanted = {name: (selectors_of(p), own_text_selectors(p)) for name, p in config.PROFILES.items()}
-    for b in batches:
+    for b in _page_slices(batches):
         rows: list[tuple] = []
         for profile, html in zip(b.column("profile").to_pylist(), b.column("html").to_pylist()):
             try:
@@ -92,7 +112,7 @@ def _hit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in _page_slices(batches):
         rows: list[tuple] = []
         for html in b.column("html").to_pylist():
             try:

@@ -185,3 +185,17 @@ def test_article_records(spark):
     out = tempfile.mkdtemp(prefix="nm-art-")
     io.write_articles(X.article_a(X.extract_articles(pages), outlet=True), out)
     assert [r.medio for r in spark.read.json(out).collect()] == ["biobiochile"]
+
+
+def test_the_html_step_holds_a_slice_of_a_batch():
+    import pyarrow as pa
+    page = "<div class='post-main'><div class='post-content'>" + "<p>Uno &amp; dos</p>" * 2_000 + "</div></div>"
+    pages = [page] * 90 + [None, ""] + [page * 40] + ["<h1>x</h1>"] * 5_000
+    batch = pa.RecordBatch.from_pydict({"page_id": list(range(len(pages))), "profile": ["A"] * len(pages), "html": pages})
+    for step, kept in ((X._hit_batches, "hits"), (X._anchor_batches, "hrefs")):
+        out = list(step(iter([batch])))
+        assert [i for b in out for i in b.column("page_id").to_pylist()] == list(range(len(pages)))
+        assert all(kept in b.schema.names and (b.num_rows == 1 or sum(len(pages[i] or "") for i in b.column("page_id").to_pylist()) <= 1 << 20)
+                   for b in out)
+        assert len(out) > 5 and max(b.num_rows for b in out) <= 1_000
+    assert list(X._hit_batches(iter([batch.slice(0, 0)]))) == []
