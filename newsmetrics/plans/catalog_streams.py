@@ -119,7 +119,7 @@ def q_closing_stream(spark, sf_dir):
     told = m.select("id_logging_process", F.col("sent").alias("t"), F.lit("sent").alias("kind"), "action").unionByName(
         m.where("handled IS NOT NULL").select("id_logging_process", F.col("handled").alias("t"), F.lit("handled").alias("kind"), "action"))
     folder, out = scratch_path(spark, "queue-events"), scratch_path(spark, "closings")
-    told.repartitionByRange(3, "t").write.parquet(folder)
+    told.write.parquet(folder)
     events = spark.readStream.schema(told.schema).parquet(folder)  # one micro-batch: files of a folder have no order
     _drained(closing.start_closing(events, out, out.rsplit("/", 1)[1], delay="1 hour"))
     return spark.read.schema(closing.RECORD).parquet(out)

@@ -3,7 +3,8 @@
 The source tells of each message twice, when it enters a queue and when it has been handled; rows
 are (id_logging_process, t, kind 'sent' / 'handled', action). State per batch: the number of
 waiting messages, the last handling, the handled end_batch_received, and the changes that
-the watermark has not passed yet, summed up per instant. A change counts only once the watermark
+the watermark has not passed yet, summed up per instant and packed into blocks: state is asked
+once per block of changes and not once per change. A change counts only once the watermark
 has passed its instant, so records may arrive in any order within the watermark's delay and
 the outcome equals ``control.batch_closings`` up to the watermark. State per batch is a few
 numbers and the changes of one delay; a closed batch keeps its closing instant only.
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +27,22 @@ from ..session import checkpoint_path
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 RECORD = "id_logging_process long, action string, timestamp string, reason string"
 PROGRESS = "waiting long, last long, ended long, emptied long, closed long"  # instants in microseconds, -1: none
+#: What happens at an instant (microseconds): messages that come less those handled, whether one, an end, is handled.
+CHANGE = np.dtype([("t", "<i8"), ("waiting", "<i8"), ("handled", "?"), ("ended", "?")])
+BLOCK = 10_000  # changes in a block of state
+
+
+def summed(changes: np.ndarray) -> np.ndarray:
+    """One change per instant, in order of time."""
+    t, first = np.unique(np.sort(changes["t"]), return_index=True)
+    out = np.zeros(len(t), CHANGE)
+    if len(t):
+        changes = changes[np.argsort(changes["t"], kind="stable")]
+        out["t"] = t
+        out["waiting"] = np.add.reduceat(changes["waiting"], first)
+        for flag in ("handled", "ended"):
+            out[flag] = np.logical_or.reduceat(changes[flag], first)
+    return out
 
 
 class BatchCloser(StatefulProcessor):
@@ -36,7 +54,7 @@ class BatchCloser(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.progress = handle.getValueState("progress", PROGRESS)
-        self.pending = handle.getMapState("pending", "t long", "waiting long, handled boolean, ended boolean")
+        self.pending = handle.getListState("pending", "changes binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         progress = self._load()
@@ -46,16 +64,23 @@ class BatchCloser(StatefulProcessor):
             micros = chunk["t"].astype("datetime64[us]").astype("int64")
             handled = chunk["kind"] == "handled"
             ended = handled & (chunk["action"] == "end_batch_received")
-            changes = pd.DataFrame({"t": micros, "w": 1 - 2 * handled.astype(int), "h": handled, "e": ended})
-            for t, c in changes.groupby("t"):
-                old = self.pending.getValue((int(t),)) if self.pending.containsKey((int(t),)) else (0, False, False)
-                self.pending.updateValue((int(t),), (int(c["w"].sum()) + old[0], bool(c["h"].any()) or bool(old[1]),
-                                                     bool(c["e"].any()) or bool(old[2])))
+            changes = np.zeros(len(chunk), CHANGE)
+            changes["t"], changes["waiting"] = micros, 1 - 2 * handled.astype(int)
+            changes["handled"], changes["ended"] = handled, ended
+            self._keep(summed(changes))
         yield from self._advance(key, progress, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         yield from self._advance(key, self._load(), timerValues)
 
+    def _keep(self, changes: np.ndarray) -> None:
+        for at in range(0, len(changes), BLOCK):
+            self.pending.appendValue((changes[at:at + BLOCK].tobytes(),))
+
+    def _pending(self) -> np.ndarray:
+        blocks = [np.frombuffer(bytes(block), CHANGE) for (block,) in self.pending.get()]
+        return summed(np.concatenate(blocks)) if blocks else np.zeros(0, CHANGE)
+
     def _load(self) -> dict[str, int]:
         names = [c.split()[0] for c in PROGRESS.split(", ")]
         return dict(zip(names, self.progress.get() if self.progress.exists() else (0, -1, -1, -1, -1)))
@@ -73,21 +98,21 @@ class BatchCloser(StatefulProcessor):
         if p["closed"] >= 0:
             return
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        instants = sorted(int(t[0]) for t in self.pending.keys())
-        for t in instants:
+        changes = self._pending()
+        done = 0
+        for t, waiting, handled, ended in changes[:np.searchsorted(changes["t"], passed, "right")].tolist():
             closes = self._closes(p)
-            if t > passed or (closes is not None and closes < t):
+            if closes is not None and closes < t:
                 break
-            waiting, handled, ended = self.pending.getValue((t,))
-            self.pending.removeKey((t,))
+            done += 1
             before = p["waiting"]
-            p["waiting"] += int(waiting)
+            p["waiting"] += waiting
             p["last"] = t if handled else p["last"]
             p["ended"] = t if ended and p["ended"] < 0 else p["ended"]
             if p["waiting"] == 0 and (before or p["emptied"] < 0):
                 p["emptied"] = t
         closes = self._closes(p)
-        left = sorted(int(t[0]) for t in self.pending.keys())
+        left = changes["t"][done:done + 1].tolist()
         if closes is not None and closes <= passed and not (left and left[0] <= closes):
             p["closed"] = closes
             self.pending.clear()
@@ -96,7 +121,10 @@ class BatchCloser(StatefulProcessor):
             yield pd.DataFrame({"id_logging_process": [int(key[0])], "action": ["end_batch_completed"],
                                 "timestamp": [stamp], "reason": [reason]})
         else:
-            wake = min([*left[:1], *([closes] if closes is not None else [])], default=None)
+            if done:
+                self.pending.clear()
+                self._keep(changes[done:])
+            wake = min([*left, *([closes] if closes is not None else [])], default=None)
             if wake is not None:  # timers count milliseconds: the first one not before the instant
                 self.handle.registerTimer(max(-(-wake // 1000), passed // 1000 + 1))
         self.progress.update(tuple(p.values()))

@@ -4,6 +4,8 @@ import random
 import tempfile
 from datetime import datetime, timedelta
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from newsmetrics.operators import control as C
@@ -111,6 +113,52 @@ def test_stream_equals_table(spark):
     assert want.count() > 30
 
 
+class CountedState:
+    """List, map and value state of one key that counts how often it is asked."""
+
+    def __init__(self):
+        self.asked, self.lists, self.maps, self.value, self.timers = 0, {}, {}, None, []
+
+    def getValueState(self, *_):
+        return self
+
+    getListState = getMapState = getValueState
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def __getattribute__(self, name):
+        calls = {"exists": lambda s: s.value is not None, "update": lambda s, v: setattr(s, "value", v),
+                 "appendValue": lambda s, v: s.lists.setdefault("x", []).append(v), "clear": lambda s: s.lists.clear(),
+                 "get": lambda s: s.value if s.value is not None and not s.lists else iter(s.lists.get("x", [])),
+                 "containsKey": lambda s, k: k in s.maps, "getValue": lambda s, k: s.maps[k],
+                 "updateValue": lambda s, k, v: s.maps.update({k: v}), "removeKey": lambda s, k: s.maps.pop(k),
+                 "keys": lambda s: iter(list(s.maps))}
+        if name not in calls:
+            return object.__getattribute__(self, name)
+        self.asked += 1
+        return lambda *a: calls[name](self, *a)
+
+
+def test_stream_asks_its_state_per_block_and_not_per_change():
+    state, n = CountedState(), 5_000
+    closer = closing.BatchCloser()
+    closer.init(state)
+    sent = pd.DataFrame({"t": pd.to_datetime([T0 + timedelta(milliseconds=7 * k) for k in range(n)]), "kind": "sent", "action": None})
+    handled = sent.assign(t=sent["t"] + pd.Timedelta(milliseconds=3), kind="handled")
+    both = pd.concat([handled, sent]).sample(frac=1, random_state=1)
+    early = type("Timer", (), {"getCurrentWatermarkInMs": lambda self: 0})()
+    assert list(closer.handleInputRows((5,), iter([both[:6_000], both[6_000:]]), early)) == []
+    assert state.asked < 20 and len(state.timers) == 1
+
+
+def test_changes_are_summed_per_instant():
+    changes = np.array([(5, -1, True, False), (3, 1, False, False), (5, 1, False, False), (5, -1, True, True), (3, 1, False, False)],
+                       closing.CHANGE)
+    assert closing.summed(changes).tolist() == [(3, 2, False, False), (5, -1, True, True)]
+    assert closing.summed(changes[:0]).tolist() == []
+
+
 def test_lifecycle_of_derived_batches(spark):
     m = D.queue_messages(spark, "/root/testdata/sf0.01")
     life = C.closed_lifecycle(m, C.batch_closings(m, m.agg(F.max("sent")).scalar()))
