@@ -192,10 +192,10 @@ def linked(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
             .select("a", "b"))
 
 
-def parts_of(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """The coarse segments of the sets in ``pairs``."""
+def parts_of(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, step: Workspace) -> DataFrame:
+    """The coarse segments of the sets in ``pairs``, among the tables of ``step``."""
     ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    return materialize(segments(docs, materialize(nodes.join(ends, "node"), "jaccard-ends"), size), "jaccard-segments")
+    return step.write(segments(docs, step.write(nodes.join(ends, "node"), "jaccard-ends"), size), "jaccard-segments")
 
 
 def with_label(rows: DataFrame, label: DataFrame, node: str, name: str) -> DataFrame:
@@ -208,13 +208,29 @@ def with_label(rows: DataFrame, label: DataFrame, node: str, name: str) -> DataF
 def grouped(met: DataFrame, ends: DataFrame, label: DataFrame) -> DataFrame:
     """node, label and group of the nodes in ``ends``: the component, among those that
     prevail under the node's signatures, which prevails under most."""
-    named = with_label(met.select("post", "node"), label, "node", "label")
-    named = materialize(named, "jaccard-named")
-    prevails = materialize(named.groupBy("post", "label").count().groupBy("post")
-                           .agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("group")), "jaccard-prevails")
+    step = Workspace(met.sparkSession, "jaccard-grouping")
+    named = step.write(with_label(met.select("post", "node"), label, "node", "label"), "jaccard-named")
+    prevails = step.write(named.groupBy("post", "label").count().groupBy("post")
+                          .agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("group")), "jaccard-prevails")
     times = named.join(prevails, "post").groupBy("node", "label", "group").count()
-    return (times.groupBy("node", "label")
-            .agg(F.max_by("group", F.struct("count", -F.col("group"))).alias("group")).join(ends, "node"))
+    found = materialize(times.groupBy("node", "label")
+                        .agg(F.max_by("group", F.struct("count", -F.col("group"))).alias("group")).join(ends, "node"),
+                        "jaccard-groups")
+    step.drop()
+    return found
+
+
+def met_by_differences(rare: DataFrame, percent: int) -> tuple[DataFrame, Column]:
+    """Pairs of ``rare`` rows of different components by the differences that both have, and (100 + percent) times
+    what a pair must share to be linked.
+
+    A pair that must share k differences meets before the last k - 1 of either.
+    """
+    other = rare.select("group", "gram", "kind", *(F.col(c).alias(f"{c}_b") for c in ("node", "label", "place", "e", "differences")))
+    asked = F.col("e") + F.col("e_b") - F.col("free")
+    after = F.least(F.col("differences") - F.col("place"), F.col("differences_b") - F.col("place_b"))
+    return rare.join(other, ["group", "gram", "kind"]).where(
+        (F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b")) & ((100 + percent) * (after + 1) >= asked)), asked
 
 
 def links_in_groups(members: DataFrame, parts: DataFrame, links: DataFrame, percent: int) -> DataFrame:
@@ -249,8 +265,9 @@ def links_in_groups(members: DataFrame, parts: DataFrame, links: DataFrame, perc
     sure = step.write(total.join(best, "group").where("node <> best AND e + least <= free")
                        .select(F.col("best").alias("a"), F.col("node").alias("b")), "jaccard-sure")
 
-    # e(y) >= percent * shared, so x is linked beyond that only with sets that share at least
-    # (e(x) - free) / 100 of its differences; hence its rarest ones suffice to meet them
+    # e(y) >= percent * shared and e(y) >= least, so x is linked beyond that only with sets that share at
+    # least (e(x) - free) / 100 and (e(x) + least - free) / (100 + percent) of its differences; hence its
+    # rarest ones suffice to meet them
     label = components(links.unionAll(sure))
     kinds = F.concat(F.transform("gone", lambda g: F.struct(g.alias("gram"), F.lit(0).alias("kind"))),
                      F.transform("extra", lambda g: F.struct(g.alias("gram"), F.lit(1).alias("kind"))))
@@ -262,19 +279,16 @@ def links_in_groups(members: DataFrame, parts: DataFrame, links: DataFrame, perc
                                               F.max("label").alias("high")), "jaccard-seen")
     # only differences that a set of another component has too can be shared; a set that has too few is done
     member = Window.partitionBy("group", "node")
-    least = F.greatest(F.ceil((F.col("e") - F.col("free")) / 100), F.lit(1))
+    least = F.greatest(F.ceil((F.col("e") - F.col("free")) / 100),
+                       F.ceil((F.col("e") + F.col("least") - F.col("free")) / (100 + percent)), F.lit(1))
+    total = total.join(best.select("group", "least"), "group")
     rare = (grams.join(seen.where("low <> high").select(*key, "seen"), key)
             .withColumn("place", F.row_number().over(member.orderBy("seen", "gram", "kind")))
             .withColumn("differences", F.count("*").over(member)).join(total, ["group", "node"])
             .where(F.col("place") <= F.col("differences") - least + 1)
             .select(*key, "node", "label", "place", "e", "differences", "free"))
     rare = step.write(rare, "jaccard-rare")
-    own = ("node", "label", "place", "e", "differences")
-    other = rare.select(*key, *(F.col(c).alias(f"{c}_b") for c in own))
-    asked = F.col("e") + F.col("e_b") - F.col("free")
-    met = (rare.join(other, key)
-           .where((F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b"))
-                  & ((100 + percent) * F.least("differences", "differences_b") >= asked)))
+    met, asked = met_by_differences(rare, percent)
     # beyond the last rare difference that they share, neither can share more than it has left
     left = F.least(F.col("differences") - F.col("at"), F.col("differences_b") - F.col("at_b"))
     pairs = (met.groupBy(F.col("node").alias("a"), F.col("node_b").alias("b"), "e", "e_b", "differences", "differences_b",
@@ -287,21 +301,25 @@ def links_in_groups(members: DataFrame, parts: DataFrame, links: DataFrame, perc
 
 def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, keyed: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id and, if ``keyed``, text_key for every row of ``docs``."""
-    sets = materialize(shingle_sets(docs, size, percent, keyed), "jaccard-sets")
     extra = ["text_key"] if keyed else []
+    # sets and posts are large, and go when all signatures that several sets have are written
+    step = Workspace(docs.sparkSession, "jaccard-posted")
+    sets = step.write(shingle_sets(docs, size, percent, keyed), "jaccard-sets")
+    ids = materialize(sets.select("doc_id", "n", "hi", "lo", *extra), "jaccard-ids")
     nodes = materialize(
-        sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("hi", "lo")
+        ids.where("n > 0 AND doc_id IS NOT NULL").groupBy("hi", "lo")
         .agg(F.min("doc_id").alias("doc_id")).withColumn("node", F.monotonically_increasing_id()),
         "jaccard-nodes")
-    posts = materialize(
+    posts = step.write(
         sets.join(nodes, ["hi", "lo", "doc_id"])
         .select("node", "n", F.explode(F.arrays_zip("posts", "needs")).alias("p"))
         .select("node", "n", F.col("p.posts").alias("post"), F.col("p.needs").alias("need")), "jaccard-posts")
     # aggregates are written before they are joined, so that AQE can split the partitions of a
     # frequent key: it does so for joins of plain shuffles only
-    shared = materialize(posts.groupBy("post").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-                         .where("hub <> last").select("post", "hub"), "jaccard-shared")
+    shared = step.write(posts.groupBy("post").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
+                        .where("hub <> last").select("post", "hub"), "jaccard-shared")
     met = materialize(posts.join(shared, "post"), "jaccard-met")
+    step.drop()
 
     # 1: every set against the hub it meets most often
     star = (met.where("node <> hub").groupBy("hub", "node", "need").agg(F.count("*").alias("times"))
@@ -309,7 +327,8 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, keyed:
             .agg(F.max_by("hub", F.struct("times", -F.col("hub"))).alias("hub"))
             .select(F.col("hub").alias("a"), F.col("node").alias("b")))
     star = materialize(star, "jaccard-star")
-    parts = parts_of(star, docs, nodes, size)
+    step = Workspace(docs.sparkSession, "jaccard-starred")
+    parts = parts_of(star, docs, nodes, size, step)
     links = materialize(linked(star, parts, percent), "jaccard-links")
 
     # 2: inside the groups around prevailing components
@@ -317,9 +336,10 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, keyed:
     groups = []
     for number in range(GROUPINGS):
         label = components(links)
-        member = materialize(grouped(met, ends, label), "jaccard-groups")
+        member = grouped(met, ends, label)
         links = materialize(links.unionAll(links_in_groups(member, parts, links, percent)), "jaccard-group-links")
         groups.append(member.select("node", F.col("group").alias(f"group{number}")))
+    step.drop()
 
     # 3: what still meets across groups and components. Under a crowded signature no pairs are made: all
     # its sets are members, some once more, of the group that prevails there, and settled by its consensus
@@ -352,7 +372,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, keyed:
             .where("times >= need").select("a", "b").distinct())
     rest = step.write(rest.join(star, ["a", "b"], "left_anti"), "rest")
     asked = rest.unionAll(crowds.select(F.col("node").alias("a"), F.col("node").alias("b")))
-    parts = parts_of(asked, docs, nodes, size)
+    parts = parts_of(asked, docs, nodes, size, step)
     more = materialize(linked(rest, parts, percent).unionAll(links_in_groups(crowds, parts, links, percent)), "jaccard-more")
     step.drop()
     label = components(materialize(links.unionAll(more), "jaccard-all-links"))
@@ -361,7 +381,6 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, keyed:
         "hi", "lo", "doc_id", F.coalesce("label", "node").alias("label"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     classes = named.join(least, "label").select("hi", "lo", "component_id")
-    ids = sets.select("doc_id", "n", "hi", "lo", *extra)
     return (ids.join(classes, ["hi", "lo"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id")))

@@ -1,11 +1,12 @@
 """Operators 1 and 7 against brute force."""
 import hashlib
+import itertools
 import random
 import re
 
 import numpy as np
 
-from newsmetrics.llm import jaccard_join, suffix_dedup
+from newsmetrics.llm import common, jaccard_join, suffix_dedup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -42,6 +43,20 @@ def found_components(df, **kw):
     return sorted((tuple(r) for r in jaccard_join.jaccard_components(df, **kw).collect()), key=str)
 
 
+def session_at(root):
+    """scratch_path and materialize that write below ``root``."""
+    numbers = itertools.count()
+
+    def scratch_path(spark, name):
+        return f"{root}/{name}-0x{next(numbers)}"
+
+    def materialize(df, name):
+        path = scratch_path(df.sparkSession, name)
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+    return {"scratch_path": scratch_path, "materialize": materialize}
+
+
 def near_copies(seed, groups=4, copies=14):
     rng = random.Random(seed)
     vocabulary = [f"w{k}" for k in range(3000)]
@@ -105,6 +120,31 @@ def test_a_group_of_near_copies_around_a_missing_base(make_docs):
     assert found_components(make_docs(rows)) == brute_components(rows)
 
 
+def test_differences_that_come_too_late_in_either_set_make_no_pair(spark):
+    # 40 sets of as many components share their last two differences but must share three: they can't be linked
+    rare = spark.range(40).selectExpr(
+        "1L AS group", "explode(array(5, 6)) AS place", "id AS node", "id AS label", "6L AS differences", "270L AS e", "0L AS free") \
+        .selectExpr("group", "CAST(place AS BIGINT) AS gram", "0 AS kind", "node", "label", "place", "e", "differences", "free")
+    met, _ = jaccard_join.met_by_differences(rare, 80)
+    assert met.count() == 0
+    early = rare.withColumn("place", rare["place"] - 4)
+    assert jaccard_join.met_by_differences(early, 80)[0].count() == 2 * 40 * 39 // 2
+
+
+def test_posted_signatures_and_segments_go_before_the_result(spark, make_docs, monkeypatch):
+    import os
+    import tempfile
+    root = tempfile.mkdtemp(prefix="nm-jaccard-")
+    for module in (jaccard_join, common):
+        for name in ("scratch_path", "materialize"):
+            if hasattr(module, name):
+                monkeypatch.setattr(module, name, session_at(root)[name])
+    rows = near_copies(9)
+    assert found_components(make_docs(rows)) == brute_components(rows)
+    left = {f.split("/")[-1].split("-0x")[0] for d, _, files in os.walk(root) for f in [d] if any(x.startswith("part-") for x in files)}
+    assert left and not left & {"jaccard-sets", "jaccard-posts", "jaccard-segments", "jaccard-named"}, left
+
+
 def test_components_of_odd_rows(odd_docs, make_docs):
     rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
     got = found_components(odd_docs)
