@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from newsmetrics.session import scratch_path
+from newsmetrics.session import materialize, scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 ASCII_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +55,29 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries run inside go when each ends, not when the driver collects its garbage.
+
+    For writes: a DataFrame that is run twice would shuffle anew.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``materialize`` that leaves no shuffle files."""
+    with brief_shuffles(df.sparkSession):
+        return materialize(df, name)
+
+
 class Workspace:
     """Tables of one step in a folder of their own, which goes when the step's result has been written."""
 
@@ -59,12 +86,15 @@ class Workspace:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.path}/{name}"
-        df.write.parquet(path)
+        with brief_shuffles(self.spark):
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self) -> None:
-        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
-        at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    def drop(self, *names: str) -> None:
+        """Deletes the tables of these names, or all."""
+        for path in [f"{self.path}/{name}" for name in names] or [self.path]:
+            at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def empty_like(spark: SparkSession, schema: StructType) -> DataFrame:

@@ -44,10 +44,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsmetrics.llm.common import Workspace, mix, table, texts
+from newsmetrics.llm.common import Workspace, mix, table, texts, written
 from newsmetrics.llm.graph import components
 from newsmetrics.llm.shingles import window_hashes, word_hashes
-from newsmetrics.session import materialize
 
 POSTED = 64  # segments that a set posts per size class
 SHARED = 3  # of which linked sets share at least so many, if there are more fragments
@@ -195,7 +194,9 @@ def linked(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
 def parts_of(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, step: Workspace) -> DataFrame:
     """The coarse segments of the sets in ``pairs``, among the tables of ``step``."""
     ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    return step.write(segments(docs, step.write(nodes.join(ends, "node"), "jaccard-ends"), size), "jaccard-segments")
+    parts = step.write(segments(docs, step.write(nodes.join(ends, "node"), "jaccard-ends"), size), "jaccard-segments")
+    step.drop("jaccard-ends")
+    return parts
 
 
 def with_label(rows: DataFrame, label: DataFrame, node: str, name: str) -> DataFrame:
@@ -213,7 +214,7 @@ def grouped(met: DataFrame, ends: DataFrame, label: DataFrame) -> DataFrame:
     prevails = step.write(named.groupBy("post", "label").count().groupBy("post")
                           .agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("group")), "jaccard-prevails")
     times = named.join(prevails, "post").groupBy("node", "label", "group").count()
-    found = materialize(times.groupBy("node", "label")
+    found = written(times.groupBy("node", "label")
                         .agg(F.max_by("group", F.struct("count", -F.col("group"))).alias("group")).join(ends, "node"),
                         "jaccard-groups")
     step.drop()
@@ -236,7 +237,7 @@ def met_by_differences(rare: DataFrame, percent: int) -> tuple[DataFrame, Column
 def links_in_groups(members: DataFrame, parts: DataFrame, links: DataFrame, percent: int) -> DataFrame:
     """All links between different components inside the groups of ``members`` (group, node, label).
 
-    A node may be a member of several groups. The step's tables go when its links are written.
+    A node may be a member of several groups. A table of the step goes when the last that is made of it is written.
     """
     step = Workspace(members.sparkSession, "jaccard-step")
     size = members.groupBy("group").agg(F.count("*").alias("size"), F.count_if(F.col("label") != F.col("group"))
@@ -261,6 +262,7 @@ def links_in_groups(members: DataFrame, parts: DataFrame, links: DataFrame, perc
              .select("group", "node", (100 * F.col("gone") + percent * F.col("extra")).alias("e"),
                      ((100 - percent) * F.coalesce("whole", F.lit(0))).alias("free")))
     total = step.write(total, "jaccard-totals")
+    step.drop("jaccard-members", "jaccard-consensus")
     best = total.groupBy("group").agg(F.min_by("node", F.struct("e", "node")).alias("best"), F.min("e").alias("least"))
     sure = step.write(total.join(best, "group").where("node <> best AND e + least <= free")
                        .select(F.col("best").alias("a"), F.col("node").alias("b")), "jaccard-sure")
@@ -268,13 +270,14 @@ def links_in_groups(members: DataFrame, parts: DataFrame, links: DataFrame, perc
     # e(y) >= percent * shared and e(y) >= least, so x is linked beyond that only with sets that share at
     # least (e(x) - free) / 100 and (e(x) + least - free) / (100 + percent) of its differences; hence its
     # rarest ones suffice to meet them
-    label = components(links.unionAll(sure))
+    label = components(links.unionAll(sure), step)
     kinds = F.concat(F.transform("gone", lambda g: F.struct(g.alias("gram"), F.lit(0).alias("kind"))),
                      F.transform("extra", lambda g: F.struct(g.alias("gram"), F.lit(1).alias("kind"))))
     key = ["group", "gram", "kind"]
     grams = step.write(with_label(
         apart.select("group", "node", F.explode(kinds).alias("g")).select("group", "node", "g.gram", "g.kind"),
         label, "node", "label"), "jaccard-differences")
+    step.drop("jaccard-apart")
     seen = step.write(grams.groupBy(key).agg(F.count("*").alias("seen"), F.min("label").alias("low"),
                                               F.max("label").alias("high")), "jaccard-seen")
     # only differences that a set of another component has too can be shared; a set that has too few is done
@@ -288,13 +291,14 @@ def links_in_groups(members: DataFrame, parts: DataFrame, links: DataFrame, perc
             .where(F.col("place") <= F.col("differences") - least + 1)
             .select(*key, "node", "label", "place", "e", "differences", "free"))
     rare = step.write(rare, "jaccard-rare")
+    step.drop("jaccard-differences", "jaccard-seen")
     met, asked = met_by_differences(rare, percent)
     # beyond the last rare difference that they share, neither can share more than it has left
     left = F.least(F.col("differences") - F.col("at"), F.col("differences_b") - F.col("at_b"))
     pairs = (met.groupBy(F.col("node").alias("a"), F.col("node_b").alias("b"), "e", "e_b", "differences", "differences_b",
                          "free").agg(F.count("*").alias("shared"), F.max("place").alias("at"), F.max("place_b").alias("at_b"))
              .where((100 + percent) * (F.col("shared") + left) >= asked).select("a", "b").distinct())
-    found = materialize(sure.unionAll(linked(step.write(pairs, "jaccard-group-pairs"), parts, percent)), "jaccard-in-groups")
+    found = written(sure.unionAll(linked(step.write(pairs, "jaccard-group-pairs"), parts, percent)), "jaccard-in-groups")
     step.drop()
     return found
 
@@ -305,8 +309,8 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, keyed:
     # sets and posts are large, and go when all signatures that several sets have are written
     step = Workspace(docs.sparkSession, "jaccard-posted")
     sets = step.write(shingle_sets(docs, size, percent, keyed), "jaccard-sets")
-    ids = materialize(sets.select("doc_id", "n", "hi", "lo", *extra), "jaccard-ids")
-    nodes = materialize(
+    ids = written(sets.select("doc_id", "n", "hi", "lo", *extra), "jaccard-ids")
+    nodes = written(
         ids.where("n > 0 AND doc_id IS NOT NULL").groupBy("hi", "lo")
         .agg(F.min("doc_id").alias("doc_id")).withColumn("node", F.monotonically_increasing_id()),
         "jaccard-nodes")
@@ -318,7 +322,8 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, keyed:
     # frequent key: it does so for joins of plain shuffles only
     shared = step.write(posts.groupBy("post").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
                         .where("hub <> last").select("post", "hub"), "jaccard-shared")
-    met = materialize(posts.join(shared, "post"), "jaccard-met")
+    between = Workspace(docs.sparkSession, "jaccard-between")
+    met = between.write(posts.join(shared, "post"), "jaccard-met")
     step.drop()
 
     # 1: every set against the hub it meets most often
@@ -326,30 +331,31 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, keyed:
             .where("2 * times >= need").groupBy("node")
             .agg(F.max_by("hub", F.struct("times", -F.col("hub"))).alias("hub"))
             .select(F.col("hub").alias("a"), F.col("node").alias("b")))
-    star = materialize(star, "jaccard-star")
+    star = written(star, "jaccard-star")
     step = Workspace(docs.sparkSession, "jaccard-starred")
     parts = parts_of(star, docs, nodes, size, step)
-    links = materialize(linked(star, parts, percent), "jaccard-links")
+    links = written(linked(star, parts, percent), "jaccard-links")
 
     # 2: inside the groups around prevailing components
     ends = parts.select("node").distinct()
     groups = []
     for number in range(GROUPINGS):
-        label = components(links)
+        label = components(links, between, f"label{number}")
         member = grouped(met, ends, label)
-        links = materialize(links.unionAll(links_in_groups(member, parts, links, percent)), "jaccard-group-links")
+        links = written(links.unionAll(links_in_groups(member, parts, links, percent)), "jaccard-group-links")
         groups.append(member.select("node", F.col("group").alias(f"group{number}")))
     step.drop()
 
     # 3: what still meets across groups and components. Under a crowded signature no pairs are made: all
     # its sets are members, some once more, of the group that prevails there, and settled by its consensus
-    label = components(links)
+    label = components(links, between, "label")
     named = with_label(met, label, "node", "label").select("post", "need", "node", "n", "label")
     settled = [f"group{k}" for k in range(GROUPINGS)]
     for g, name in zip(groups, settled):
         named = named.join(g, "node", "left").withColumn(name, F.coalesce(name, -1 - F.col("node")))
     step = Workspace(docs.sparkSession, "jaccard-rest")
     named = step.write(named.distinct(), "named")
+    between.drop()
     several = reduce(lambda x, y: x & y, (F.col(f"{c}_low") != F.col(f"{c}_high") for c in ("label", *settled)))
     last = settled[-1]
     open_posts = step.write(
@@ -357,6 +363,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, keyed:
                                                                 for f, end in ((F.min, "low"), (F.max, "high"))))
         .where(several).select("post", "crowd"), "open-posts")
     named = step.write(named.join(open_posts, "post"), "open")
+    step.drop("named", "open-posts")
     few, many = named.where(F.col("crowd") <= CROWD), named.where(F.col("crowd") > CROWD)
     prevails = step.write(many.groupBy("post", last).count().groupBy("post")
                           .agg(F.max_by(last, F.struct("count", -F.col(last))).alias("group")), "prevails")
@@ -371,11 +378,12 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, keyed:
             .agg(F.count("*").alias("times"), F.max(F.greatest("need", "need_b")).alias("need"))
             .where("times >= need").select("a", "b").distinct())
     rest = step.write(rest.join(star, ["a", "b"], "left_anti"), "rest")
+    step.drop("open", "prevails")
     asked = rest.unionAll(crowds.select(F.col("node").alias("a"), F.col("node").alias("b")))
     parts = parts_of(asked, docs, nodes, size, step)
-    more = materialize(linked(rest, parts, percent).unionAll(links_in_groups(crowds, parts, links, percent)), "jaccard-more")
+    more = written(linked(rest, parts, percent).unionAll(links_in_groups(crowds, parts, links, percent)), "jaccard-more")
     step.drop()
-    label = components(materialize(links.unionAll(more), "jaccard-all-links"))
+    label = components(written(links.unionAll(more), "jaccard-all-links"))
 
     named = nodes.join(label, "node", "left").select(
         "hi", "lo", "doc_id", F.coalesce("label", "node").alias("label"))
@@ -393,7 +401,7 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     Rows that repeat id and text are kept once, rows without id all. Rows of one id with
     different texts are judged each by its own text.
     """
-    found = materialize(jaccard_components(docs, size, percent, keyed=True), "jaccard-result")
+    found = written(jaccard_components(docs, size, percent, keyed=True), "jaccard-result")
     gone = found.where("component_id < doc_id").select("doc_id", "text_key").distinct()
     kept = docs.join(gone, (docs["doc_id"] == gone["doc_id"]) & (text_key(docs) == gone["text_key"]), "left_anti")
     repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")

@@ -3,10 +3,11 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 
-from newsmetrics.llm import common, jaccard_join, suffix_dedup
+from newsmetrics.llm import common, graph, jaccard_join, suffix_dedup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -145,6 +146,53 @@ def test_posted_signatures_and_segments_go_before_the_result(spark, make_docs, m
     assert left and not left & {"jaccard-sets", "jaccard-posts", "jaccard-segments", "jaccard-named"}, left
 
 
+def test_tables_of_a_step_go_with_their_last_reader(make_docs, monkeypatch):
+    import os
+    there, write = {}, common.Workspace.write
+
+    def seen(self, df, name):
+        found = write(self, df, name)
+        there.setdefault(name, set()).update(os.listdir(self.path))
+        return found
+
+    monkeypatch.setattr(common.Workspace, "write", seen)
+    rows = near_copies(9)
+    assert found_components(make_docs(rows)) == brute_components(rows)
+    gone = {"jaccard-differences": {"jaccard-members", "jaccard-consensus"}, "jaccard-group-pairs": {"jaccard-apart", "jaccard-differences", "jaccard-seen"}}
+    for name, before in gone.items():
+        assert name in there and not there[name] & before, (name, there.get(name))
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    def files():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {blocks.apply(i).getName() for i in range(blocks.size()) if blocks.apply(i).getName().startswith("shuffle_")}
+
+    def left(since):
+        until = time.time() + 20
+        while files() - since and time.time() < until:
+            time.sleep(0.2)
+        return files() - since
+
+    setting, before = spark.conf.get(common.SHUFFLE_CLEANUP), files()
+    counts = spark.range(1000).selectExpr("id % 7 AS a", "id % 11 AS b").groupBy("a", "b").count().select("a", "b")
+    step = common.Workspace(spark, "test")
+    assert step.write(counts, "counts").count() == 77
+    label = graph.components(counts, step)
+    assert {tuple(r) for r in label.collect()} == {(i, 0) for i in range(11)}
+    assert common.written(counts, "counts").count() == 77
+    # the counts above, run by themselves, leave one file set each for one row
+    assert len({f.split("_")[1] for f in left(before)}) <= 2
+    assert spark.conf.get(common.SHUFFLE_CLEANUP) == setting
+
+
+def test_components_take_repeated_edges_loops_and_chains(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(41, 41), (50, 45), (45, 50), (50, 45), (45, 48)]
+    label = graph.components(spark.createDataFrame(edges, "a long, b long"))
+    assert {r["node"]: r["label"] for r in label.collect()} == {i: 0 for i in range(41)} | {50: 45, 45: 45, 48: 45}
+    assert graph.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
 def test_components_of_odd_rows(odd_docs, make_docs):
     rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
     got = found_components(odd_docs)
