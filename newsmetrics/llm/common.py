@@ -17,6 +17,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 ASCII_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -30,15 +31,6 @@ def fold(col_name: str, folds: int, held: int) -> Column:
     return F.crc32(text.cast("binary")) % folds == held
 
 
-def words(text: str) -> list[bytes]:
-    """Words after lower-casing A-Z: runs without blank, tab, LF, VT, FF and CR.
-
-    ``bytes.split()`` cuts at exactly these six bytes, which in UTF-8 never
-    occur inside another character.
-    """
-    return text.encode("utf-8", "surrogatepass").translate(ASCII_LOWER).split()
-
-
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The batch's texts; null counts as empty."""
     return [t or "" for t in batch.column(name).to_pylist()]
@@ -56,20 +48,30 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 @contextmanager
-def brief_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of the queries run inside go when each ends, not when the driver collects its garbage.
-
-    For writes: a DataFrame that is run twice would shuffle anew.
-    """
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """The session's setting holds for what runs inside."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(SHUFFLE_CLEANUP)
+            spark.conf.unset(key)
         else:
-            spark.conf.set(SHUFFLE_CLEANUP, before)
+            spark.conf.set(key, before)
+
+
+def brief_shuffles(spark: SparkSession):
+    """Shuffle files of the queries run inside go when each ends, not when the driver collects its garbage.
+
+    For writes: a DataFrame that is run twice would shuffle anew.
+    """
+    return setting(spark, SHUFFLE_CLEANUP, "true")
+
+
+def small_batches(spark: SparkSession, rows: int):
+    """Spark sends Python workers at most so many rows at once."""
+    return setting(spark, BATCH_ROWS, str(rows))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -10,15 +10,17 @@ one end.
 
 Passes over the corpus:
 
-1. expected piece counts of the training documents (per batch over distinct
-   words), summed by Spark; the result is bounded by the vocabulary;
-2. per batch of documents ("block") the model's score, each document's words as
-   numbers into the block's dictionary, and the dictionary's hashes with the
-   block's training counts; written once;
+1. expected piece counts of the training documents (per block of documents over
+   distinct words), summed by Spark; the result is bounded by the vocabulary;
+2. per block the model's score, each document's words as numbers into the block's
+   dictionary, and the dictionary's hashes with the block's training counts;
+   written once;
 3. the dictionaries are summed by hash, and only counts that differ from the
    block's own return to it; there the base scores are summed per document.
 
-So no text is shuffled, and no table of the corpus' words goes through one place.
+So no text is shuffled, and no table of the corpus' words goes through one place. A block ends with BYTES of
+text or BLOCK_ROWS documents; texts come and results go in small slices, and a block's dictionary is kept in arrays
+(hashes, numbers, joined bytes), so a task holds some bytes per entry and distinct word, no object for each.
 
 Words of LONG letters or more (texts in scripts without blanks) are worked through by themselves, in
 chunks of positions, in time and memory linear in their length.
@@ -32,17 +34,17 @@ empty table gives no rows. Words are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsmetrics.llm.common import fold, mix, table, texts, words
-from newsmetrics.llm.shingles import hashes
+from newsmetrics.llm.common import ASCII_LOWER, fold, mix, small_batches, table, texts
+from newsmetrics.llm.shingles import SPACE, hashes
 from newsmetrics.session import materialize
 
 FOLDS, HELD = 10, 0
@@ -52,11 +54,16 @@ PRIOR = 1000.0  # pseudo-count of the first weights
 CELLS = 60_000  # letters of words of one length that are worked through together
 LONG = 4096  # letters from which on a word is worked through by itself, in chunks
 CHUNK = 1 << 16  # positions of such a chunk
-ROWS = 256  # documents whose texts are held at once
-BYTES = 16 << 20  # text after which the training words seen so far are worked through
+ROWS = 256  # documents that Spark sends at once
+PART = 1 << 19  # bytes of text whose words are told apart at once
+WORDS = 1 << 16  # distinct words that are worked through at once
+BYTES, BLOCK_ROWS = 32 << 20, 10_000  # text and documents that share a dictionary
+ENTRIES = 16_384  # rows of a dictionary that are sent to Spark at once
 START = "▁"  # how the vocabulary marks a word's begin
 BLOCKS = ("block long, doc_id long, held boolean, n_tokens long, score double, at array<int>, "
           "times array<int>, hash long, own long")
+INSIDE = np.ones(256, bool)  # bytes of words
+INSIDE[list(b" \t\n\v\f\r")] = False
 RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
           "base_score double, score double")
 
@@ -259,34 +266,110 @@ def first_weights(vocabulary: str) -> tuple[list[str], list[int], np.ndarray]:
     return pieces, list(range(len(usable), len(order))), np.log(weight / weight.sum())
 
 
+class Words:
+    """Distinct words of many texts, numbered as they come: hashes in sorted arrays and the words' bytes."""
+
+    def __init__(self):
+        self.key, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.raw: list[bytes] = []  # the words in order of their numbers, joined by blanks
+
+    def __len__(self) -> int:
+        return len(self.key)
+
+    def add(self, found: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per text its number of entries; the entries, text by text: a word's number, its occurrences.
+
+        A text of several PARTs may have several entries for a word.
+        """
+        raw = [t.encode("utf-8", "surrogatepass").translate(ASCII_LOWER) for t in found]
+        offset = np.cumsum([0] + [len(r) + 1 for r in raw[:-1]])
+        made, joined, low = [], b" ".join(raw), 0
+        while low < len(joined):
+            cut = SPACE.search(joined, low + PART)
+            high = cut.start() if cut else len(joined)
+            made.append(self._add(joined[low:high], low, offset))
+            low = high
+        text, number, times = (np.concatenate([np.zeros(0, np.int32), *x]) for x in (zip(*made) if made else [()] * 3))
+        return np.bincount(text, minlength=len(found)), number, times
+
+    def _add(self, raw: bytes, low: int, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        inside = np.concatenate(([False], INSIDE[np.frombuffer(raw, np.uint8)], [False]))
+        edge = np.flatnonzero(inside[1:] != inside[:-1])
+        start, end = edge[::2], edge[1::2]
+        key, first, which = np.unique(hashes(raw), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.key, key)
+        number = np.append(self.number, np.int32(0))[at]
+        new = np.append(self.key, np.uint64(0))[at] != key
+        new[at == len(self.key)] = True
+        if new.any():
+            fresh = np.flatnonzero(new)
+            fresh = fresh[np.argsort(first[fresh])]
+            number[fresh] = np.arange(len(self), len(self) + len(fresh), dtype=np.int32)
+            self.raw.append(b" ".join([raw[a:b] for a, b in zip(start[first[fresh]].tolist(), end[first[fresh]].tolist())]))
+            self.key, self.number = np.insert(self.key, at[new], key[new]), np.insert(self.number, at[new], number[new])
+        text = np.searchsorted(offset, low + start, "right") - 1
+        pair, seen, times = np.unique(text * (len(key) + 1) + which, return_index=True, return_counts=True)
+        order = np.argsort(seen)
+        text, which = np.divmod(pair[order], len(key) + 1)
+        return text.astype(np.int32), number[which], times[order].astype(np.int32)
+
+    def keys(self) -> np.ndarray:
+        out = np.empty(len(self), np.uint64)
+        out[self.number] = self.key
+        return out
+
+    def chunks(self) -> Iterator[list[bytes]]:
+        """The words in order of their numbers, WORDS or fewer at a time."""
+        held: list[bytes] = []
+        for raw in self.raw:
+            held += raw.split()
+            for _ in range(len(held) // WORDS):
+                yield held[:WORDS]
+                held = held[WORDS:]
+        if held:
+            yield held
+
+
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches' rows in slices with about PART bytes of text."""
+    for b in batches:
+        size = pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        window = (np.cumsum(size) - size) // PART
+        edge = [0, *(np.flatnonzero(np.diff(window)) + 1).tolist(), len(b)]
+        yield from (b.slice(low, high - low) for low, high in zip(edge, edge[1:]) if high > low)
+
+
 def expected_pieces(docs: DataFrame, pieces: Pieces, log_weight: np.ndarray) -> tuple[np.ndarray, int]:
     """Expected piece counts over the training documents, and their number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(pieces, log_weight)
-        seen, size, sums, ends = Counter(), 0, np.zeros(len(log_weight)), 0
+        words, uses, size, sums, ends = Words(), np.zeros(0), 0, np.zeros(len(log_weight)), 0
 
         def work_through() -> None:
-            nonlocal size, sums
-            sums += lattice.expected(list(seen), np.fromiter(seen.values(), float, len(seen)))
-            seen.clear()
-            size = 0
-
-        for b in batches:
-            for part in (b.slice(k, ROWS) for k in range(0, len(b), ROWS)):
-                ends += len(part)
-                for t in texts(part):
-                    seen.update(words(t))
-                    size += len(t)
-                    if size >= BYTES:
-                        work_through()
+            nonlocal words, uses, size
+            low = 0
+            for found in words.chunks():
+                sums[:] += lattice.expected(found, uses[low:low + len(found)])
+                low += len(found)
+            words, uses, size = Words(), np.zeros(0), 0
+
+        for b in parts(batches):
+            ends += len(b)
+            size += b.column("text").nbytes
+            _, number, times = words.add(texts(b))
+            uses = np.concatenate((uses, np.zeros(len(words) - len(uses))))
+            uses += np.bincount(number, times, len(uses))
+            if size >= BYTES:
+                work_through()
         work_through()
         k = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(k, -1)), pa.array(np.append(sums[k], ends))], ["piece", "uses"])
 
     training = docs.where(~fold("doc_id", FOLDS, HELD)).select("text")
-    rows = (training.mapInArrow(run, "piece long, uses double")
-            .groupBy("piece").agg(F.sum("uses").alias("uses")).collect())  # at most the vocabulary
+    with small_batches(docs.sparkSession, ROWS):
+        rows = (training.mapInArrow(run, "piece long, uses double")
+                .groupBy("piece").agg(F.sum("uses").alias("uses")).collect())  # at most the vocabulary
     total, ends = np.zeros(len(log_weight)), 0
     for r in rows:
         if r["piece"] < 0:
@@ -312,38 +395,38 @@ def blocks(docs: DataFrame, pieces: Pieces, log_weight: np.ndarray, log_end: flo
     """Rows of documents (hash null) and of the blocks' dictionaries (at null)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(pieces, log_weight)
-        task = TaskContext.get().partitionId() << 32
-        for number, b in enumerate(batches):
-            place: dict[bytes, int] = {}
-            at, times, count = [], [], []
-            for part in (b.slice(k, ROWS) for k in range(0, len(b), ROWS)):
-                for t in texts(part):
-                    own = Counter(words(t))
-                    at.append(np.fromiter((place.setdefault(w, len(place)) for w in own), np.int32, len(own)))
-                    times.append(np.fromiter(own.values(), np.int32, len(own)))
-                    count.append(int(times[-1].sum()) + 1)
-            known = list(place)
-            log_p = lattice.log_probability(known)
-            held = b.column("held").to_pylist()
-            own = np.zeros(len(known), np.int64)
-            for i, n, h in zip(at, times, held):
-                if not h:
-                    own[i] += n
-            score = [(float(log_p[i] @ n) + log_end) / np.log(10) for i, n in zip(at, times)]
-            block = task + number
-            rows, none = len(b), pa.nulls
+        block, words, made, size = TaskContext.get().partitionId() << 32, Words(), [], 0
+        for b in parts(batches):
+            made.append((b.column("doc_id"), b.column("held"), *words.add(texts(b))))
+            size += b.column("text").nbytes
+            if size >= BYTES or sum(len(m[0]) for m in made) >= BLOCK_ROWS:
+                yield from written_out(block, lattice, words, made)
+                block, words, made, size = block + 1, Words(), [], 0
+        if made:
+            yield from written_out(block, lattice, words, made)
+
+    def written_out(block: int, lattice: Lattice, words: Words, made: list[tuple]) -> Iterator[pa.RecordBatch]:
+        log_p = np.concatenate([np.zeros(0), *map(lattice.log_probability, words.chunks())])
+        own, none = np.zeros(len(words), np.int64), pa.nulls
+        for doc_id, held, size, at, times in made:
+            train = np.repeat(~held.to_numpy(zero_copy_only=False), size)
+            np.add.at(own, at[train], times[train])
+            cut, rows = np.append(0, np.cumsum(size)), len(size)
+            spans = list(zip(cut.tolist(), cut[1:].tolist()))
+            count = [int(times[i:j].sum()) + 1 for i, j in spans]
+            score = [(float(log_p[at[i:j]] @ times[i:j]) + log_end) / np.log(10) for i, j in spans]
+            lists = [pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(x)) for x in (at, times)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(rows, block)), doc_id, held, pa.array(count, pa.int64()), pa.array(score, pa.float64()),
+                 *lists, none(rows, pa.int64()), none(rows, pa.int64())], NAMES)
+        key = words.keys().view(np.int64)
+        for k in range(0, len(key), ENTRIES):
+            part = key[k:k + ENTRIES]
+            n = len(part)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(rows, block)), b.column("doc_id"), b.column("held"), pa.array(count, pa.int64()),
-                 pa.array(score, pa.float64()), pa.array(at, pa.list_(pa.int32())),
-                 pa.array(times, pa.list_(pa.int32())), none(rows, pa.int64()), none(rows, pa.int64())], NAMES)
-            key = hashes(b" ".join(known)).view(np.int64)
-            for k in range(0, len(key), 100_000):
-                part = key[k:k + 100_000]
-                n = len(part)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, block)), pa.array(np.arange(k, k + n)), none(n, pa.bool_()),
-                     none(n, pa.int64()), none(n, pa.float64()), none(n, pa.list_(pa.int32())),
-                     none(n, pa.list_(pa.int32())), pa.array(part), pa.array(own[k:k + n])], NAMES)
+                [pa.array(np.full(n, block)), pa.array(np.arange(k, k + n)), none(n, pa.bool_()),
+                 none(n, pa.int64()), none(n, pa.float64()), none(n, pa.list_(pa.int32())),
+                 none(n, pa.list_(pa.int32())), pa.array(part), pa.array(own[k:k + n])], NAMES)
 
     chosen = docs.select(F.col("doc_id").cast("long"), "text", fold("doc_id", FOLDS, HELD).alias("held"))
     return chosen.mapInArrow(run, BLOCKS)
@@ -352,8 +435,19 @@ def blocks(docs: DataFrame, pieces: Pieces, log_weight: np.ndarray, log_end: flo
 NAMES = [c.strip().split()[0] for c in BLOCKS.split(",")]
 
 
+class Entries:
+    """A batch's documents: whether held out, their numbers of entries, the entries."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        self.held = batch.column("held").to_numpy(zero_copy_only=False)
+        self.size = batch.column("at").value_lengths().to_numpy()
+        self.at, self.times = (batch.column(c).flatten().to_numpy() for c in ("at", "times"))
+
+
 def score_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
-    made = materialize(blocks(docs, *trained(docs, vocabulary)), "lattice-blocks")
+    made = blocks(docs, *trained(docs, vocabulary))
+    with small_batches(docs.sparkSession, ROWS):
+        made = materialize(made, "lattice-blocks")
     entries = made.where("hash IS NOT NULL").select("block", F.col("doc_id").alias("place"), "hash", "own")
     rows = made.where("hash IS NULL").select("block", "doc_id", "held", "n_tokens", "score", "at", "times")
     totals = materialize(entries.groupBy("hash").agg(F.sum("own").alias("total"), F.count("*").alias("blocks")),
@@ -365,20 +459,22 @@ def score_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
                        .where("own <> total").select("block", "place", "total"), "lattice-back")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        left = left.combine_chunks()
-        flat = [left.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("at", "times")]
-        at, times = flat[0].astype(np.int64), flat[1].astype(np.int64)
-        size = np.asarray(left.column("at").combine_chunks().value_lengths(), np.int64)
-        held = np.asarray(left.column("held").to_pylist(), bool)
-        doc = np.repeat(np.arange(len(size)), size)
-        count = np.bincount(at, times * ~held[doc], int(at.max()) + 1 if len(at) else 1).astype(np.int64)
-        count[right.column("place").to_numpy()] = right.column("total").to_numpy()
+        some = [Entries(b) for b in left.select(["held", "at", "times"]).to_batches(ROWS)]
+        place = right.column("place").to_numpy()
+        count = np.zeros(1 + max([int(x.max(initial=0)) for x in (place, *(e.at for e in some))]), np.int64)
+        for e in some:
+            train = np.repeat(~e.held, e.size)
+            np.add.at(count, e.at[train], e.times[train])
+        count[place] = right.column("total").to_numpy()
         part = np.log10((count + 0.1) / (n + 0.1 * (v + 1)))
         end = np.log10((ends + 0.1) / (n + 0.1 * (v + 1)))
-        base = np.bincount(doc, times * part[at], len(size)) + end
-        known = np.bincount(doc, times * (count[at] > 0), len(size)).astype(np.int64) + (ends > 0)
-        return pa.table([left.column("doc_id"), left.column("held"), left.column("n_tokens"), pa.array(known),
-                         pa.array(np.full(len(size), n)), pa.array(base), left.column("score")],
+        base, known = [], []
+        for e in some:
+            doc = np.repeat(np.arange(len(e.size)), e.size)
+            base.append(np.bincount(doc, e.times * part[e.at], len(e.size)) + end)
+            known.append(np.bincount(doc, e.times * (count[e.at] > 0), len(e.size)).astype(np.int64) + (ends > 0))
+        return pa.table([left.column("doc_id"), left.column("held"), left.column("n_tokens"), pa.array(np.concatenate(known)),
+                         pa.array(np.full(len(left), n)), pa.array(np.concatenate(base)), left.column("score")],
                         ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return (rows.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(

@@ -2,10 +2,13 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from newsmetrics.llm import boosted, lattice, permutation_index, quality, toxicity
@@ -114,6 +117,67 @@ def test_scores_of_odd_rows(odd_docs, make_docs):
     assert lattice.score_documents(make_docs([]), lattice.default_vocabulary()).collect() == []
 
 
+class Task:
+    """Stands for a DataFrame and gives back the function that its tasks run."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def block_rows(made, weight, monkeypatch, texts, held):
+    monkeypatch.setattr(lattice, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string()), pa.array(held)],
+                                       ["doc_id", "text", "held"])
+    return lattice.blocks(Task(), made.pieces, weight, -1.0)(iter([batch]))
+
+
+def test_blocks_take_little_memory(spark, small_lattice, monkeypatch):
+    _, weight, made = small_lattice
+    letters = np.random.default_rng(5).integers(97, 123, (300_000, 9), np.uint8)
+    letters[:, 8] = 32
+    texts = [letters[k:k + 100].tobytes().decode() for k in range(0, len(letters), 100)]
+    distinct = len(set("".join(texts).split()))
+    run = block_rows(made, weight, monkeypatch, texts, [False] * len(texts))
+    tracemalloc.start()
+    size = [len(b) for b in run]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45e6, f"{peak / 1e6:.0f} MB"
+    assert sum(size) == len(texts) + distinct and max(size) <= lattice.ENTRIES
+
+
+def test_blocks_end_by_text_and_rows(spark, small_lattice, monkeypatch):
+    """Whatever the limits, the entries of all blocks give each text's words and the training counts."""
+    _, weight, made = small_lattice
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["ab", "B", "abc", "cé", "x\ty", "😀"]) for _ in range(rng.randint(0, 60))) for _ in range(90)]
+    texts += [None, "", " \n", "ab " * 400, "b" * 700, "AB"]
+    held = [rng.random() < 0.3 for _ in texts]
+    want = [Counter(WORD.findall((t or "").translate(LOW))) for t in texts]
+    for part, size, rows in ((1 << 19, 1 << 25, 10_000), (50, 500, 10_000), (300, 1 << 25, 7)):
+        for name, value in (("PART", part), ("BYTES", size), ("BLOCK_ROWS", rows), ("WORDS", 3), ("ENTRIES", 2)):
+            monkeypatch.setattr(lattice, name, value)
+        out = pa.Table.from_batches(block_rows(made, weight, monkeypatch, texts, held)).to_pylist()
+        words = {(r["block"], r["doc_id"]): (r["hash"], r["own"]) for r in out if r["hash"] is not None}
+        docs = [r for r in out if r["hash"] is None]
+        assert [r["doc_id"] for r in docs] == list(range(len(texts)))
+        assert (len({r["block"] for r in docs}) > 1) == (rows == 7 or size == 500)
+        name = {int(lattice.hashes(w.encode()).view(np.int64)[0]): w for c in want for w in c}
+        own = Counter()
+        for r, c, h in zip(docs, want, held, strict=True):
+            got = Counter()
+            for at, n in zip(r["at"], r["times"]):
+                got[name[words[r["block"], at][0]]] += n
+                own[r["block"], at] += n * (not h)
+            assert got == c and r["n_tokens"] == c.total() + 1 and r["held"] == h
+            log_p = made.log_probability([w.encode() for w in c]) if c else np.zeros(0)
+            assert math.isclose(r["score"], (sum(log_p * list(c.values())) - 1) / math.log(10), rel_tol=1e-9)
+        assert {k: own[k] for k in words} == {k: n for k, (_, n) in words.items()}
+
+
 def brute_nearest(rows, queries, k=10):
     out = {}
     for q, x in queries:
