@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsmetrics.llm.common import ASCII_LOWER, fold, mix, small_batches, table, texts
+from newsmetrics.llm.common import ASCII_LOWER, fold, mix, small_batches, table, texts, written
 from newsmetrics.llm.shingles import SPACE, hashes
 from newsmetrics.session import materialize
 
@@ -477,8 +477,10 @@ def score_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
                          pa.array(np.full(len(left), n)), pa.array(np.concatenate(base)), left.column("score")],
                         ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return (rows.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
-        lambda l, r: run(l, r) if len(l) else EMPTY, RESULT))
+    scored = rows.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
+        lambda l, r: run(l, r) if len(l) else EMPTY, RESULT)
+    with small_batches(docs.sparkSession, 4 * ROWS):
+        return written(scored, "lattice-scores")
 
 
 EMPTY = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
